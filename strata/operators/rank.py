@@ -66,10 +66,11 @@ def dense_rank_by(df: DataFrame, order_col: str, partition_by=(), ascending: boo
     # Hot groups get range boundaries; one row per hot group.
     counts = vals.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.where(F.col("_n") > F.lit(bucket_rows))
-    fractions = [i / max_pieces for i in range(1, max_pieces)]
+    # the quantile levels i / max_pieces, as one literal array expression
+    levels = ", ".join(repr(i / max_pieces) for i in range(1, max_pieces))
     bounds = (vals.join(hot, gkeys, "left_semi")
               .groupBy(*gkeys)
-              .agg(F.percentile_approx("_sk", fractions, 10000).alias("_b"),
+              .agg(F.expr(f"percentile_approx(_sk, array({levels}), 10000)").alias("_b"),
                    F.count(F.lit(1)).alias("_n")))
     # keep about n / bucket_rows boundaries: every step-th quantile
     pieces = F.least(F.lit(max_pieces), F.ceil(F.col("_n") / F.lit(bucket_rows)))

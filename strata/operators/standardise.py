@@ -27,7 +27,7 @@ def normalise_names(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
-def dedup_text(df: DataFrame, ignore=(SEQ, *TECHNICAL_COLUMNS)) -> DataFrame:
+def dedup_text(df: DataFrame, ignore=(SEQ, "batch", *TECHNICAL_COLUMNS)) -> DataFrame:
     """Drop repeated rows, comparing every column except ``ignore``.
 
     Hash aggregate on the compared columns with map-side combine: copies
@@ -57,7 +57,7 @@ def cast_declared(df: DataFrame, spec: TableSpec, report: list | None = None) ->
     return df.withColumns(exprs) if exprs else df
 
 
-def fill_defaults(df: DataFrame, skip=(SEQ,)) -> DataFrame:
+def fill_defaults(df: DataFrame, skip=(SEQ, "batch")) -> DataFrame:
     """Null text -> ``Unknown``, null number -> 0; timestamps stay null."""
     exprs = {}
     for f in df.schema.fields:

@@ -2,18 +2,32 @@
 
 Used where a plan would otherwise recompute an expensive subtree several
 times (Spark re-runs a shared subtree once per reference unless an exchange
-is reused, and column pruning usually prevents that). The data goes to the
-session's reliable checkpoint directory (``spark.checkpoint.dir``, a shared
-folder on a cluster), so a lost executor does not lose it.
+is reused, and column pruning usually prevents that).
+
+The result is written once as a Parquet table under the session's reliable
+checkpoint directory (``spark.checkpoint.dir``, a shared folder on a
+cluster) and read back, so a lost executor does not lose it and later
+reads get column pruning and filter pushdown. (``DataFrame.checkpoint``
+would compute its input twice — once for the count, once for the write —
+and store rows, not columns.)
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 from strata.session import ensure_checkpoint_dir
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def table_dir(spark, name: str | None = None) -> str:
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/strata-tables/{name or uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
+    spark = df.sparkSession
+    path = table_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
