@@ -68,6 +68,8 @@ def scd2_merge(history: DataFrame | None, snapshot: DataFrame, key: str, tracked
     """
     if history is None:
         return scd2_initial(snapshot, as_of)
+    # a history stored partitioned by is_current reads the flag back as text
+    history = history.withColumn(IS_CURRENT, F.col(IS_CURRENT).cast("boolean"))
     stamp = _as_ts(as_of)
     business = [c for c in snapshot.columns if c not in VERSION_COLUMNS]
     hist_types = {f.name: f.dataType for f in history.schema.fields}
@@ -117,5 +119,5 @@ def scd2_merge(history: DataFrame | None, snapshot: DataFrame, key: str, tracked
 
 def not_in_current(snapshot: DataFrame, history: DataFrame, key: str) -> DataFrame:
     """Snapshot rows whose key has no current version (new members)."""
-    cur = history.where(F.col(IS_CURRENT)).select(key)
+    cur = history.where(F.col(IS_CURRENT).cast("boolean")).select(key)
     return snapshot.join(cur, key, "left_anti")

@@ -34,7 +34,15 @@ from strata.functions.scalar import tolerant_timestamp
 from strata.specs import DATASETS, PRODUCT_TRACKED_COLUMNS, TableSpec
 
 BATCH = "batch"
-INITIAL_BATCH = "0"
+INITIAL_BATCH = "b_0"
+
+
+def batch_label(mark) -> str:
+    """Partition label of an incremental batch: text that sorts in load
+    order and that partition discovery never mistakes for a number/date."""
+    if mark is None:
+        return INITIAL_BATCH
+    return "b_" + "".join(ch for ch in str(mark) if ch.isalnum())
 GOLD_TABLES = ("customer_summary", "product_summary", "monthly_summary", "seller_summary")
 
 
@@ -94,7 +102,7 @@ def run_ingestion(spark: SparkSession, raw_dir: str, layout: Layout, specs=DATAS
             continue
         mark = state.read_mark(spark, layout.mark_path)
         typed = raw.withColumn("_ts", tolerant_timestamp(spec.incremental_ts))
-        batch = mark if mark is not None else INITIAL_BATCH
+        batch = batch_label(mark)
         new_rows = ingest_incremental(typed, "_ts", mark)[0].drop("_ts") \
             .withColumn(BATCH, F.lit(batch))
         writer = new_rows.write.mode("overwrite").partitionBy(BATCH)
@@ -129,19 +137,24 @@ def run_validation(spark: SparkSession, layout: Layout, specs=DATASETS) -> dict:
         df = spark.read.parquet(layout.path("bronze", name))
         flagged = validate_keys(df, spec.keys, _order_for(spec, df))
         flagged.write.mode("overwrite").partitionBy("is_valid").parquet(layout.path("validation", name))
-        stored = spark.read.parquet(layout.path("validation", name))
+        stored = _validation(spark, layout, name)
         c = stored.groupBy("is_valid").count().collect()  # at most two rows
         counts[name] = {bool(r["is_valid"]): r["count"] for r in c}
     return counts
 
 
-def valid_of(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+def _validation(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     df = spark.read.parquet(layout.path("validation", name))
+    return df.withColumn("is_valid", F.col("is_valid").cast("boolean"))
+
+
+def valid_of(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+    df = _validation(spark, layout, name)
     return df.where(F.col("is_valid")).drop("is_valid", "reject_reason")
 
 
 def rejected_of(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
-    df = spark.read.parquet(layout.path("validation", name))
+    df = _validation(spark, layout, name)
     return df.where(~F.col("is_valid")).drop("is_valid")
 
 

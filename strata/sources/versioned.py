@@ -10,11 +10,13 @@ version.
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 POINTER = "_pointer"
 
@@ -32,27 +34,35 @@ def write_version(df: DataFrame, base: str, partition_by=None) -> str:
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{base}/v_{version}")
-    (spark.createDataFrame([(version,)], "version string")
+    # the log keeps the schema too: partition columns (e.g. a boolean flag)
+    # would otherwise be re-inferred from directory names as text
+    (spark.createDataFrame([(version, df.schema.json())], "version string, schema string")
      .coalesce(1).write.mode("append").json(f"{base}/{POINTER}"))
     return version
 
 
-def current_version(spark: SparkSession, base: str) -> str | None:
-    base = base.rstrip("/")
+def _latest(spark: SparkSession, base: str):
     try:
-        log = spark.read.schema("version string").json(f"{base}/{POINTER}")
-        row = log.agg(F.max("version").alias("v")).first()
+        log = spark.read.schema("version string, schema string").json(f"{base}/{POINTER}")
+        return log.orderBy(F.col("version").desc()).first()
     except Exception:  # no table yet
         return None
-    return row["v"] if row else None
+
+
+def current_version(spark: SparkSession, base: str) -> str | None:
+    row = _latest(spark, base.rstrip("/"))
+    return row["version"] if row else None
 
 
 def read_current(spark: SparkSession, base: str) -> DataFrame | None:
     """The newest committed version, or None when the table does not exist."""
-    version = current_version(spark, base)
-    if version is None:
+    base = base.rstrip("/")
+    row = _latest(spark, base)
+    if row is None:
         return None
-    return spark.read.parquet(f"{base.rstrip('/')}/v_{version}")
+    schema = T.StructType.fromJson(json.loads(row["schema"]))
+    df = spark.read.schema(schema).parquet(f"{base}/v_{row['version']}")
+    return df.select(*schema.fieldNames())
 
 
 def exists(spark: SparkSession, base: str) -> bool:
