@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.validate import valid_rows
-from strata.sources.checkpoint import materialize
+from strata.operators.validate import validate_keys
+from strata.plans.layers import flagged_layer
 from strata.specs import MONEY
 
 # The category lookup used with the test tables.
@@ -44,9 +44,14 @@ def nation_names(spark, sf_dir) -> DataFrame:
     return F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
 
 
+def lineitem_flags(spark, sf_dir) -> DataFrame:
+    """Validation layer of lineitem: all rows, flagged (stored once)."""
+    return flagged_layer(spark, sf_dir, "lineitem", lambda: validate_keys(
+        table(spark, sf_dir, "lineitem"), LINEITEM_KEYS, LINEITEM_ORDER))
+
+
 def valid_lineitem(spark, sf_dir) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    return valid_rows(li, LINEITEM_KEYS, LINEITEM_ORDER)
+    return lineitem_flags(spark, sf_dir).where(F.col("is_valid")).drop("is_valid", "reject_reason")
 
 
 def orders(spark, sf_dir) -> DataFrame:
@@ -104,12 +109,9 @@ def translation(spark) -> DataFrame:
         CATEGORY_LOOKUP, "product_category_name string, product_category_name_english string")
 
 
-def role_tables(spark: SparkSession, sf_dir: str, materialize_valid: bool = True) -> dict:
+def role_tables(spark: SparkSession, sf_dir: str) -> dict:
+    # items and payments both read the stored validation layer
     vli = valid_lineitem(spark, sf_dir)
-    if materialize_valid:
-        # items and payments both read the validated lines: validate once
-        # (this is the validation layer of the pipeline).
-        vli = materialize(vli)
     return {
         "orders": orders(spark, sf_dir),
         "customers": customers(spark, sf_dir),
