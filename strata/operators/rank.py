@@ -18,6 +18,12 @@ single task. Here the rank is assembled from bounded pieces:
    pieces of the same group (a window over one row per piece);
 5. rank = offset + local rank, joined back on ``(p, v)``.
 
+The distinct pairs of step 1 feed four branches (counts, bounds, pieces,
+sizes). They are written once under ``spark.checkpoint.dir`` and read back,
+so the input (often a join) is computed twice — for the pairs and for the
+join back — instead of once per branch. This makes the call eager: it runs
+one job that stores the pairs.
+
 Small groups take a single piece, so for them this is the plain window.
 The result is exact for any split: the ranges only decide which task does
 the work, never the rank itself.
@@ -29,6 +35,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.sources.checkpoint import materialize
+
 DEFAULT_BUCKET_ROWS = 1_000_000
 MAX_PIECES = 1024
 
@@ -61,7 +69,7 @@ def dense_rank_by(df: DataFrame, order_col: str, partition_by=(), ascending: boo
     vals = df.where(not_null).select(*parts, v).distinct()
     if not parts:
         vals = vals.withColumn("_g", F.lit(0))
-    vals = vals.withColumn("_sk", sk)
+    vals = materialize(vals.withColumn("_sk", sk))
 
     # Hot groups get range boundaries; one row per hot group.
     counts = vals.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("_n"))
