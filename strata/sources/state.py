@@ -22,11 +22,28 @@ def read_mark(spark: SparkSession, path: str, key: str = MARK_KEY):
     return row[key] if row else None
 
 
-def save_mark(spark: SparkSession, path: str, mark_frame: DataFrame, key: str = MARK_KEY) -> None:
-    """Append the mark held in the one-row ``mark_frame`` (skipped if null)."""
+def save_mark(spark: SparkSession, path: str, mark_frame: DataFrame, key: str = MARK_KEY,
+              stream: str | None = None, epoch: int | None = None) -> None:
+    """Append the mark held in the one-row ``mark_frame`` (skipped if null).
+
+    A stream also records which of its micro-batches (``epoch``) moved the
+    mark, so a replayed batch can tell that it was already committed.
+    """
     import time
     row = mark_frame.select(F.col(mark_frame.columns[0]).cast("string").alias(key)).first()
     if row is None or row[key] is None:
         return
-    (spark.createDataFrame([(time.time_ns(), row[key])], f"seq long, {key} string")
+    (spark.createDataFrame([(time.time_ns(), row[key], stream, epoch)],
+                           f"seq long, {key} string, stream string, epoch long")
      .coalesce(1).write.mode("append").json(path))
+
+
+def last_epoch(spark: SparkSession, path: str, stream: str):
+    """Newest micro-batch of ``stream`` that moved the mark, or None."""
+    try:
+        log = spark.read.schema("seq long, stream string, epoch long").json(path)
+        row = (log.where(F.col("stream") == stream).orderBy(F.col("seq").desc())
+               .select("epoch").first())
+    except Exception:  # no mark yet
+        return None
+    return row["epoch"] if row else None

@@ -12,6 +12,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,17 +48,43 @@ def ingest_stream(spark: SparkSession, source_dir: str, schema: T.StructType, ta
     return writer.start(target)
 
 
-def hwm_stream(spark: SparkSession, source_dir: str, schema: T.StructType, ts_col: str,
-               target: str, mark_path: str, checkpoint: str, fmt: str = "parquet"):
-    """Per micro-batch: keep rows past the stored mark, append, move the mark."""
+EPOCH = "stream_epoch"
+
+
+def hwm_batch(spark: SparkSession, ts_col: str, target: str, mark_path: str, stream: str):
+    """The ``foreachBatch`` function of ``hwm_stream``; safe to replay.
+
+    Spark replays a micro-batch whose commit it did not record. Each batch
+    writes its own ``stream_epoch=<stream hash>-<epoch>`` directory in
+    overwrite mode, so a replay before the mark moved rewrites the same rows
+    instead of appending them twice; once the mark records the batch, a
+    replay is skipped. The stream hash keeps two streams (e.g. a restart
+    with a new checkpoint) from overwriting each other's batches.
+    """
+    tag = hashlib.sha1(stream.encode()).hexdigest()[:12]
+
     def apply(batch: DataFrame, epoch_id: int) -> None:
+        done = state.last_epoch(spark, mark_path, stream)
+        if done is not None and done >= epoch_id:
+            return
         mark = state.read_mark(spark, mark_path)
         rows = new_rows(batch, ts_col, mark)
-        rows.write.mode("append").parquet(target)
+        rows.write.mode("overwrite").parquet(f"{target.rstrip('/')}/{EPOCH}={tag}-{epoch_id:010d}")
         # mark moves only after the rows are committed; bounded by the batch
-        state.save_mark(spark, mark_path, next_mark(rows, ts_col, mark))
+        state.save_mark(spark, mark_path, next_mark(rows, ts_col, mark),
+                        stream=stream, epoch=epoch_id)
+    return apply
+
+
+def hwm_stream(spark: SparkSession, source_dir: str, schema: T.StructType, ts_col: str,
+               target: str, mark_path: str, checkpoint: str, fmt: str = "parquet"):
+    """Per micro-batch: keep rows past the stored mark, write, move the mark.
 
+    ``target`` is partitioned by ``stream_epoch`` (one directory per batch;
+    the stream is identified by its checkpoint path).
+    """
     df = read_stream(spark, source_dir, schema, fmt, max_files_per_trigger=1)
+    apply = hwm_batch(spark, ts_col, target, mark_path, stream=checkpoint.rstrip("/"))
     return (df.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 from conftest import rows
 from strata.sources import state, versioned
 from strata.streaming.dimensions import scd1_foreach_batch, scd2_foreach_batch, start_dimension_stream
-from strata.streaming.ingest import dedup_stream, hwm_stream, ingest_stream, read_stream
+from strata.streaming.ingest import dedup_stream, hwm_batch, hwm_stream, ingest_stream, read_stream
 
 SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
                        T.StructField("v", T.StringType())])
@@ -53,6 +53,27 @@ def test_hwm_stream_keeps_strict_mark(spark, tmp_dir):
     assert state.read_mark(spark, mark) == "2024-01-04 00:00:00"
 
 
+def test_hwm_batch_replay_writes_once(spark, tmp_dir):
+    out, mark = f"{tmp_dir}/out", f"{tmp_dir}/mark"
+    apply = hwm_batch(spark, "ts", out, mark, stream="s1")
+    b0 = spark.createDataFrame([(1, _ts("2024-01-01 00:00:00"), "a")], SCHEMA)
+    apply(b0, 0)
+    apply(b0, 0)  # replay after the mark moved: skipped
+    b1 = spark.createDataFrame([(2, _ts("2024-01-02 00:00:00"), "b")], SCHEMA)
+    # a crash after the write but before the mark: the replay rewrites the batch
+    from strata.operators.incremental import new_rows
+    import hashlib
+    tag = hashlib.sha1(b"s1").hexdigest()[:12]
+    new_rows(b1, "ts", state.read_mark(spark, mark)).write.parquet(f"{out}/stream_epoch={tag}-0000000001")
+    apply(b1, 1)
+    assert rows(spark.read.parquet(out), "id") == [(1,), (2,)]
+    assert state.read_mark(spark, mark) == "2024-01-02 00:00:00"
+    # another stream on the same mark is not mistaken for a replay
+    b2 = spark.createDataFrame([(3, _ts("2024-01-03 00:00:00"), "c")], SCHEMA)
+    hwm_batch(spark, "ts", out, mark, stream="s2")(b2, 0)
+    assert rows(spark.read.parquet(out), "id") == [(1,), (2,), (3,)]
+
+
 def test_dedup_stream_removes_repeats(spark, tmp_dir):
     src = f"{tmp_dir}/src"
     _drop(spark, src, [(1, _ts("2024-01-01 00:00:00"), "a"), (2, _ts("2024-01-01 00:10:00"), "b")])
