@@ -287,8 +287,8 @@ def stage_states(spark, sf_dir) -> DataFrame:
     """One status row per validation task: failed when it rejected rows."""
     rows = []
     for name, keys, order in KEYED_TABLES:
-        flags = flagged_layer(spark, sf_dir, name, lambda n=name, k=keys, o=order: validate_keys(
-            table(spark, sf_dir, n), k, o))
+        flags = flagged_layer(spark, sf_dir, name, lambda n=name, k=keys, o=order:
+                              roles.validate_table(spark, sf_dir, n, k, o))
         counts = validation_counts(flags)
         rows.append(counts.select(
             F.lit(f"validate_{name}").alias("task_id"),

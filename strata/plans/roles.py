@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from strata.operators.validate import validate_keys
 from strata.plans.layers import flagged_layer
+from strata.sources.raw import ROW_ORDER, with_row_order
 from strata.specs import MONEY
 
 # The category lookup used with the test tables.
@@ -28,7 +29,8 @@ CATEGORY_LOOKUP = [
 ]
 
 LINEITEM_KEYS = ("l_orderkey", "l_linenumber")
-# "First" line of a repeated key: this ordering has no ties in the test data.
+# "First" line of a repeated key; ties (none in the test data) fall back to
+# file order.
 LINEITEM_ORDER = ("l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
 
 PRICE = T.DecimalType(12, 2)
@@ -44,10 +46,17 @@ def nation_names(spark, sf_dir) -> DataFrame:
     return F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
 
 
+def validate_table(spark, sf_dir, name: str, keys, order) -> DataFrame:
+    """Key validation of a test table; file order breaks ties in ``order``."""
+    flagged = validate_keys(with_row_order(table(spark, sf_dir, name)), keys,
+                            tuple(order) + ROW_ORDER)
+    return flagged.drop(*ROW_ORDER)
+
+
 def lineitem_flags(spark, sf_dir) -> DataFrame:
     """Validation layer of lineitem: all rows, flagged (stored once)."""
-    return flagged_layer(spark, sf_dir, "lineitem", lambda: validate_keys(
-        table(spark, sf_dir, "lineitem"), LINEITEM_KEYS, LINEITEM_ORDER))
+    return flagged_layer(spark, sf_dir, "lineitem", lambda: validate_table(
+        spark, sf_dir, "lineitem", LINEITEM_KEYS, LINEITEM_ORDER))
 
 
 def valid_lineitem(spark, sf_dir) -> DataFrame:

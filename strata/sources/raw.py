@@ -42,3 +42,21 @@ def read_raw_csv(spark: SparkSession, path: str, *, with_seq: bool = True,
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("row")).alias(SEQ))
     return df.select(*out)
+
+
+# Physical row order of a Parquet scan: a hash of the file path and the row
+# index inside the file.
+ROW_ORDER = ("_file", "_row")
+
+
+def with_row_order(df: DataFrame) -> DataFrame:
+    """``df`` (a Parquet scan) plus the ``ROW_ORDER`` columns.
+
+    The values depend only on the files, not on how a scan is split, so two
+    scans of the same table in one plan agree on them: used as the last
+    tiebreaker of "first row wins" rules. A 64-bit hash keeps shuffled rows
+    narrow; a tie would need equal order columns, an equal row index and a
+    hash collision between two file paths.
+    """
+    return df.select("*", F.xxhash64(F.col("_metadata.file_path")).alias(ROW_ORDER[0]),
+                     F.col("_metadata.row_index").alias(ROW_ORDER[1]))

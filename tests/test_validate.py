@@ -64,3 +64,17 @@ def test_first_and_last_per_key(spark):
                                "seq long, k string, v string")
     assert rows(last_per_key(df, ["k"], ["seq"]), "k", "v") == [("a", "y"), ("b", "z")]
     assert rows(first_per_key(df, ["k"], ["seq"]), "k", "v") == [("a", "x"), ("b", "z")]
+
+
+def test_exact_duplicates_keep_one_row_by_file_order(spark, tmp_dir):
+    from strata.plans import roles
+    # two identical rows per key: the order columns alone tie
+    data = [(1, 10, "x"), (1, 10, "x"), (2, 20, "y"), (3, 30, "z"), (3, 30, "z"), (3, 30, "z")]
+    spark.createDataFrame(data, "k long, v long, t string").coalesce(1) \
+        .write.parquet(f"{tmp_dir}/dup.parquet")
+    flagged = roles.validate_table(spark, tmp_dir, "dup", ["k"], ["v"])
+    assert "_file" not in flagged.columns and "_row" not in flagged.columns
+    valid, rej = split_valid(flagged)
+    assert rows(valid, "k") == [(1,), (2,), (3,)]
+    assert rows(rej, "k", "reject_reason") == [(1, "duplicate_key"), (3, "duplicate_key"),
+                                               (3, "duplicate_key")]
