@@ -4,12 +4,22 @@ Semantics: a row is rejected when any key part is null (``null_key``) or
 when an earlier row (by ``order_by``) has the same key (``duplicate_key``);
 the first row of every key survives. With no key spec every row is valid.
 
-Plan shape, chosen for skewed keys: the first row of each key is found
-with a *partial* aggregate (``min(struct(order_by))`` — map-side combine,
-so a key holding a third of the data never lands in one task), then joined
-back on ``key + order_by``. Hashing on the order columns spreads a hot
-key's rows over all partitions. Null-key rows are split off before the
-join so they never pile up in the one partition that null hashes to.
+Plan shape, chosen for size and skew:
+
+1. The *repeated* keys are found with a partial aggregate over the key and
+   order columns only (``count`` and ``min(struct(order_by))``, combined
+   map-side, so a key holding a third of the data never lands in one
+   task). The result — one narrow row per repeated key — is written under
+   ``spark.checkpoint.dir`` and its row count is read from the files.
+2. If it has at most ``broadcast_rows`` rows it is broadcast, and every row
+   is flagged where it lies: no shuffle of the (wide) input at all, and a
+   hot key costs nothing extra.
+3. Otherwise the first row of every key is joined back on key *and* order
+   columns (a sort-merge join); hashing on the order columns spreads a hot
+   key's rows over all partitions.
+
+Null-key rows are split off before any join so they never pile up in the
+one partition that null hashes to.
 """
 
 from __future__ import annotations
@@ -18,9 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.scalar import any_null
+from strata.sources.checkpoint import materialize
 
 NULL_KEY = "null_key"
 DUPLICATE_KEY = "duplicate_key"
+# Repeated-key rows broadcast at most (narrow rows: key + order columns).
+BROADCAST_ROWS = 1_000_000
 
 
 def check_columns(df: DataFrame, columns, what: str = "key") -> None:
@@ -30,11 +43,13 @@ def check_columns(df: DataFrame, columns, what: str = "key") -> None:
         raise ValueError(f"missing {what} columns {missing}")
 
 
-def validate_keys(df: DataFrame, keys, order_by=("_seq",)) -> DataFrame:
+def validate_keys(df: DataFrame, keys, order_by=("_seq",),
+                  broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Return ``df`` plus ``is_valid`` (bool) and ``reject_reason`` (string).
 
     ``order_by`` defines "first" and must be unique within a key; the
-    default ``_seq`` column is captured at the raw scan (see sources.raw).
+    default ``_seq`` column is captured at the scan (see sources.raw). The
+    call is eager: it stores the repeated keys (one job) to pick the plan.
     """
     keys = list(keys)
     if not keys:
@@ -49,15 +64,28 @@ def validate_keys(df: DataFrame, keys, order_by=("_seq",)) -> DataFrame:
     nulls = df.where(null_key).withColumns({
         "is_valid": F.lit(False), "reject_reason": F.lit(NULL_KEY)})
 
-    first = (keyed.groupBy(*keys)
-             .agg(F.min(F.struct(*order_by)).alias("_first"))
-             .select(*[F.col(k).alias(f"_k_{i}") for i, k in enumerate(keys)],
-                     *[F.col(f"_first.{c}").alias(f"_o_{i}") for i, c in enumerate(order_by)],
-                     F.lit(True).alias("_is_first")))
-    cond = [keyed[k] == first[f"_k_{i}"] for i, k in enumerate(keys)]
-    cond += [keyed[c].eqNullSafe(first[f"_o_{i}"]) for i, c in enumerate(order_by)]
-    joined = keyed.join(first, cond, "left")
-    is_first = F.coalesce(F.col("_is_first"), F.lit(False))
+    def first_rows(min_count: int) -> DataFrame:
+        return (keyed.groupBy(*keys)
+                .agg(F.min(F.struct(*order_by)).alias("_first"), F.count(F.lit(1)).alias("_n"))
+                .where(F.col("_n") >= min_count)
+                .select(*[F.col(k).alias(f"_k_{i}") for i, k in enumerate(keys)],
+                        *[F.col(f"_first.{c}").alias(f"_o_{i}") for i, c in enumerate(order_by)]))
+
+    key_eq = [keyed[k] == F.col(f"_k_{i}") for i, k in enumerate(keys)]
+    order_eq = [keyed[c].eqNullSafe(F.col(f"_o_{i}")) for i, c in enumerate(order_by)]
+    repeated = materialize(first_rows(2))
+    if repeated.count() <= broadcast_rows:
+        # unmatched rows have a key that occurs once: valid
+        joined = keyed.join(F.broadcast(repeated), key_eq, "left")
+        matched = F.col("_k_0").isNotNull()
+        first_match = order_eq[0]
+        for e in order_eq[1:]:
+            first_match = first_match & e
+        is_first = ~matched | first_match
+    else:
+        first = first_rows(1).withColumn("_is_first", F.lit(True))
+        joined = keyed.join(first, key_eq + order_eq, "left")
+        is_first = F.coalesce(F.col("_is_first"), F.lit(False))
     flagged = joined.select(
         *[keyed[c] for c in df.columns],
         is_first.alias("is_valid"),

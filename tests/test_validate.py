@@ -78,3 +78,20 @@ def test_exact_duplicates_keep_one_row_by_file_order(spark, tmp_dir):
     assert rows(valid, "k") == [(1,), (2,), (3,)]
     assert rows(rej, "k", "reject_reason") == [(1, "duplicate_key"), (3, "duplicate_key"),
                                                (3, "duplicate_key")]
+
+
+def test_broadcast_and_shuffle_plans_agree(spark):
+    # a hot key (a third of the rows), ordinary repeats, unique keys, null keys
+    df = spark.range(0, 3000).select(
+        F.col("id").alias("seq"),
+        F.when(F.col("id") % 3 == 0, F.lit(0))
+         .when(F.col("id") % 11 == 0, F.lit(None))
+         .otherwise(F.col("id") % 1400).alias("k"),
+        (F.col("id") * 7).alias("payload"))
+    small = validate_keys(df, ["k"], ["seq"])                     # broadcast plan
+    large = validate_keys(df, ["k"], ["seq"], broadcast_rows=0)   # shuffle join plan
+    cols = ("seq", "k", "payload", "is_valid", "reject_reason")
+    assert rows(small, *cols) == rows(large, *cols)
+    first = df.where(F.col("k").isNotNull()).groupBy("k").agg(F.min("seq").alias("seq"))
+    assert rows(small.where("is_valid"), "k", "seq") == rows(first, "k", "seq")
+    assert small.where("reject_reason = 'null_key'").count() == df.where("k is null").count()
