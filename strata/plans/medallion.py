@@ -32,6 +32,7 @@ from strata.sources.raw import SEQ, read_raw_csv
 from strata.functions.scalar import run_id as run_id_expr
 from strata.functions.scalar import tolerant_timestamp
 from strata.specs import DATASETS, PRODUCT_TRACKED_COLUMNS, TableSpec
+from strata.sources.local import local_frame
 
 BATCH = "batch"
 INITIAL_BATCH = "b_0"
@@ -262,7 +263,7 @@ def run_catalog(spark: SparkSession, layout: Layout, raw_dir: str, specs=DATASET
 
 
 def run_audit(spark: SparkSession, layout: Layout, result: RunResult, start, end) -> DataFrame:
-    stages = spark.createDataFrame(list(result.states.items()), "task_id string, state string")
+    stages = local_frame(spark, list(result.states.items()), "task_id string, state string")
     rec = audit_record(stages, result.run_id, start, end)
     if result.errors:
         detail = "; ".join(f"{k}: {v}" for k, v in sorted(result.errors.items()))

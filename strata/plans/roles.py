@@ -20,6 +20,7 @@ from strata.operators.validate import validate_keys
 from strata.plans.layers import flagged_layer
 from strata.sources.raw import ROW_ORDER, with_row_order
 from strata.specs import MONEY
+from strata.sources.local import local_frame
 
 # The category lookup used with the test tables.
 CATEGORY_LOOKUP = [
@@ -114,8 +115,8 @@ def sellers(spark, sf_dir) -> DataFrame:
 
 
 def translation(spark) -> DataFrame:
-    return spark.createDataFrame(
-        CATEGORY_LOOKUP, "product_category_name string, product_category_name_english string")
+    return local_frame(
+        spark, CATEGORY_LOOKUP, "product_category_name string, product_category_name_english string")
 
 
 def role_tables(spark: SparkSession, sf_dir: str) -> dict:

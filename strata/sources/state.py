@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from strata.sources.local import local_frame
 
 MARK_KEY = "last_order_timestamp"
 
@@ -33,7 +34,7 @@ def save_mark(spark: SparkSession, path: str, mark_frame: DataFrame, key: str =
     row = mark_frame.select(F.col(mark_frame.columns[0]).cast("string").alias(key)).first()
     if row is None or row[key] is None:
         return
-    (spark.createDataFrame([(time.time_ns(), row[key], stream, epoch)],
+    (local_frame(spark, [(time.time_ns(), row[key], stream, epoch)],
                            f"seq long, {key} string, stream string, epoch long")
      .coalesce(1).write.mode("append").json(path))
 

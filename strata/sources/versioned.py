@@ -17,6 +17,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from strata.sources.local import local_frame
 
 POINTER = "_pointer"
 
@@ -36,7 +37,7 @@ def write_version(df: DataFrame, base: str, partition_by=None) -> str:
     writer.parquet(f"{base}/v_{version}")
     # the log keeps the schema too: partition columns (e.g. a boolean flag)
     # would otherwise be re-inferred from directory names as text
-    (spark.createDataFrame([(version, df.schema.json())], "version string, schema string")
+    (local_frame(spark, [(version, df.schema.json())], "version string, schema string")
      .coalesce(1).write.mode("append").json(f"{base}/{POINTER}"))
     return version
 
