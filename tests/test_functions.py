@@ -86,3 +86,16 @@ def test_normalise_names(spark):
     import pytest
     with pytest.raises(ValueError):
         normalise_names(spark.createDataFrame([(1, 2)], "`A` int, `a ` int"))
+
+
+def test_local_frame_types_nulls_and_empty(spark):
+    import datetime as dt
+    from strata.sources.local import local_frame
+    df = local_frame(spark, [(1, "a", None), (2, None, dt.datetime(2024, 1, 2, 3))],
+                     "id long, s string, ts timestamp_ntz")
+    assert [f.simpleString() for f in df.schema.fields] == ["id:bigint", "s:string", "ts:timestamp_ntz"]
+    assert sorted(df.collect()) == [(1, "a", None), (2, None, dt.datetime(2024, 1, 2, 3))]
+    empty = local_frame(spark, [], "id long, s string")
+    assert empty.count() == 0 and empty.columns == ["id", "s"]
+    # no Python RDD behind it
+    assert "ExistingRDD" not in df._jdf.queryExecution().executedPlan().toString()
