@@ -5,7 +5,8 @@ written instead of re-deriving it: the validation layer of a keyed table
 (flagged rows, partitioned by ``is_valid``), the business table and the
 customer summary. Each layer is built by the first query that needs it in
 a Spark application, written as Parquet under ``spark.checkpoint.dir``
-(reliable storage) and read back by the others.
+(reliable storage) and read back by the others. ``clear_layers`` makes the
+next query rebuild them (after the source tables changed).
 """
 
 from __future__ import annotations
@@ -39,3 +40,15 @@ def flagged_layer(spark: SparkSession, sf_dir: str, table: str, build) -> DataFr
     """Validation layer: every row with ``is_valid`` / ``reject_reason``."""
     df = stored_layer(spark, sf_dir, f"validation/{table}", build, partition_by=["is_valid"])
     return df.withColumn("is_valid", F.col("is_valid").cast("boolean"))
+
+
+def clear_layers(spark: SparkSession | None = None) -> None:
+    """Forget stored layers (all, or those of ``spark``'s application), so
+    the next query rebuilds them; call after the source tables change."""
+    with _LOCK:
+        if spark is None:
+            _STORE.clear()
+            return
+        app = spark.sparkContext.applicationId
+        for key in [k for k in _STORE if k[0] == app]:
+            del _STORE[key]

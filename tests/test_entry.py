@@ -40,3 +40,18 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(sp.columns) == sorted(od.columns)
     assert len(sp) == len(od)
     assert digest(sp)[0] == digest(od)[0]
+
+
+def test_clear_layers_rebuilds(spark):
+    from strata.plans import layers
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.range(3)
+    a = layers.stored_layer(spark, "/nowhere", "probe", build)
+    layers.stored_layer(spark, "/nowhere", "probe", build)
+    assert len(calls) == 1 and a.count() == 3
+    layers.clear_layers(spark)
+    layers.stored_layer(spark, "/nowhere", "probe", build)
+    assert len(calls) == 2
