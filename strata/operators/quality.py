@@ -80,7 +80,8 @@ def catalog(spark: SparkSession, entries, as_of=None) -> DataFrame:
 
 
 def audit_record(stages: DataFrame, run_id, start_time, end_time,
-                 task_col: str = "task_id", state_col: str = "state") -> DataFrame:
+                 task_col: str = "task_id", state_col: str = "state",
+                 pipeline_name: str = PIPELINE_NAME) -> DataFrame:
     """One audit row from a task-status table.
 
     status FAILED when any task is failed / upstream_failed; the message
@@ -94,7 +95,7 @@ def audit_record(stages: DataFrame, run_id, start_time, end_time,
     has_failed = F.size("_failed") > 0
     return agg.select(
         F.lit(run_id).cast("string").alias("run_id"),
-        F.lit(PIPELINE_NAME).alias("pipeline_name"),
+        F.lit(pipeline_name).alias("pipeline_name"),
         F.date_format(start, "yyyy-MM-dd'T'HH:mm:ss").alias("start_time"),
         F.date_format(end, "yyyy-MM-dd'T'HH:mm:ss").alias("end_time"),
         F.when(has_failed, F.lit(STATUS_FAILED)).otherwise(F.lit(STATUS_SUCCESS)).alias("status"),

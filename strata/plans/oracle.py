@@ -9,6 +9,7 @@ from __future__ import annotations
 from strata.plans.queries import (
     AS_OF, AS_OF_2, DAYS_FROM, DRIVER_TABLES, HWM_MARK, RUN_END, RUN_ID, SNAPSHOT_CUT,
 )
+from strata.specs import PIPELINE_NAME
 
 _ITEMS = """
 items_v as (
@@ -237,7 +238,7 @@ from lf"""
         for t in DRIVER_TABLES)
     q["C4"] = f"""with st as ({_STAGES}),
 f as (select list_sort(list(task_id) filter (where state in ('failed', 'upstream_failed'))) names from st)
-select '{RUN_ID}' run_id, 'Olist Data Pipeline' pipeline_name,
+select '{RUN_ID}' run_id, '{PIPELINE_NAME}' pipeline_name,
        strftime(TIMESTAMP '{AS_OF}', '%Y-%m-%dT%H:%M:%S') start_time,
        strftime(TIMESTAMP '{RUN_END}', '%Y-%m-%dT%H:%M:%S') end_time,
        case when len(names) > 0 then 'FAILED' else 'SUCCESS' end status,

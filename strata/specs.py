@@ -36,8 +36,8 @@ PRODUCT_TRACKED_COLUMNS = (
     "product_width_cm",
 )
 
-# Name written into the audit table.
-PIPELINE_NAME = "Olist Data Pipeline"
+# Default name written into the audit table (``audit_record`` takes another).
+PIPELINE_NAME = "Medallion Data Pipeline"
 
 # Timestamp text formats accepted by the tolerant parser, tried in order.
 TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")
@@ -68,7 +68,8 @@ class TableSpec:
         return [c for c in columns if c not in typed]
 
 
-# The nine source datasets, keys and declared silver types.
+# The nine source datasets with the landing file names of the
+# input data, their keys and declared silver types.
 DATASETS = {
     "customers": TableSpec(
         "customers", "olist_customers_dataset.csv", keys=("customer_id",)),
