@@ -2,4 +2,44 @@
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+# Sizes in words, the water level of the targets (a source is full when 3 * size / weight is
+# among the smallest), and the rows below each source's budget in the order of their hash.
+OP1 = r"""
+with d as (
+  select doc_id, coalesce(source, '') as src, source is null as no_source,
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
+         ('0x' || substr(md5(concat_ws(':', doc_id::varchar, text)), 1, 15))::bigint as key
+  from documents),
+s as (select src, no_source, sum(size)::bigint as source_size from d group by all),
+w as (select *, [5.0, 2.0, 1.0][(row_number() over (order by no_source, src) - 1) % 3 + 1]::double as weight from s),
+o as (select *, row_number() over (order by 3.0 * source_size / weight, no_source, src) as i from w),
+c as (select *, sum(source_size) over () as total,
+             coalesce(sum(3.0 * source_size) over (order by i rows between unbounded preceding and 1 preceding), 0) as full_before,
+             sum(weight) over (order by i rows between current row and unbounded following) as weight_left from o),
+f as (select min((total - full_before) / weight_left) filter (where (total - full_before) / weight_left * weight < 3.0 * source_size) as factor,
+             min(i) filter (where (total - full_before) / weight_left * weight < 3.0 * source_size) as first_open from c),
+t as (select src, no_source, source_size,
+             case when source_size = 0 then 0.0 when i < first_open then 3.0 * source_size
+                  else (select (total - full_before) / weight_left from c x where x.i = f.first_open) * weight end as target
+      from c, f),
+p as (select *, floor(target / greatest(source_size, 1)) as passes from t),
+r as (select *, target - passes * source_size as budget from p),
+k as (select src, no_source, key, sum(size) as size from d group by all),
+e as (select *, sum(size) over (partition by src, no_source order by key) as upto from k),
+x as (select d.doc_id, d.size, r.source_size, r.target,
+             (d.size * (r.passes + case when 2 * (e.upto - e.size) + e.size <= 2 * r.budget then 1 else 0 end))::bigint as taken
+      from d join r using (src, no_source) join e using (src, no_source, key))
+select doc_id, size, source_size, target, taken from x
+"""
+
+OP6 = """
+with p as (select page_id, coalesce(html, '') as html, strlen(coalesce(html, ''))::bigint as payload_bytes,
+                  sha1(coalesce(html, '')) as payload_digest from pages),
+m as (select *, max(page_id) over (partition by payload_digest) as held_by from p)
+select page_id, payload_bytes, payload_digest,
+       case when payload_bytes >= 1000 and page_id < held_by then 'revisit' else 'response' end as record_type,
+       case when payload_bytes >= 1000 and page_id < held_by then held_by end as refers_to
+from m
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_mixing": OP1, "op6_warc": OP6}

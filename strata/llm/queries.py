@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, token_counts
+from strata.llm import bpe, mixing, token_counts, warc
+from strata.llm.common import n_words
+from strata.sources.checkpoint import table_dir
 
 QUERIES = {}
 
@@ -23,6 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@registered
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the weights 5, 2, 1 of their sources, sizes in words."""
+    docs = table(spark, sf_dir, "documents")
+    return mixing.mix(docs, n_words(F.col("text")), keep=["doc_id"]).drop("copies")
+
+
 @registered
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the 32k piece model, and whether they exceed 4096."""
@@ -31,6 +40,14 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
+@registered
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as a web archive, read back and assembled by capture."""
+    path = table_dir(spark)
+    warc.write_archive(table(spark, sf_dir, "pages"), path)
+    return warc.page_records(spark, path)
+
+
 @registered
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded with the 50k byte-level vocabulary and decoded again."""
