@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, mixing, token_counts, warc
+from strata.llm import bpe, mixing, quality_rules, token_counts, warc
 from strata.llm.common import n_words
 from strata.sources.checkpoint import table_dir
 
@@ -48,6 +48,15 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(spark, path)
 
 
+@registered
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every document, and whether the base rule and the learned rules keep it."""
+    docs = table(spark, sf_dir, "documents")
+    rules = quality_rules.learn_rules(docs, table(spark, sf_dir, "labels"))
+    return quality_rules.judge(docs.select("doc_id", "text"), rules).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
 @registered
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded with the 50k byte-level vocabulary and decoded again."""
