@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, mixing, quality_rules, token_counts, warc
+from strata.llm import bpe, mixing, personal_data, quality_rules, token_counts, warc
 from strata.llm.common import n_words
 from strata.sources.checkpoint import table_dir
 
@@ -32,6 +32,14 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, n_words(F.col("text")), keep=["doc_id"]).drop("copies")
 
 
+@registered
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base spans, and all spans with those that the trees accept."""
+    found = personal_data.find(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *[f"n_{k}" for k in personal_data.BASE_KINDS], F.sha2(personal_data.listed(F.col("base")), 256).alias("base_sha256"),
+                        personal_data.listed(F.col("spans")).alias("spans"))
+
+
 @registered
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the 32k piece model, and whether they exceed 4096."""
