@@ -4,9 +4,10 @@
 request, the response (or, for a payload that another page's response holds,
 a revisit) and a metadata record. Request and metadata name the response in
 WARC-Concurrent-To. Spark's text writer ends each record with the two line
-ends that the format asks for.
+ends that the format asks for, and compresses the files, one for each task.
 
-``read_records`` cuts archives of any size at the version line, in parallel.
+``read_records`` cuts archives at the version line as they stream by, many
+files in parallel and those without compression by split.
 A payload that holds the version line itself is written in chunked transfer
 coding with a chunk border inside that line, so the cut is safe; a record
 that is shorter than its Content-Length raises an error.
@@ -85,7 +86,7 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
     about = record("metadata", record_id(F.lit("metadata"), F.col("id"), F.col("digest"), F.col("url")),
                    F.concat(F.lit("page-id: "), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(CRLF)),
                    "application/warc-fields", date, Target_URI=target, Concurrent_To=rid)
-    joined.select(F.explode(F.array(request, response, about)).alias("value")).write.option("lineSep", CRLF + CRLF).text(path)
+    joined.select(F.explode(F.array(request, response, about)).alias("value")).write.option("lineSep", CRLF + CRLF).text(path, compression="gzip")
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
