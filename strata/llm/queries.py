@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, mixing, personal_data, quality_rules, token_counts, warc
+from strata.llm import bpe, language_id, mixing, personal_data, quality_rules, token_counts, warc
 from strata.llm.common import n_words
 from strata.sources.checkpoint import table_dir
 
@@ -56,6 +56,17 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(spark, path)
 
 
+@registered
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document (its source is the host) and of every page, and whether it is accepted."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.lit(None).cast("long").alias("page_id"), "text", F.col("lang").alias("said"), F.col("source").alias("host"), F.lit(None).cast("string").alias("suffix"))
+    host = language_id.url_host(F.col("url"))
+    pages = table(spark, sf_dir, "pages").select(F.lit(None).cast("long").alias("doc_id"), "page_id", language_id.page_text(F.col("html")).alias("text"),
+                                                 language_id.page_language(F.col("html")).alias("said"), host.alias("host"), F.substring_index(host, ".", -1).alias("suffix"))
+    found = language_id.identify(docs.unionByName(pages), *[F.col(c) for c in ("text", "said", "host", "suffix")])
+    return found.select("doc_id", "page_id", "language", "confidence", "accepted")
+
+
 @registered
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of every document, and whether the base rule and the learned rules keep it."""
