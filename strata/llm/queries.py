@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, language_id, mixing, personal_data, quality_rules, token_counts, warc
+from strata.llm import bpe, language_id, mixing, near_dup, personal_data, quality_rules, token_counts, warc
 from strata.llm.common import n_words
 from strata.sources.checkpoint import table_dir
 
@@ -32,6 +32,12 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, n_words(F.col("text")), keep=["doc_id"]).drop("copies")
 
 
+@registered
+def op3_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near-duplicates (0.8 or more on five-word runs) of every document."""
+    return near_dup.classes(table(spark, sf_dir, "documents"))
+
+
 @registered
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: base spans, and all spans with those that the trees accept."""
