@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, language_id, mixing, near_dup, personal_data, quality_rules, token_counts, warc
+from strata.llm import bpe, language_id, mixing, near_dup, personal_data, quality_rules, token_counts, vector_search, warc
 from strata.llm.common import n_words
 from strata.sources.checkpoint import table_dir
 
@@ -73,6 +73,12 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "page_id", "language", "confidence", "accepted")
 
 
+@registered
+def op8_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest other vectors of every vector whose id is divisible by 100."""
+    return vector_search.search(table(spark, sf_dir, "embeddings"), F.col("_id") % 100 == 0)
+
+
 @registered
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of every document, and whether the base rule and the learned rules keep it."""
