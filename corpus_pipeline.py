@@ -1,30 +1,55 @@
-"""Documents to training tokens: the operators of ``strata.llm`` in a row.
+"""Documents to training tokens: five operators of ``strata.llm`` in a row.
 
 ``STAGES`` lists (name, function); each function takes ``(spark, docs, sf_dir)``
 and returns a DataFrame that is written as Parquet and read again as the next
-one's ``docs``.
+one's ``docs``. All but the last return the columns of the documents.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import bpe
+from strata.llm import bpe, language_id, mixing, near_dup, personal_data
+from strata.llm.common import n_words
 from strata.sources.checkpoint import materialize
 
 
-def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document that is left."""
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is identified; the source is the host, the declared language the markup."""
+    found = language_id.identify(docs, F.col("text"), F.col("lang"), F.col("source"), F.lit(None).cast("string"))
+    return found.where("accepted").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates."""
+    return near_dup.keep_one(docs)
+
+
+def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced, and their new length."""
+    return personal_data.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of their sources takes them."""
+    taken = mixing.mix(docs, n_words(F.col("text"))).where("copies > 0")
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token count and digest of the ids of each document, and of the text decoded from them."""
     return bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
 
 
-STAGES = [("bpe", encode)]
+STAGES = [("language", languages), ("near_dup", near_duplicates), ("personal_data", personal), ("mixing", mixed), ("bpe", encoded)]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents; what a stage returns is stored and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
+    for _, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

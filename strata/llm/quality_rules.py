@@ -44,18 +44,22 @@ BINS = 32
 MAX_RULES, MAX_CONDITIONS = 12, 3
 MIN_PRECISION, MIN_COVERED = 0.95, 5
 
-FEATURES = {
-    "words": F.col("n_words"),
-    "word_length": F.col("word_chars") / F.col("n_words"),
-    "symbol_share": F.col("n_symbols") / F.col("word_chars"),
-    "dup_line_share": F.col("n_dup_lines") / F.col("n_lines"),
-    "repeat_share": F.col("n_repeat_words") / F.col("n_words"),
-    "kind_share": F.col("n_word_kinds") / F.col("n_words"),
-    "capital_share": F.col("n_capitals") / F.col("word_chars"),
-    "exclamation_share": F.col("n_exclamations") / F.col("n_words"),
+FEATURES = {  # of the statistics, as SQL
+    "words": "n_words",
+    "word_length": "try_divide(word_chars, n_words)",
+    "symbol_share": "try_divide(n_symbols, word_chars)",
+    "dup_line_share": "try_divide(n_dup_lines, n_lines)",
+    "repeat_share": "try_divide(n_repeat_words, n_words)",
+    "kind_share": "try_divide(n_word_kinds, n_words)",
+    "capital_share": "try_divide(n_capitals, word_chars)",
+    "exclamation_share": "try_divide(n_exclamations, n_words)",
 }
 
 
+def feature(name: str) -> Column:
+    return F.coalesce(F.expr(FEATURES[name]).cast("double"), F.lit(0.0))
+
+
 def bound(value: Column, fn) -> Column:
     """``fn`` of a value that is worked out once, however often ``fn`` uses it."""
     return F.element_at(F.transform(F.array(value), fn), 1)
@@ -120,8 +124,8 @@ class Condition:
     value: float
 
     def column(self) -> Column:
-        feature = F.coalesce(FEATURES[self.feature].cast("double"), F.lit(0.0))
-        return feature > self.value if self.above else feature <= self.value
+        value = feature(self.feature)
+        return value > self.value if self.above else value <= self.value
 
 
 def gain(p: int, n: int, p0: int, n0: int) -> float:
@@ -147,7 +151,7 @@ def learn_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(known), "_id")
     stats = with_stats(rows).where(~F.col("base_failed"))
     sample = materialize(stats.select("_bad", (F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(3)) == 0).alias("_prune"),
-                                      *[F.coalesce(c.cast("double"), F.lit(0.0)).alias(f) for f, c in FEATURES.items()]))
+                                      *[feature(f).alias(f) for f in FEATURES]))
     steps = [i / BINS for i in range(1, BINS)]
     at = sample.groupBy("_bad").agg(*[F.percentile_approx(f, steps, 10_000).alias(f) for f in FEATURES]).collect()
     cuts = {f: sorted({x for row in at for x in row[f] or []}) for f in FEATURES}

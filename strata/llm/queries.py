@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, language_id, mixing, near_dup, personal_data, quality_rules, token_counts, vector_search, warc
+from strata.llm import bpe, chat_tools, language_id, mixing, near_dup, personal_data, quality_rules, token_counts, vector_search, warc
 from strata.llm.common import n_words
 from strata.sources.checkpoint import table_dir
 
@@ -32,6 +32,14 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, n_words(F.col("text")), keep=["doc_id"]).drop("copies")
 
 
+@registered
+def op2_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations taken as tool calls and results: linked, ordered, validated, as canonical JSON."""
+    calls, results = chat_tools.turns_as_calls(table(spark, sf_dir, "conversations"))
+    found = chat_tools.link(calls, results, chat_tools.TURN_SCHEMAS)
+    return found.select("conv_id", "call_id", F.col("position").alias("turn"), "name", "status", "topo", "n_results", F.array_join("problems", ",").alias("problems"), "record")
+
+
 @registered
 def op3_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near-duplicates (0.8 or more on five-word runs) of every document."""

@@ -142,7 +142,7 @@ def captures(records: DataFrame) -> DataFrame:
         with_id.alias("capture_id"), F.struct(F.regexp_extract(text, r"^(\S+)", 1).alias("method"), F.regexp_extract(text, r"^\S+ (\S+)", 1).alias("path"),
                                               header("Host", http).alias("host")).alias("request")).groupBy("capture_id").agg(F.min("request").alias("request"))
     abouts = records.where("type = 'metadata'").select(
-        with_id.alias("capture_id"), F.struct(header("page-id", text).cast("long").alias("page_id")).alias("metadata")).groupBy("capture_id").agg(F.min("metadata").alias("metadata"))
+        with_id.alias("capture_id"), F.struct(header("page-id", text).try_cast("long").alias("page_id")).alias("metadata")).groupBy("capture_id").agg(F.min("metadata").alias("metadata"))
     joined = answers.join(requests, "capture_id", "left").join(abouts, "capture_id", "left")
     return joined.select("capture_id", "url", "request", F.struct("record_type", "status", "payload", "payload_digest", "payload_bytes", "refers_to").alias("response"), "metadata")
 
