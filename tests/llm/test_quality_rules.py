@@ -1,0 +1,64 @@
+import re
+from collections import Counter
+
+from strata.llm import quality_rules
+from tests.llm.fixtures import ODD_DOCS, empty_docs, odd_docs
+
+SF = "/root/testdata/sf0.01"
+
+
+def stats(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    times, covered = Counter(windows), set()
+    for i, w in enumerate(windows):
+        if times[w] > 1:
+            covered |= set(range(i, i + 5))
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return {"n_words": len(words), "word_chars": sum(map(len, words)), "n_symbols": sum(c in "#*$%&|<>" for c in text or ""),
+            "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(covered)}
+
+
+def equal(row):
+    want = stats(row["text"])
+    want["base_failed"] = want["n_words"] < 10 or 100 * want["n_repeat_words"] > 20 * want["n_words"]
+    return all(row[k] == v for k, v in want.items())
+
+
+def test_statistics(spark):
+    more = [(20, "a b c d e a b c d e f", None, None, 0), (21, "a a a a a a a", None, None, 0), (22, "x\nx\n\n \nX\nx", None, None, 0),
+            (23, "a b c d e\na b c d e x y a b c d", None, None, 0), (24, "a b c d e", None, None, 0)]
+    got = quality_rules.judge(odd_docs(spark, ODD_DOCS + more), []).collect()
+    assert len(got) == len(ODD_DOCS) + len(more)
+    assert all(equal(r) and r["kept"] == (not r["base_failed"]) for r in got)
+
+
+def test_statistics_of_documents(spark):
+    rows = quality_rules.with_stats(spark.read.parquet(f"{SF}/documents.parquet")).collect()
+    assert len(rows) == 1000 and all(map(equal, rows))
+
+
+def test_rules_on_held_out_labels(spark):
+    """Rules learned on the small tables judge other documents of the larger ones."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    rules = quality_rules.learn_rules(docs, labels)
+    assert rules
+    other = "/root/testdata/sf0.1"
+    held = spark.read.parquet(f"{other}/documents.parquet").where("doc_id >= 5000").join(spark.read.parquet(f"{other}/labels.parquet"), "doc_id")
+    rows = quality_rules.judge(held, rules).where("not base_failed").select("quality", "kept").collect()
+    bad, good = [r["kept"] for r in rows if r["quality"] == 0], [r["kept"] for r in rows if r["quality"] == 1]
+    assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.1 * len(bad)
+
+
+def test_without_labels(spark):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert quality_rules.learn_rules(odd_docs(spark), labels) == []
+    one_kind = spark.createDataFrame([(1, 1, 0), (2, 1, 0), (None, 0, 0), (3, None, 0)], "doc_id long, quality int, toxic int")
+    assert quality_rules.learn_rules(odd_docs(spark), one_kind) == []
+    assert quality_rules.judge(empty_docs(spark), []).collect() == []
+
+
+def test_judge_with_rules_on_odd_rows(spark):
+    rules = [[quality_rules.Condition("symbol_share", True, 0.0), quality_rules.Condition("words", False, 1e9)]]
+    got = quality_rules.judge(odd_docs(spark), rules).collect()
+    assert len(got) == len(ODD_DOCS) and {r["rule"] for r in got} == {0, 1}
