@@ -6,100 +6,50 @@ Rows whose value or partition key is null get a null rank.
 
 A plain ``dense_rank().over(Window.partitionBy(p).orderBy(v))`` sorts every
 group inside one task, and with no partition it sorts the whole table in a
-single task. Here the rank is assembled from bounded pieces:
-
-1. distinct ``(p, v)`` pairs (hash aggregate with map-side combine);
-2. per group: the count of distinct values; groups with more than
-   ``bucket_rows`` values are *hot* and are cut into value ranges at
-   approximate quantiles (``percentile_approx``, a partial aggregate);
-3. a local rank inside each ``(p, range)`` piece (a window over at most
-   about ``bucket_rows`` values);
-4. an offset per piece = running count of the distinct values in the lower
-   pieces of the same group (a window over one row per piece);
-5. rank = offset + local rank, joined back on ``(p, v)``.
-
-The distinct pairs of step 1 feed four branches (counts, bounds, pieces,
-sizes). They are written once under ``spark.checkpoint.dir`` and read back,
-so the input (often a join) is computed twice — for the pairs and for the
-join back — instead of once per branch. This makes the call eager: it runs
-one job that stores the pairs.
-
-Small groups take a single piece, so for them this is the plain window.
-The result is exact for any split: the ranges only decide which task does
-the work, never the rank itself.
+single task. Here:
+
+1. the distinct ``(p, v)`` pairs are stored (hash aggregate with map-side
+   combine) and counted;
+2. up to ``bucket_rows`` pairs are ranked by one window;
+3. more are range-partitioned by ``(p, v)`` in the type's own order into as
+   many pieces as there are ``bucket_rows`` pairs. Each piece is ranked by
+   itself, and a group that goes on from earlier pieces adds the number of
+   its values there. A piece continues at most one group, so these offsets
+   are at most as many rows as pieces, and are broadcast;
+4. ranks are joined back on ``(p, v)``.
+
+Pieces only decide which task does the work: values keep Spark's order (NaN
+above all numbers, timestamps without zone as they are), whatever
+``bucket_rows`` is. The call is eager: it stores the pairs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strata.sources.checkpoint import materialize
 
 DEFAULT_BUCKET_ROWS = 1_000_000
-MAX_PIECES = 1024
-
-
-def _sort_key(dtype: T.DataType, c: Column) -> Column:
-    """A double that never decreases when the value increases."""
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast(T.TimestampType())).cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(dtype, T.NumericType):
-        return c.cast("double")
-    raise TypeError(f"dense_rank_by: unsupported order type {dtype}")
 
 
 def dense_rank_by(df: DataFrame, order_col: str, partition_by=(), ascending: bool = True,
-                  out: str = "rank", bucket_rows: int = DEFAULT_BUCKET_ROWS,
-                  max_pieces: int = MAX_PIECES) -> DataFrame:
-    """``df`` plus an integer column ``out`` holding the null-aware dense rank."""
+                  out: str = "rank", bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
+    """``df`` plus a BIGINT column ``out`` holding the null-aware dense rank."""
     parts = list(partition_by)
-    v = order_col
-    not_null = F.col(v).isNotNull()
+    keys = parts + [order_col]
+    not_null = F.col(order_col).isNotNull()
     for p in parts:
         not_null = not_null & F.col(p).isNotNull()
-
-    gkeys = parts or ["_g"]
-    sk = _sort_key(df.schema[v].dataType, F.col(v))
-    if not ascending:
-        sk = -sk
-    vals = df.where(not_null).select(*parts, v).distinct()
-    if not parts:
-        vals = vals.withColumn("_g", F.lit(0))
-    vals = materialize(vals.withColumn("_sk", sk))
-
-    # Hot groups get range boundaries; one row per hot group.
-    counts = vals.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > F.lit(bucket_rows))
-    # the quantile levels i / max_pieces, as one literal array expression
-    levels = ", ".join(repr(i / max_pieces) for i in range(1, max_pieces))
-    bounds = (vals.join(hot, gkeys, "left_semi")
-              .groupBy(*gkeys)
-              .agg(F.expr(f"percentile_approx(_sk, array({levels}), 10000)").alias("_b"),
-                   F.count(F.lit(1)).alias("_n")))
-    # keep about n / bucket_rows boundaries: every step-th quantile
-    pieces = F.least(F.lit(max_pieces), F.ceil(F.col("_n") / F.lit(bucket_rows)))
-    step = F.ceil(F.lit(max_pieces) / pieces)
-    bounds = bounds.select(*gkeys, F.filter("_b", lambda x, i: (i + 1) % step == 0).alias("_b"))
-
-    piece = F.coalesce(F.size(F.filter("_b", lambda x: x < F.col("_sk"))), F.lit(0))
-    pieced = vals.join(bounds, gkeys, "left").withColumn("_piece", piece).drop("_b")
-
-    order = F.col(v).asc() if ascending else F.col(v).desc()
-    local = pieced.withColumn(
-        "_local", F.row_number().over(Window.partitionBy(*gkeys, "_piece").orderBy(order)))
-    sizes = pieced.groupBy(*gkeys, "_piece").agg(F.count(F.lit(1)).alias("_c"))
-    below = Window.partitionBy(*gkeys).orderBy("_piece").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = sizes.withColumn("_off", F.coalesce(F.sum("_c").over(below), F.lit(0))).drop("_c")
-    keys = parts + [v]
-    ranks = (local.join(offsets, gkeys + ["_piece"])
-             .select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(keys)],
-                     (F.col("_off") + F.col("_local")).cast("int").alias("_rank"),
-                     F.lit(0).cast("long").alias("_rsalt")))
+    order = F.col(order_col).asc() if ascending else F.col(order_col).desc()
+    vals = materialize(df.where(not_null).select(*keys).distinct())
+    n = vals.count()
+    if n <= bucket_rows:
+        ranks = vals.withColumn("_rank", F.row_number().over(Window.partitionBy(*parts).orderBy(order)))
+    else:
+        ranks = _ranks_by_piece(vals, parts, order, -(-n // bucket_rows))
+    ranks = ranks.select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(keys)],
+                         F.col("_rank").cast("long").alias("_rank"), F.lit(0).cast("long").alias("_rsalt"))
 
     # One join back over the whole input. Rows with a null key or value get
     # a distinct non-zero salt: they never match and spread over partitions
@@ -109,7 +59,22 @@ def dense_rank_by(df: DataFrame, order_col: str, partition_by=(), ascending: boo
     cond = [F.col(c) == F.col(f"_r{i}") for i, c in enumerate(keys)]
     cond.append(F.col("_salt") == F.col("_rsalt"))
     joined = left.join(ranks, cond, "left")
-    return joined.select(*df.columns, F.col("_rank").alias(out))
+    return joined.select(*[c for c in df.columns if c != out], F.col("_rank").alias(out))
+
+
+def _ranks_by_piece(vals: DataFrame, parts: list[str], order, pieces: int) -> DataFrame:
+    """``vals`` with ``_rank``, from contiguous ranges of about equal size."""
+    # stored, so that every branch below sees the same pieces
+    ranged = materialize(vals.repartitionByRange(pieces, *parts, order)
+                         .withColumn("_piece", F.spark_partition_id()))
+    local = ranged.withColumn(
+        "_local", F.row_number().over(Window.partitionBy(*parts, "_piece").orderBy(order)))
+    sizes = ranged.groupBy(*parts, "_piece").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(*parts).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    # at most one row per piece: the group that it continues
+    offsets = sizes.withColumn("_off", F.sum("_c").over(before)).where("_off > 0").drop("_c")
+    return (local.join(F.broadcast(offsets), parts + ["_piece"], "left")
+            .withColumn("_rank", F.col("_local") + F.coalesce("_off", F.lit(0))))
 
 
 def dense_rank_window(df: DataFrame, order_col: str, partition_by=(), ascending: bool = True,
@@ -121,4 +86,4 @@ def dense_rank_window(df: DataFrame, order_col: str, partition_by=(), ascending:
         not_null = not_null & F.col(p).isNotNull()
     order = F.col(order_col).asc_nulls_last() if ascending else F.col(order_col).desc_nulls_last()
     w = Window.partitionBy(*parts).orderBy(order)
-    return df.withColumn(out, F.when(not_null, F.dense_rank().over(w)).cast("int"))
+    return df.withColumn(out, F.when(not_null, F.dense_rank().over(w)).cast("long"))

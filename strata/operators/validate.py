@@ -6,20 +6,16 @@ the first row of every key survives. With no key spec every row is valid.
 
 Plan shape, chosen for size and skew:
 
-1. The *repeated* keys are found with a partial aggregate over the key and
-   order columns only (``count`` and ``min(struct(order_by))``, combined
-   map-side, so a key holding a third of the data never lands in one
-   task). The result — one narrow row per repeated key — is written under
-   ``spark.checkpoint.dir`` and its row count is read from the files.
-2. If it has at most ``broadcast_rows`` rows it is broadcast, and every row
-   is flagged where it lies: no shuffle of the (wide) input at all, and a
-   hot key costs nothing extra.
-3. Otherwise the first row of every key is joined back on key *and* order
-   columns (a sort-merge join); hashing on the order columns spreads a hot
-   key's rows over all partitions.
-
-Null-key rows are split off before any join so they never pile up in the
-one partition that null hashes to.
+1. The *repeated* keys are found by a hash aggregate that only counts,
+   combined map-side, so a key holding a third of the data never lands in
+   one task. One narrow row per repeated key is stored.
+2. Only rows of repeated keys look for their first one
+   (``min(struct(order_by))``); the result is stored as well.
+3. Every row is flagged by a left join with those first rows. Spark decides
+   from their stored size whether they are broadcast (the input is then not
+   shuffled at all) or both sides are sorted, where adaptive execution
+   splits a hot key's partition. Null keys match nothing; they take a salt
+   of their own so that they never pile up in one partition.
 """
 
 from __future__ import annotations
@@ -32,8 +28,6 @@ from strata.sources.checkpoint import materialize
 
 NULL_KEY = "null_key"
 DUPLICATE_KEY = "duplicate_key"
-# Repeated-key rows broadcast at most (narrow rows: key + order columns).
-BROADCAST_ROWS = 1_000_000
 
 
 def check_columns(df: DataFrame, columns, what: str = "key") -> None:
@@ -43,13 +37,12 @@ def check_columns(df: DataFrame, columns, what: str = "key") -> None:
         raise ValueError(f"missing {what} columns {missing}")
 
 
-def validate_keys(df: DataFrame, keys, order_by=("_seq",),
-                  broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def validate_keys(df: DataFrame, keys, order_by=("_seq",)) -> DataFrame:
     """Return ``df`` plus ``is_valid`` (bool) and ``reject_reason`` (string).
 
     ``order_by`` defines "first" and must be unique within a key; the
     default ``_seq`` column is captured at the scan (see sources.raw). The
-    call is eager: it stores the repeated keys (one job) to pick the plan.
+    call is eager: it stores the repeated keys and their first rows.
     """
     keys = list(keys)
     if not keys:
@@ -60,38 +53,25 @@ def validate_keys(df: DataFrame, keys, order_by=("_seq",),
     check_columns(df, order_by, "order")
 
     null_key = any_null(keys)
-    keyed = df.where(~null_key)
-    nulls = df.where(null_key).withColumns({
-        "is_valid": F.lit(False), "reject_reason": F.lit(NULL_KEY)})
-
-    def first_rows(min_count: int) -> DataFrame:
-        return (keyed.groupBy(*keys)
-                .agg(F.min(F.struct(*order_by)).alias("_first"), F.count(F.lit(1)).alias("_n"))
-                .where(F.col("_n") >= min_count)
-                .select(*[F.col(k).alias(f"_k_{i}") for i, k in enumerate(keys)],
-                        *[F.col(f"_first.{c}").alias(f"_o_{i}") for i, c in enumerate(order_by)]))
-
-    key_eq = [keyed[k] == F.col(f"_k_{i}") for i, k in enumerate(keys)]
-    order_eq = [keyed[c].eqNullSafe(F.col(f"_o_{i}")) for i, c in enumerate(order_by)]
-    repeated = materialize(first_rows(2))
-    if repeated.count() <= broadcast_rows:
-        # unmatched rows have a key that occurs once: valid
-        joined = keyed.join(F.broadcast(repeated), key_eq, "left")
-        matched = F.col("_k_0").isNotNull()
-        first_match = order_eq[0]
-        for e in order_eq[1:]:
-            first_match = first_match & e
-        is_first = ~matched | first_match
-    else:
-        first = first_rows(1).withColumn("_is_first", F.lit(True))
-        joined = keyed.join(first, key_eq + order_eq, "left")
-        is_first = F.coalesce(F.col("_is_first"), F.lit(False))
-    flagged = joined.select(
-        *[keyed[c] for c in df.columns],
-        is_first.alias("is_valid"),
-        F.when(is_first, F.lit(None).cast("string"))
-         .otherwise(F.lit(DUPLICATE_KEY)).alias("reject_reason"))
-    return flagged.unionByName(nulls)
+    keyed = df.where(~null_key).select(*dict.fromkeys(keys + order_by))
+    repeated = materialize(keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+                           .where(F.col("_n") > 1).select(*keys))
+    firsts = materialize(
+        keyed.join(repeated, keys, "left_semi").groupBy(*keys)
+        .agg(F.min(F.struct(*order_by)).alias("_first"))
+        .select(*[F.col(k).alias(f"_k_{i}") for i, k in enumerate(keys)],
+                *[F.col(f"_first.{c}").alias(f"_o_{i}") for i, c in enumerate(order_by)],
+                F.lit(0).cast("long").alias("_rsalt")))
+
+    salted = df.withColumn("_salt", F.when(null_key, F.monotonically_increasing_id() + 1).otherwise(F.lit(0)))
+    on = [salted[k] == F.col(f"_k_{i}") for i, k in enumerate(keys)]
+    joined = salted.join(firsts, on + [F.col("_salt") == F.col("_rsalt")], "left")
+    later = F.col("_rsalt").isNotNull()
+    first = F.lit(True)
+    for i, c in enumerate(order_by):
+        first = first & salted[c].eqNullSafe(F.col(f"_o_{i}"))
+    reason = F.when(null_key, NULL_KEY).when(later & ~first, DUPLICATE_KEY)
+    return joined.select(*[salted[c] for c in df.columns], reason.isNull().alias("is_valid"), reason.alias("reject_reason"))
 
 
 def split_valid(flagged: DataFrame):
@@ -99,8 +79,3 @@ def split_valid(flagged: DataFrame):
     valid = flagged.where("is_valid").drop("is_valid", "reject_reason")
     rejected = flagged.where(~F.col("is_valid")).drop("is_valid")
     return valid, rejected
-
-
-def valid_rows(df: DataFrame, keys, order_by=("_seq",)) -> DataFrame:
-    """Only the rows that pass ``validate_keys``."""
-    return split_valid(validate_keys(df, keys, order_by))[0]

@@ -12,8 +12,8 @@ because every right side matches on a column of the preserved side):
   (semantics: the order total repeats on every item row);
 * dimensions (products, sellers) join last. Their size grows with the data,
   so no broadcast is forced: AQE turns a join into a broadcast join only
-  after it has measured the side as small. The category lookup has a fixed
-  domain (one row per category) and is broadcast.
+  after it has measured the side as small. Orders without items have no
+  product and no seller; their null keys are spread over all partitions.
 """
 
 from __future__ import annotations
@@ -51,6 +51,14 @@ def _suffix_collisions(left: DataFrame, right: DataFrame, key: str,
     return left, right
 
 
+def _spread_left_join(left: DataFrame, right: DataFrame, key: str, spread: str) -> DataFrame:
+    """Left join on ``key``. Rows without a key match nothing; a salt taken
+    from ``spread`` deals them out instead of hashing them all to one task."""
+    salt = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(spread), F.lit(4096)) + 1).otherwise(F.lit(0))
+    right = right.withColumn("_salt", F.lit(0).cast("long"))
+    return left.withColumn("_salt", salt.cast("long")).join(right, [key, "_salt"], "left").drop("_salt")
+
+
 def business_dataset(orders: DataFrame, customers: DataFrame, items: DataFrame,
                      payments: DataFrame, products: DataFrame, sellers: DataFrame,
                      translation: DataFrame, *, as_of=None,
@@ -69,10 +77,10 @@ def business_dataset(orders: DataFrame, customers: DataFrame, items: DataFrame,
     # Item grain: one row per item, one null-item row for orders without items.
     fact = (order_grain.join(items, "order_id", "left")
             .join(pay, "order_id", "left"))
-    fact = fact.join(products, "product_id", "left")
+    fact = _spread_left_join(fact, products, "product_id", "order_id")
     fact, sellers = _suffix_collisions(fact, sellers, "seller_id")
-    fact = fact.join(sellers, "seller_id", "left")
-    fact = fact.join(F.broadcast(translation), "product_category_name", "left")
+    fact = _spread_left_join(fact, sellers, "seller_id", "order_id")
+    fact = _spread_left_join(fact, translation, "product_category_name", "order_id")
 
     stamp = F.current_timestamp() if as_of is None else F.lit(as_of).cast(T.TimestampNTZType())
     return fact.withColumns({

@@ -5,8 +5,9 @@ written instead of re-deriving it: the validation layer of a keyed table
 (flagged rows, partitioned by ``is_valid``), the business table and the
 customer summary. Each layer is built by the first query that needs it in
 a Spark application, written as Parquet under ``spark.checkpoint.dir``
-(reliable storage) and read back by the others. ``clear_layers`` makes the
-next query rebuild them (after the source tables changed).
+(reliable storage) and read back by the others. A layer is kept under the
+state of its source files (paths, sizes, modification times), so replaced or
+added files make the next query rebuild it. ``clear_layers`` forgets all.
 """
 
 from __future__ import annotations
@@ -17,13 +18,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.sources.checkpoint import table_dir
+from strata.sources.present import if_present
 
 _LOCK = threading.RLock()  # a layer may build on another stored layer
 _STORE: dict = {}
 
 
+def source_state(spark: SparkSession, sf_dir: str) -> int:
+    """A number that changes with the files below ``sf_dir``; their contents
+    are not read."""
+    files = if_present(lambda: spark.read.format("binaryFile")
+                       .option("recursiveFileLookup", "true").load(sf_dir))
+    if files is None:
+        return 0
+    files = (files.select(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)").alias("h")))
+    row = files.agg(F.sum("h").alias("s"), F.count(F.lit(1)).alias("n")).first()
+    return hash((row["s"], row["n"]))
+
+
 def stored_layer(spark: SparkSession, sf_dir: str, name: str, build, partition_by=None) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name, source_state(spark, sf_dir))
     with _LOCK:
         path = _STORE.get(key)
         if path is None:

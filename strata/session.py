@@ -6,7 +6,9 @@ has and only fills in defaults that are unset (local runs and tests).
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -52,8 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory of this session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when it is unset (local runs, tests) a private scratch
-    folder is created and registered.
+    as is; if it is unset there, this raises. With a local master (tests) a
+    private scratch folder is created, and removed when the process ends.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -64,14 +66,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing
+    if not sc.master.split("[")[0] == "local":
+        raise RuntimeError("spark.checkpoint.dir is unset: name a folder that all executors share")
     path = tempfile.mkdtemp(prefix="strata-ckpt-", dir=os.environ.get("STRATA_SCRATCH", "/tmp"))
+    atexit.register(shutil.rmtree, path, ignore_errors=True)  # this process made it
     try:
         spark.conf.set("spark.checkpoint.dir", path)
     except Exception:  # some deployments refuse core settings at runtime
         pass
     sc.setCheckpointDir(path)
     return path
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

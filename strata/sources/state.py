@@ -8,21 +8,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+
 from strata.sources.local import local_frame
+from strata.sources.present import if_present
 
 MARK_KEY = "last_order_timestamp"
 
 
 def read_mark(spark: SparkSession, path: str, key: str = MARK_KEY):
-    """Newest stored mark as ISO text, or None when nothing is stored."""
-    try:
-        log = spark.read.schema(f"seq long, {key} string").json(path)
-        row = log.orderBy(F.col("seq").desc()).select(key).first()
-    except Exception:  # no mark yet
-        return None
+    """Newest stored mark as ISO text, or None when nothing is stored; a log
+    that cannot be read is an error."""
+    log = if_present(lambda: _log(spark, path, f"seq long, {key} string"))
+    row = log.orderBy(F.col("seq").desc()).first() if log is not None else None
     return row[key] if row else None
 
 
+def _log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+
+
 def save_mark(spark: SparkSession, path: str, mark_frame: DataFrame, key: str = MARK_KEY,
               stream: str | None = None, epoch: int | None = None) -> None:
     """Append the mark held in the one-row ``mark_frame`` (skipped if null).
@@ -41,10 +45,8 @@ def save_mark(spark: SparkSession, path: str, mark_frame: DataFrame, key: str =
 
 def last_epoch(spark: SparkSession, path: str, stream: str):
     """Newest micro-batch of ``stream`` that moved the mark, or None."""
-    try:
-        log = spark.read.schema("seq long, stream string, epoch long").json(path)
-        row = (log.where(F.col("stream") == stream).orderBy(F.col("seq").desc())
-               .select("epoch").first())
-    except Exception:  # no mark yet
+    log = if_present(lambda: _log(spark, path, "seq long, stream string, epoch long"))
+    if log is None:
         return None
+    row = log.where(F.col("stream") == stream).orderBy(F.col("seq").desc()).first()
     return row["epoch"] if row else None

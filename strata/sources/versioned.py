@@ -17,7 +17,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+
 from strata.sources.local import local_frame
+from strata.sources.present import if_present
 
 POINTER = "_pointer"
 
@@ -43,11 +45,11 @@ def write_version(df: DataFrame, base: str, partition_by=None) -> str:
 
 
 def _latest(spark: SparkSession, base: str):
-    try:
-        log = spark.read.schema("version string, schema string").json(f"{base}/{POINTER}")
-        return log.orderBy(F.col("version").desc()).first()
-    except Exception:  # no table yet
-        return None
+    """Newest entry of the pointer log, None without one; a log that cannot be
+    read is an error, so that a writer never takes a table for a new one."""
+    log = if_present(lambda: spark.read.schema("version string, schema string")
+                     .option("mode", "FAILFAST").json(f"{base}/{POINTER}"))
+    return log.orderBy(F.col("version").desc()).first() if log is not None else None
 
 
 def current_version(spark: SparkSession, base: str) -> str | None:
@@ -64,7 +66,3 @@ def read_current(spark: SparkSession, base: str) -> DataFrame | None:
     schema = T.StructType.fromJson(json.loads(row["schema"]))
     df = spark.read.schema(schema).parquet(f"{base}/v_{row['version']}")
     return df.select(*schema.fieldNames())
-
-
-def exists(spark: SparkSession, base: str) -> bool:
-    return current_version(spark, base) is not None

@@ -12,6 +12,8 @@ from conftest import ROOT, SF_SMALL
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 import __spark_entry__ as E  # noqa: E402
 from check_oracle import TABLES, digest  # noqa: E402
+from strata.plans.oracle import oracle_queries  # noqa: E402
+from strata.plans.queries import QUERIES  # noqa: E402
 
 
 def test_entry_smoke(spark):
@@ -22,7 +24,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(oracle_queries()) <= set(E.queries())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +36,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle_queries()))
 def test_query_matches_oracle(spark, duck, name):
     sp = E.queries()[name](spark, SF_SMALL).toPandas()
     od = duck.execute(E.oracle_sql()[name]).df()
@@ -55,3 +58,15 @@ def test_clear_layers_rebuilds(spark):
     layers.clear_layers(spark)
     layers.stored_layer(spark, "/nowhere", "probe", build)
     assert len(calls) == 2
+
+
+def test_replaced_sources_rebuild_layers(spark, tmp_dir):
+    from strata.plans import layers
+
+    def total():
+        return layers.stored_layer(spark, tmp_dir, "probe", lambda: spark.read.parquet(f"{tmp_dir}/t.parquet")).count()
+    spark.range(3).write.parquet(f"{tmp_dir}/t.parquet")
+    assert total() == 3 == total()
+    spark.range(30).write.mode("overwrite").parquet(f"{tmp_dir}/t.parquet")
+    assert total() == 30
+    assert E.queries()["G1"](spark, SF_SMALL).count() == 150

@@ -48,3 +48,29 @@ def test_bucketed_global_rank_equals_window(spark):
     fast = dense_rank_by(df, "v", ascending=False, out="r", bucket_rows=25)
     slow = dense_rank_window(df, "v", ascending=False, out="r")
     assert rows(fast, "id", "r") == rows(slow, "id", "r")
+
+
+def test_nan_and_piece_sizes_agree(spark):
+    vals = [float("nan"), float("inf"), float("-inf"), 0.0, -0.0, None, 1.5, 1.5, -2.0, *[float(i) for i in range(20)]]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id int, v double")
+    for asc in (True, False):
+        want = rows(dense_rank_window(df, "v", ascending=asc, out="r"), "id", "r")
+        for bucket_rows in (1, 5, 1_000_000):
+            assert rows(dense_rank_by(df, "v", ascending=asc, out="r", bucket_rows=bucket_rows), "id", "r") == want
+
+
+def test_timestamps_without_zone_across_a_clock_change(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.range(96).select("id", F.expr("timestamp_ntz'2024-03-10 00:00:00' + make_interval(0,0,0,0,0,15*id)").alias("v"))
+        want = rows(dense_rank_window(df, "v", out="r"), "id", "r")
+        for bucket_rows in (1, 4, 1_000_000):
+            assert rows(dense_rank_by(df, "v", out="r", bucket_rows=bucket_rows), "id", "r") == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_text_and_dates_can_be_ranked(spark):
+    df = spark.createDataFrame([(1, "b"), (2, "a"), (3, "b"), (4, None)], "id int, v string")
+    assert rows(dense_rank_by(df, "v", out="r", bucket_rows=1), "id", "r") == [(1, 2), (2, 1), (3, 2), (4, None)]

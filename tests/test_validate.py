@@ -88,10 +88,15 @@ def test_broadcast_and_shuffle_plans_agree(spark):
          .when(F.col("id") % 11 == 0, F.lit(None))
          .otherwise(F.col("id") % 1400).alias("k"),
         (F.col("id") * 7).alias("payload"))
-    small = validate_keys(df, ["k"], ["seq"])                     # broadcast plan
-    large = validate_keys(df, ["k"], ["seq"], broadcast_rows=0)   # shuffle join plan
     cols = ("seq", "k", "payload", "is_valid", "reject_reason")
-    assert rows(small, *cols) == rows(large, *cols)
+    small = validate_keys(df, ["k"], ["seq"])                     # broadcast plan
+    got = rows(small, *cols)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # shuffle join plan
+    try:
+        assert got == rows(validate_keys(df, ["k"], ["seq"]), *cols)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     first = df.where(F.col("k").isNotNull()).groupBy("k").agg(F.min("seq").alias("seq"))
     assert rows(small.where("is_valid"), "k", "seq") == rows(first, "k", "seq")
     assert small.where("reject_reason = 'null_key'").count() == df.where("k is null").count()
