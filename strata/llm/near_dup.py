@@ -4,15 +4,14 @@
    the band hashes of its BagMinHash signature.
 2. Rows of one text are one node, the smallest id among them; copies join
    their node's class through the text's MD5 and are never paired.
-3. ``linked``: nodes that share a band hash are in one bucket. A bucket of up
-   to ``SMALL`` nodes compares all of its pairs. A larger one is not paired
-   off: in a round its nodes are compared with a few pivots, then it is cut at
-   the first pivot. Distance (1 - similarity) is a metric, so a node nearer to
-   the pivot than 1 - 0.8 and a node farther than twice that cannot be linked;
-   those between go to both parts. Pivots leave, parts whose nodes are all of
-   one class are done, and the number of pivots grows fourfold by round.
-   Pairs of nodes known to be of one class are not compared. So every link
-   between nodes that share a band is found, or shown not to change a class.
+3. ``linked``: nodes that share a band hash are in one bucket. First each
+   node is compared with the smallest node of each of its buckets, never with
+   all; that joins most buckets to one class. What is left are buckets with
+   nodes of several classes. Their nodes are compared across classes if they
+   share one of their rarest shingles: of two sets of similarity t, the
+   n - ceil(t n) + 1 rarest elements of each have one in common. So every link
+   between nodes that share a band is found, or joins what is one class
+   already, and no group is ever paired off.
 4. A candidate pair counts if the multisets' overlap, counted on the shingles
    themselves, reaches the threshold.
 5. ``merged`` keeps a class label for each node by contracting links.
@@ -45,7 +44,7 @@ from strata.sources.checkpoint import materialize
 
 THRESHOLD = 0.8
 BAND_ROWS = 5
-SMALL = 16  # nodes of a bucket up to which all of its pairs are compared
+FEW_SALTS = 4  # buckets are many and mostly tiny; a large one is dealt to so many tasks
 BLOCK = 2_000_000  # characters of the texts that are signed together
 
 
@@ -146,39 +145,36 @@ def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     return materialize(old.union(found.join(labels.select("_node"), "_node", "left_anti")))
 
 
-def linked(members: DataFrame, sets: DataFrame, threshold: float = THRESHOLD, small: int = SMALL) -> DataFrame | None:
-    """Class labels of the nodes in buckets (``_bucket``, ``_node``), from every pair that may be linked."""
-    labels, compared, pivots_wanted = None, None, 1
-    far, near = 2 * threshold - 1, threshold
-    while True:
-        rows = label(labels, members, "_node", "_label")
-        mixed = rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"), F.min("_label").alias("_low"), F.max("_label").alias("_high"))
-        mixed = materialize(mixed.where("_low < _high").select("_bucket", "_n"))
-        if not mixed.take(1):
-            return labels
-        rows = materialize(salted_join(rows, mixed, ["_bucket"], F.col("_node"), "inner"))
-        few, many = rows.where(F.col("_n") <= small), rows.where(F.col("_n") > small)
-        other = few.select("_bucket", F.col("_node").alias("_other"), F.col("_label").alias("_other_label"))
-        pairs = few.join(other, "_bucket").where("_node < _other and _label <> _other_label").select(F.col("_node").alias("a"), F.col("_other").alias("b"))
-        turn = F.pmod(F.xxhash64("_node", F.lit(pivots_wanted)), F.lit(pivots_wanted))
-        pivots = many.groupBy("_bucket", turn.alias("_turn")).agg(F.min(F.struct("_node", "_label")).alias("_p"))
-        pivots = materialize(pivots.select("_bucket", F.col("_p._node").alias("_pivot"), F.col("_p._label").alias("_pivot_label")))
-        beside = salted_join(many, pivots, ["_bucket"], F.col("_node"), "inner").where("_node <> _pivot and _label <> _pivot_label")
-        pairs = pairs.union(beside.select(F.least("_node", "_pivot").alias("a"), F.greatest("_node", "_pivot").alias("b"))).distinct()
-        if compared is not None:
-            pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
-        new = materialize(overlaps(materialize(pairs), sets))
-        compared = new if compared is None else compared.union(new)
-        labels = merged(labels, new.where(F.col("sim") >= threshold).select("a", "b"))
-        # cut the large buckets at their first pivots
-        first = pivots.groupBy("_bucket").agg(F.min("_pivot").alias("_first"))
-        left = many.join(pivots.select("_bucket", F.col("_pivot").alias("_node")), ["_bucket", "_node"], "left_anti").select("_bucket", "_node")
-        left = salted_join(left, first, ["_bucket"], F.col("_node"), "inner")
-        left = left.withColumns({"a": F.least("_node", "_first"), "b": F.greatest("_node", "_first")}).join(compared, ["a", "b"], "left")
-        part = lambda name: F.xxhash64("_bucket", F.lit(name), F.lit(pivots_wanted))
-        parts = F.when(F.col("sim") >= near, F.array(part("near"))).when(F.col("sim") < far, F.array(part("far"))).otherwise(F.array(part("near"), part("far")))
-        members = materialize(left.select(F.explode(parts).alias("_bucket"), "_node"))
-        pivots_wanted *= 4
+def linked(members: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Class labels of the nodes in buckets (``_bucket``, ``_node``) that have a link."""
+    first = members.groupBy("_bucket").agg(F.min("_node").alias("_first"))
+    beside = salted_join(members, first, ["_bucket"], F.col("_node"), "inner", FEW_SALTS).where("_node <> _first")
+    pairs = materialize(beside.select(F.col("_first").alias("a"), F.col("_node").alias("b")).distinct())
+    labels = merged(None, materialize(overlaps(pairs, sets)).where(F.col("sim") >= threshold).select("a", "b"))
+    rows = materialize(label(labels, members, "_node", "_label"))
+    mixed = rows.groupBy("_bucket").agg(F.min("_label").alias("_low"), F.max("_label").alias("_high")).where("_low < _high").select("_bucket")
+    left = materialize(salted_join(rows, mixed, ["_bucket"], F.col("_node"), "left_semi", FEW_SALTS).select("_node", "_label").distinct())
+    if not left.take(1):
+        return labels
+    pairs = materialize(sharing_rare(left.join(sets, "_node"), threshold))
+    return merged(labels, materialize(overlaps(pairs, sets)).where(F.col("sim") >= threshold).select("a", "b"))
+
+
+def sharing_rare(rows: DataFrame, threshold: float) -> DataFrame:
+    """``a`` < ``b``: pairs of nodes (``_node``, ``_label``, ``_set``) of different labels that share one of the elements
+    that are, in either's set, among the rarest of all these sets. Elements of one set only are counted, not joined."""
+    each = rows.select("_node", "_label", F.size("_set").alias("_n"), F.explode("_set").alias("_x"))
+    known = each.groupBy("_x").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1")
+    shared = salted_join(each, known, ["_x"], F.col("_node"), "inner", FEW_SALTS)
+    own = shared.groupBy("_node", "_label", "_n").agg(F.sort_array(F.collect_list(F.struct("_times", "_x"))).alias("_own"))
+    prefix = F.col("_n") - F.ceil(F.col("_n") * threshold - 1e-9) + 1 - (F.col("_n") - F.size("_own"))
+    rare = own.select("_node", "_label", F.explode(F.slice("_own", 1, F.greatest(prefix, F.lit(0)).cast("int"))).alias("_r"))
+    rare = materialize(rare.select("_node", "_label", F.col("_r._x").alias("_x")))
+    mixed = rare.groupBy("_x").agg(F.min("_label").alias("_low"), F.max("_label").alias("_high")).where("_low < _high").select("_x")
+    rare = materialize(salted_join(rare, mixed, ["_x"], F.col("_node"), "left_semi", FEW_SALTS))
+    other = rare.select("_x", F.col("_node").alias("_other"), F.col("_label").alias("_other_label"))
+    met = rare.join(other, "_x").where("_node < _other and _label <> _other_label")
+    return met.select(F.col("_node").alias("a"), F.col("_other").alias("b")).distinct()
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -188,7 +184,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     banded = rows.where("_bands is not null").join(nodes.select(F.col("_node").alias("_id"), "_key"), ["_id", "_key"], "left_semi")
     spread = banded.select(F.explode("_bands").alias("_bucket"), F.col("_id").alias("_node")).distinct()
     shared = spread.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_bucket")
-    members = materialize(salted_join(spread, shared, ["_bucket"], F.col("_node"), "left_semi"))
+    members = materialize(salted_join(spread, shared, ["_bucket"], F.col("_node"), "left_semi", FEW_SALTS))
     wanted = nodes.join(members.select("_node").distinct(), "_node", "left_semi")
     sets = materialize(shingle_sets(docs, wanted, id_col, text_col).groupBy("_node").agg(F.max("_set").alias("_set")))
     labels = linked(members, sets, threshold)

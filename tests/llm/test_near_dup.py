@@ -111,8 +111,8 @@ def test_groups(spark):
     check(spark, rows)
 
 
-def test_large_buckets_are_cut_at_pivots(spark):
-    """With ``small`` at 1 all buckets go through pivots; the classes stay."""
+def test_one_bucket_for_all(spark):
+    """All nodes in one bucket: the links that its smallest node lacks are found by rare shingles."""
     rng = random.Random(3)
     base = [f"b{i}" for i in range(80)]
     rows = [(i, edited(rng, base, rng.choice([1, 2, 3, 6, 8]))) for i in range(60)]
@@ -120,5 +120,5 @@ def test_large_buckets_are_cut_at_pivots(spark):
     nodes = near_dup.materialize(near_dup.signed(df, "doc_id", "text"))
     members = near_dup.materialize(nodes.select(F.lit(1).alias("_bucket"), F.col("_id").alias("_node")))
     sets = near_dup.materialize(near_dup.shingle_sets(df, nodes.select(F.col("_id").alias("_node"), "_key"), "doc_id", "text"))
-    found = {r["_node"]: r["_label"] for r in near_dup.linked(members, sets, small=1).collect()}
+    found = {r["_node"]: r["_label"] for r in near_dup.linked(members, sets).collect()}
     assert sorted((str(i), str(found.get(i, i))) for i, _ in rows) == brute_classes(rows)
