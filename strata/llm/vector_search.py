@@ -13,8 +13,9 @@
   sample of the queries reads every list, and from the lists in which their
   true neighbours are, ``calibrated`` takes the least reading that finds
   ``RECALL`` of them.
-* Lists meet their queries in bounded blocks by a cogroup; distances are worked
-  out again in double precision from the original vectors.
+* Shelves of neighbouring lists meet their queries in bounded blocks by a
+  cogroup; distances are worked out again in double precision from the
+  original vectors.
 
 Equal vectors are indexed once, with the smallest ids that any query can need
 (one more than ``k``, since they tie in distance and the smaller ids win), so
@@ -51,7 +52,8 @@ REPLICAS, BORDER = 4, 1.25
 RECALL = 0.97  # of the calibration queries' neighbours that reading up to the limits must find
 CALIBRATION = 128  # queries that the limits are calibrated on, at most
 DEGREE = 24
-BLOCK = 2048  # vectors or queries of a list that meet at once
+SHELF = 8  # neighbouring lists that are read together, each query only in those that it wants
+BLOCK = 2048  # vectors of a shelf that meet queries at once, about
 
 
 @dataclass(frozen=True)
@@ -197,13 +199,15 @@ def probes(queries: DataFrame, index, dtype: str, most: int, ratio: float) -> Da
 
 
 def scanned(lists: DataFrame, wanted: DataFrame, k: int, dtype: str, blocks: int, query_blocks: int) -> DataFrame:
-    """``_key``, ``_ids`` and ``score``: of each list's block the ``k`` + 1 nearest vectors of each query that reads
-    it. Lists of many vectors or queries are dealt out in ``blocks`` and ``query_blocks`` parts that all meet."""
+    """``_key``, ``_ids`` and ``score``: of each shelf (SHELF neighbouring lists) the ``k`` + 1 nearest vectors, in those
+    of its lists that the query reads. Shelves of many vectors or queries are dealt out in ``blocks`` and
+    ``query_blocks`` parts that all meet."""
     schema = T.StructType([wanted.schema["_key"], lists.schema["_ids"], T.StructField("score", T.DoubleType())])
     spread = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = lists.withColumn("_a", spread("_vec", blocks)).withColumn("_b", every(query_blocks))
-    right = wanted.withColumn("_b", spread("_key", query_blocks)).withColumn("_a", every(blocks))
+    shelf = F.floor(F.col("_list") / SHELF).cast("int")
+    left = lists.withColumn("_shelf", shelf).withColumn("_a", spread("_vec", blocks)).withColumn("_b", every(query_blocks))
+    right = wanted.withColumn("_shelf", shelf).withColumn("_b", spread("_key", query_blocks)).withColumn("_a", every(blocks))
 
     def matrix(values: pd.Series) -> np.ndarray:
         return np.frombuffer(b"".join(values), dtype).reshape(len(values), -1).astype(np.float64)
@@ -211,22 +215,25 @@ def scanned(lists: DataFrame, wanted: DataFrame, k: int, dtype: str, blocks: int
     def nearest(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if vectors.empty or queries.empty:
             return pd.DataFrame({"_key": [], "_ids": [], "score": []}, dtype=object)
-        x, keys, ids, scores = matrix(vectors["_vec"]), [], [], []
-        square, all_ids = (x**2).sum(axis=1), vectors["_ids"].tolist()
-        for at in range(0, len(queries), 256):
-            some = queries.iloc[at : at + 256]
-            q = matrix(some["_vec"])
-            rough = square - 2 * q @ x.T  # the squared distance but for a constant of the query
-            slack = 1e-9 * (square.max() + (q**2).sum(axis=1))
-            n = min(k + 1, len(x)) - 1
-            limit = np.partition(rough, n, axis=1)[:, n] + slack
-            row, col = np.nonzero(rough <= limit[:, None])
-            keys += some["_key"].iloc[row].tolist()
-            ids += [all_ids[c] for c in col]
-            scores.append(np.sqrt(((x[col] - q[row]) ** 2).sum(axis=1)))
-        return pd.DataFrame({"_key": keys, "_ids": ids, "score": np.concatenate(scores)})
-
-    return left.groupBy("_list", "_a", "_b").cogroup(right.groupBy("_list", "_a", "_b")).applyInPandas(nearest, schema)
+        x, ids = matrix(vectors["_vec"]), vectors["_ids"].tolist()
+        square, same = (x**2).sum(axis=1), pd.factorize(vectors["_vec"])[0]
+        place, reads = vectors["_list"].to_numpy() % SHELF, queries.groupby("_key", sort=False).agg({"_vec": "first", "_list": list})
+        out = []
+        for at in range(0, len(reads), 256):
+            some = reads.iloc[at : at + 256]
+            q, read = matrix(some["_vec"]), np.zeros((len(some), SHELF), bool)
+            for i, lists_ in enumerate(some["_list"]):
+                read[i, np.array(lists_) % SHELF] = True
+            rough = np.where(read[:, place], square - 2 * q @ x.T, np.inf)  # the squared distance but for a constant of the query
+            n = min((k + 1) * REPLICAS, len(x)) - 1
+            limit = np.partition(rough, n, axis=1)[:, n] + 1e-9 * (square.max() + (q**2).sum(axis=1))
+            row, col = np.nonzero((rough <= limit[:, None]) & np.isfinite(rough))
+            found = pd.DataFrame({"row": row, "col": col, "same": same[col], "id": [ids[c][0] for c in col], "score": np.sqrt(((x[col] - q[row]) ** 2).sum(axis=1))})
+            found = found.drop_duplicates(["row", "same"]).sort_values(["row", "score", "id"]).groupby("row").head(k + 1)
+            out.append(pd.DataFrame({"_key": some.index[found["row"]].to_numpy(), "_ids": [ids[c] for c in found["col"]], "score": found["score"].to_numpy()}, dtype=object))
+        return pd.concat(out)
+
+    return left.groupBy("_shelf", "_a", "_b").cogroup(right.groupBy("_shelf", "_a", "_b")).applyInPandas(nearest, schema)
 
 
 def calibrated(true: DataFrame, stored: DataFrame, queries: list, centroids: Centroids, dtype: str) -> tuple[int, float]:
@@ -270,7 +277,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec
     asked = materialize(different.join(asked, "_key", "left_semi"))
     n_asked, lists = asked.count(), len(index.value.points)
     stored = materialize(postings(different, index, dtype))
-    blocks = max(1, -(-total * REPLICAS // (lists * BLOCK * 2)))
+    shelves = -(-lists // SHELF)
+    blocks = max(1, -(-total * REPLICAS // (shelves * BLOCK * 2)))
     order = Window.partitionBy("_key").orderBy("score", "_id")
 
     def best(found: DataFrame) -> DataFrame:
@@ -284,7 +292,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec
     some = asked.orderBy(F.xxhash64("_key"), "_key").limit(CALIBRATION)
     true = read_all(materialize(some))
     most, ratio = calibrated(true, stored, some.collect(), index.value, dtype)
-    query_blocks = max(1, -(-n_asked * most // (lists * BLOCK * 2)))
+    query_blocks = max(1, -(-min(n_asked, n_asked * most // shelves) // (BLOCK * 32)))
     found = materialize(best(scanned(stored, probes(asked, index, dtype, most, ratio), k, dtype, blocks, query_blocks)))
     few = asked.join(found.groupBy("_key").count().where(F.col("count") > k).select("_key"), "_key", "left_anti")
     if lists > 1 and few.take(1):
