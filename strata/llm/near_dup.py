@@ -5,8 +5,9 @@
 2. Rows of one text are one node, the smallest id among them; copies join
    their node's class through the text's MD5 and are never paired.
 3. ``linked``: nodes that share a band hash are in one bucket. First each
-   node is compared with the smallest node of each of its buckets, never with
-   all; that joins most buckets to one class. What is left are buckets with
+   node is compared with one pivot of each of its buckets, the node that has
+   most company in all of its buckets (of a family of copies, the original or
+   one like it); that joins most buckets to one class. What is left are buckets with
    nodes of several classes. Their nodes are compared across classes if they
    share one of their rarest shingles: of two sets of similarity t, the
    n - ceil(t n) + 1 rarest elements of each have one in common. So every link
@@ -147,9 +148,12 @@ def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
 
 def linked(members: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Class labels of the nodes in buckets (``_bucket``, ``_node``) that have a link."""
-    first = members.groupBy("_bucket").agg(F.min("_node").alias("_first"))
+    sizes = members.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    company = salted_join(members, sizes, ["_bucket"], F.col("_node"), "inner", FEW_SALTS).groupBy("_node").agg(F.sum("_n").alias("_n"))
+    ranked = materialize(members.join(company, "_node"))
+    first = ranked.groupBy("_bucket").agg(F.max(F.struct("_n", "_node")).alias("_first")).select("_bucket", F.col("_first._node").alias("_first"))
     beside = salted_join(members, first, ["_bucket"], F.col("_node"), "inner", FEW_SALTS).where("_node <> _first")
-    pairs = materialize(beside.select(F.col("_first").alias("a"), F.col("_node").alias("b")).distinct())
+    pairs = materialize(beside.select(F.least("_first", "_node").alias("a"), F.greatest("_first", "_node").alias("b")).distinct())
     labels = merged(None, materialize(overlaps(pairs, sets)).where(F.col("sim") >= threshold).select("a", "b"))
     rows = materialize(label(labels, members, "_node", "_label"))
     mixed = rows.groupBy("_bucket").agg(F.min("_label").alias("_low"), F.max("_label").alias("_high")).where("_low < _high").select("_bucket")
@@ -162,19 +166,24 @@ def linked(members: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) ->
 
 def sharing_rare(rows: DataFrame, threshold: float) -> DataFrame:
     """``a`` < ``b``: pairs of nodes (``_node``, ``_label``, ``_set``) of different labels that share one of the elements
-    that are, in either's set, among the rarest of all these sets. Elements of one set only are counted, not joined."""
+    that are, in either's set, among the rarest of all these sets, and whose sets are long enough behind it: if it is
+    the first that they share, the overlap is at most 1 and what is left of the shorter. Elements of one set only are
+    the rarest of all; they are counted, not joined."""
     each = rows.select("_node", "_label", F.size("_set").alias("_n"), F.explode("_set").alias("_x"))
     known = each.groupBy("_x").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1")
     shared = salted_join(each, known, ["_x"], F.col("_node"), "inner", FEW_SALTS)
     own = shared.groupBy("_node", "_label", "_n").agg(F.sort_array(F.collect_list(F.struct("_times", "_x"))).alias("_own"))
     prefix = F.col("_n") - F.ceil(F.col("_n") * threshold - 1e-9) + 1 - (F.col("_n") - F.size("_own"))
-    rare = own.select("_node", "_label", F.explode(F.slice("_own", 1, F.greatest(prefix, F.lit(0)).cast("int"))).alias("_r"))
-    rare = materialize(rare.select("_node", "_label", F.col("_r._x").alias("_x")))
+    rare = own.select("_node", "_label", "_n", F.size("_own").alias("_joined"), F.posexplode(F.slice("_own", 1, F.greatest(prefix, F.lit(0)).cast("int"))).alias("_i", "_r"))
+    # elements from this one on: those of several sets, less the ones before it
+    rare = materialize(rare.select("_node", "_label", "_n", (F.col("_joined") - F.col("_i")).alias("_rest"), F.col("_r._x").alias("_x")))
     mixed = rare.groupBy("_x").agg(F.min("_label").alias("_low"), F.max("_label").alias("_high")).where("_low < _high").select("_x")
     rare = materialize(salted_join(rare, mixed, ["_x"], F.col("_node"), "left_semi", FEW_SALTS))
-    other = rare.select("_x", F.col("_node").alias("_other"), F.col("_label").alias("_other_label"))
-    met = rare.join(other, "_x").where("_node < _other and _label <> _other_label")
-    return met.select(F.col("_node").alias("a"), F.col("_other").alias("b")).distinct()
+    other = rare.select("_x", *[F.col(f"_{c}").alias(f"_other_{c}") for c in ("node", "label", "n", "rest")])
+    needed = (F.col("_n") + F.col("_other_n")) * (threshold / (1 + threshold)) - 1e-9
+    met = rare.join(other, "_x").where((F.col("_node") < F.col("_other_node")) & (F.col("_label") != F.col("_other_label"))
+                                       & (F.least("_rest", "_other_rest") >= needed))
+    return met.select(F.col("_node").alias("a"), F.col("_other_node").alias("b")).distinct()
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
