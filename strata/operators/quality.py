@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.scalar import elapsed_seconds
+from strata.sources.raw import read_raw_csv
 from strata.specs import FAILED_STATES, PIPELINE_NAME
 
 # Audit status words and message prefix.
@@ -59,16 +60,17 @@ def observed_counts(flagged: DataFrame, name: str = "validation"):
 def catalog(spark: SparkSession, entries, as_of=None) -> DataFrame:
     """One row per stored dataset file with its record count.
 
-    ``entries``: iterable of (dataset_name, layer, path, file_format).
-    Every count is a zero-column scan; the per-file counts are unioned into
-    one plan, so the whole catalog is one job.
+    ``entries``: iterable of (dataset_name, layer, path, file_format) and, if
+    only some rows belong to the dataset, a condition on them. CSV files are
+    counted by record, as the raw reader reads them; other counts are
+    zero-column scans. All are unioned into one plan, so the whole catalog is
+    one job.
     """
     frames = []
-    for name, layer, path, fmt in entries:
-        reader = spark.read
-        if fmt == "csv":
-            reader = reader.option("header", True)
-        df = reader.format(fmt).load(path)
+    for name, layer, path, fmt, *only in entries:
+        df = read_raw_csv(spark, path, with_seq=False) if fmt == "csv" else spark.read.format(fmt).load(path)
+        if only:
+            df = df.where(only[0])
         file_name = path.rstrip("/").rsplit("/", 1)[-1]
         frames.append(df.agg(F.count(F.lit(1)).alias("record_count")).select(
             F.lit(name).alias("dataset_name"), F.lit(layer).alias("layer"),
@@ -79,6 +81,12 @@ def catalog(spark: SparkSession, entries, as_of=None) -> DataFrame:
     return out.withColumn("updated_at", stamp)
 
 
+def iso_text(ts):
+    """ISO text of a timestamp; microseconds only where there are some."""
+    whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
+    return F.when(F.date_format(ts, "SSSSSS") == "000000", whole).otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+
+
 def audit_record(stages: DataFrame, run_id, start_time, end_time,
                  task_col: str = "task_id", state_col: str = "state",
                  pipeline_name: str = PIPELINE_NAME) -> DataFrame:
@@ -96,8 +104,8 @@ def audit_record(stages: DataFrame, run_id, start_time, end_time,
     return agg.select(
         F.lit(run_id).cast("string").alias("run_id"),
         F.lit(pipeline_name).alias("pipeline_name"),
-        F.date_format(start, "yyyy-MM-dd'T'HH:mm:ss").alias("start_time"),
-        F.date_format(end, "yyyy-MM-dd'T'HH:mm:ss").alias("end_time"),
+        iso_text(start).alias("start_time"),
+        iso_text(end).alias("end_time"),
         F.when(has_failed, F.lit(STATUS_FAILED)).otherwise(F.lit(STATUS_SUCCESS)).alias("status"),
         elapsed_seconds(start, end).alias("execution_seconds"),
         F.when(has_failed, F.concat(F.lit(FAILED_PREFIX), F.concat_ws(", ", "_failed")))

@@ -56,6 +56,13 @@ def flagged_layer(spark: SparkSession, sf_dir: str, table: str, build) -> DataFr
     return df.withColumn("is_valid", F.col("is_valid").cast("boolean"))
 
 
+def stored(spark: SparkSession) -> list[str]:
+    """Names of the layers that ``spark``'s application has stored."""
+    app = spark.sparkContext.applicationId
+    with _LOCK:
+        return sorted(k[2] for k in _STORE if k[0] == app)
+
+
 def clear_layers(spark: SparkSession | None = None) -> None:
     """Forget stored layers (all, or those of ``spark``'s application), so
     the next query rebuilds them; call after the source tables change."""

@@ -17,17 +17,18 @@ import traceback
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.incremental import ingest_incremental, next_mark
-from strata.operators.quality import audit_record, catalog
+from strata.operators.quality import audit_record, catalog, observed_counts
 from strata.operators.scd import scd1_merge, scd2_merge
 from strata.operators.standardise import standardise
 from strata.operators.validate import validate_keys
 from strata.plans import business, gold
 from strata.sources import jdbc, state, versioned
+from strata.sources.present import if_present
 from strata.sources.raw import SEQ, read_raw_csv
 from strata.functions.scalar import run_id as run_id_expr
 from strata.functions.scalar import tolerant_timestamp
@@ -95,13 +96,16 @@ def run_ingestion(spark: SparkSession, raw_dir: str, layout: Layout, specs=DATAS
     """
     loaded = {}
     for name, spec in specs.items():
-        raw = read_raw_csv(spark, f"{raw_dir.rstrip('/')}/{spec.file}", expected_columns=spec.keys)
+        raw = read_raw_csv(spark, f"{raw_dir.rstrip('/')}/{spec.file}", expected_columns=spec.keys,
+                           multi_line=spec.multi_line)
         target = layout.path("ingestion", name)
         if spec.incremental_ts is None:
             raw.write.mode("overwrite").parquet(target)
             loaded[name] = "snapshot"
             continue
         mark = state.read_mark(spark, layout.mark_path)
+        if mark is None:
+            _refuse_lost_mark(spark, target)
         typed = raw.withColumn("_ts", tolerant_timestamp(spec.incremental_ts))
         batch = batch_label(mark)
         new_rows = ingest_incremental(typed, "_ts", mark)[0].drop("_ts") \
@@ -119,6 +123,14 @@ def run_ingestion(spark: SparkSession, raw_dir: str, layout: Layout, specs=DATAS
     return loaded
 
 
+def _refuse_lost_mark(spark: SparkSession, target: str) -> None:
+    """A load without a mark replaces the whole target. That is right for a
+    first load and its retry, never for a target that holds later batches."""
+    stored = if_present(lambda: spark.read.parquet(target))
+    if stored is not None and stored.where(F.col(BATCH) != INITIAL_BATCH).take(1):
+        raise RuntimeError(f"{target} holds incremental batches, but their mark is missing")
+
+
 def run_bronze(spark: SparkSession, layout: Layout, specs=DATASETS, as_of=None) -> None:
     for name, spec in specs.items():
         df = spark.read.parquet(layout.path("ingestion", name))
@@ -137,10 +149,10 @@ def run_validation(spark: SparkSession, layout: Layout, specs=DATASETS) -> dict:
     for name, spec in specs.items():
         df = spark.read.parquet(layout.path("bronze", name))
         flagged = validate_keys(df, spec.keys, _order_for(spec, df))
-        flagged.write.mode("overwrite").partitionBy("is_valid").parquet(layout.path("validation", name))
-        stored = _validation(spark, layout, name)
-        c = stored.groupBy("is_valid").count().collect()  # at most two rows
-        counts[name] = {bool(r["is_valid"]): r["count"] for r in c}
+        observed, counter = observed_counts(flagged, f"validation_{name}")
+        observed.write.mode("overwrite").partitionBy("is_valid").parquet(layout.path("validation", name))
+        got = counter.get
+        counts[name] = {k: n for k, n in ((True, got["valid_rows"]), (False, got["rejected_rows"])) if n}
     return counts
 
 
@@ -160,14 +172,20 @@ def rejected_of(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
 
 
 def run_silver(spark: SparkSession, layout: Layout, specs=DATASETS, as_of=None) -> dict:
-    unmatched = {}
+    """Rows of each dataset before and after removing duplicates, counted on
+    their way, and the declared columns that it lacks."""
+    out = {}
     for name, spec in specs.items():
-        report = []
-        df = standardise(valid_of(spark, layout, name), spec, as_of=as_of, report=report)
+        report, before, after = [], Observation(), Observation()
+        rows = F.count(F.lit(1)).alias("rows")
+        valid = valid_of(spark, layout, name).observe(before, rows)
+        df = standardise(valid, spec, as_of=as_of, report=report).observe(after, rows)
         df.write.mode("overwrite").parquet(layout.path("silver", name))
+        original, final = before.get["rows"], after.get["rows"]
+        out[name] = {"original_rows": original, "duplicate_rows": original - final, "final_rows": final}
         if report:
-            unmatched[name] = report
-    return unmatched
+            out[name]["unmatched"] = report
+    return out
 
 
 def silver(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
@@ -214,12 +232,10 @@ def run_gold(spark: SparkSession, layout: Layout) -> None:
 
 
 def load_targets(spark: SparkSession, layout: Layout) -> dict:
-    """The seven tables handed to the database; missing ones are None."""
+    """The seven tables handed to the database; those that have never been
+    written are None. A table that cannot be read is an error."""
     def read(path):
-        try:
-            return spark.read.parquet(path)
-        except Exception:
-            return None
+        return if_present(lambda: spark.read.parquet(path))
     out = {n: read(layout.path("gold", n)) for n in ("business_dataset",) + GOLD_TABLES}
     out["customer_dimension"] = versioned.read_current(
         spark, layout.path("scd_type1", "customer_dimension"))
@@ -229,13 +245,18 @@ def load_targets(spark: SparkSession, layout: Layout) -> dict:
 
 
 def run_load(spark: SparkSession, layout: Layout, url: str, **opts) -> dict:
-    return jdbc.load_tables(load_targets(spark, layout), url, **opts)
+    """Rows written to each table; None for one that was skipped."""
+    rows = {}
+    status = jdbc.load_tables(load_targets(spark, layout), url, rows=rows, **opts)
+    return {name: rows.get(name) for name in status}
 
 
 def catalog_entries(spark: SparkSession, layout: Layout, raw_dir: str, specs=DATASETS):
     entries = [(n, "raw", f"{raw_dir.rstrip('/')}/{s.file}", "csv") for n, s in specs.items()]
-    for layer in ("ingestion", "bronze", "validation", "silver"):
+    for layer in ("ingestion", "bronze", "silver"):
         entries += [(n, layer, layout.path(layer, n), "parquet") for n in specs]
+    # the validation layer stores rejected rows beside the valid ones
+    entries += [(n, "validation", layout.path("validation", n), "parquet", "cast(is_valid as boolean)") for n in specs]
     for layer, name in (("scd_type1", "customer_dimension"),
                         ("scd_type2", "product_dimension_history")):
         v = versioned.current_version(spark, layout.path(layer, name))
@@ -247,11 +268,7 @@ def catalog_entries(spark: SparkSession, layout: Layout, raw_dir: str, specs=DAT
 
 
 def _exists(spark, path):
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:
-        return False
+    return if_present(lambda: spark.read.parquet(path)) is not None
 
 
 def run_catalog(spark: SparkSession, layout: Layout, raw_dir: str, specs=DATASETS, as_of=None):
@@ -273,8 +290,8 @@ def run_audit(spark: SparkSession, layout: Layout, result: RunResult, start, end
 
 
 def read_audit(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Audit log; columns evolve by union (missing ones read as null)."""
-    return spark.read.option("mergeSchema", "true").parquet(layout.audit_path)
+    """Audit log; columns evolve by union, missing text reads as empty."""
+    return spark.read.option("mergeSchema", "true").parquet(layout.audit_path).na.fill("")
 
 
 # -- the run -----------------------------------------------------------------

@@ -9,7 +9,7 @@ from __future__ import annotations
 from strata.plans.queries import (
     AS_OF, AS_OF_2, DAYS_FROM, DRIVER_TABLES, HWM_MARK, RUN_END, RUN_ID, SNAPSHOT_CUT,
 )
-from strata.specs import PIPELINE_NAME
+from strata.specs import NA_TOKENS, PIPELINE_NAME
 
 _ITEMS = """
 items_v as (
@@ -171,7 +171,17 @@ select o_orderkey, o_custkey, o_orderstatus,
 from orders"""
     q["X8"] = (f"select event_id, ts, cast(floor((epoch_us(ts) - epoch_us(TIMESTAMP '{DAYS_FROM}')) "
                "/ 86400000000.0) as bigint) delta_days from events")
-    q["P1"] = "select * from orders"
+    q["P1"] = "select *, 3 dropped_columns from orders"
+    q["S13"] = "select 'orders.parquet' source_file, count(*) row_count, count(*) stamped from orders"
+    tokens = ", ".join(f"'{t}'" for t in NA_TOKENS)
+    q["S1"] = q["T1"] = "select " + ", ".join(
+        f"case when {c}::varchar not in ({tokens}) then {c}::varchar end {c}"
+        for c in ("conv_id", "turn", "role", "text")) + " from conversations"
+    q["S8"] = f"""select o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') o_orderdate,
+       case when o_orderdate <= TIMESTAMP '{SNAPSHOT_CUT}' then 'b_0' else
+         (select 'b_' || strftime(max(o_orderdate), '%Y%m%d%H%M%S') from orders
+          where o_orderdate <= TIMESTAMP '{SNAPSHOT_CUT}') end load_batch
+from orders"""
     q["A1"] = f"with {_ITEMS} select * from pay"
     q["B1"] = f"with {_BD} select * from bd"
     q["J5"] = """
@@ -247,6 +257,7 @@ select '{RUN_ID}' run_id, '{PIPELINE_NAME}' pipeline_name,
        case when len(names) > 0 then 'Failed tasks: ' || array_to_string(names, ', ') else '' end
          error_message
 from f"""
+    q["W1_pieces"] = q["W1"]
     for name, cols in _MONEY.items():
         casts = ", ".join(f"cast({c} as double) as {c}" for c in cols)
         q[name] = f"select * replace ({casts}) from ({q[name]}) m"

@@ -18,10 +18,13 @@ from strata.operators.rank import dense_rank_by
 from strata.operators.scd import not_in_current, scd1_merge, scd2_merge
 from strata.operators.standardise import dedup_text, fill_defaults
 from strata.operators.validate import split_valid, validate_keys
-from strata.plans import business, gold, roles
+from strata.plans import business, gold, medallion, roles
 from strata.plans.layers import stored_layer
 from strata.plans.roles import LINEITEM_KEYS, table
-from strata.specs import TECHNICAL_COLUMNS
+from strata.sources.checkpoint import materialize, table_dir
+from strata.sources.raw import read_raw_csv
+from strata.specs import TableSpec
+from strata.streaming.ingest import ingest_stream
 
 # Fixed query parameters.
 HWM_MARK = "2000-01-01 00:00:00"        # stored high-water mark for S_HWM / S_MAX
@@ -92,14 +95,60 @@ def q_j5(spark, sf_dir):
 
 
 def q_p1(spark, sf_dir):
-    """Technical columns stamped at load, then dropped before business use."""
+    """Technical columns stamped and stored at load, then dropped before business use."""
+    stored = stamped_orders(spark, sf_dir)
+    kept = business.drop_technical(stored)
+    return kept.withColumn("dropped_columns", F.lit(len(stored.columns) - len(kept.columns)))
+
+
+def stamped_orders(spark, sf_dir):
     o = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    stamped = o.withColumns({
+    return materialize(o.withColumns({
         "load_timestamp": F.current_timestamp(),
         "source_file": F.col("_metadata.file_name"),
         "silver_timestamp": F.current_timestamp(),
-    })
-    return stamped.drop(*TECHNICAL_COLUMNS)
+    }))
+
+
+def q_s13(spark, sf_dir):
+    """Rows and stamps by source file, from the stored layer."""
+    return stamped_orders(spark, sf_dir).groupBy(F.regexp_extract("source_file", r"[^/]+$", 0).alias("source_file")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count("load_timestamp").alias("stamped"))
+
+
+# -- raw files ---------------------------------------------------------------
+
+def conversations_csv(spark, sf_dir) -> str:
+    """The conversations as quoted CSV files; texts hold line ends."""
+    path = table_dir(spark)
+    table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").write.options(
+        header=True, escape='"', quoteAll=True).csv(path)
+    return path
+
+
+def q_s1(spark, sf_dir):
+    return read_raw_csv(spark, conversations_csv(spark, sf_dir), with_seq=False)
+
+
+def q_t1(spark, sf_dir):
+    """The same files through the ingest stream, columns asked for in another order."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("text", "role", "turn", "conv_id")])
+    out = table_dir(spark)
+    ingest_stream(spark, conversations_csv(spark, sf_dir), schema, out, table_dir(spark), fmt="csv").awaitTermination()
+    return spark.read.parquet(out).select("conv_id", "turn", "role", "text")
+
+
+def q_s8(spark, sf_dir):
+    """Two incremental loads of the orders: the batch that each row came with."""
+    spec = {"orders": TableSpec("orders", "orders.csv", keys=("o_orderkey",), incremental_ts="o_orderdate")}
+    layout = medallion.Layout(table_dir(spark))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("o_orderdate"))
+    for rows in (o.where(F.col("o_orderdate") <= SNAPSHOT_CUT), o):
+        raw = table_dir(spark)
+        rows.write.options(header=True, escape='"').csv(f"{raw}/orders.csv")
+        medallion.run_ingestion(spark, raw, layout, spec)
+    stored = spark.read.parquet(layout.path("ingestion", "orders"))
+    return stored.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), "o_orderdate", F.col(medallion.BATCH).alias("load_batch"))
 
 
 # -- validation --------------------------------------------------------------
@@ -186,14 +235,19 @@ def q_x8(spark, sf_dir):
 
 # -- windows -----------------------------------------------------------------
 
-def q_w1(spark, sf_dir):
+def q_w1(spark, sf_dir, **options):
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber",
         F.when(F.col("l_returnflag") == "A", F.lit(None)).otherwise(F.col("l_suppkey"))
         .alias("seller_key"),
         F.when(F.col("l_returnflag") == "R", F.lit(None)).otherwise(F.col("l_shipdate"))
         .alias("ship_ts"))
-    return dense_rank_by(li, "ship_ts", ["seller_key"], out="ship_number")
+    return dense_rank_by(li, "ship_ts", ["seller_key"], out="ship_number", **options)
+
+
+def q_w1_pieces(spark, sf_dir):
+    """The same rank from many small pieces."""
+    return q_w1(spark, sf_dir, bucket_rows=500)
 
 
 def q_w2(spark, sf_dir):
@@ -308,6 +362,7 @@ QUERIES = {
     "S_HWM": q_s_hwm, "S_MAX": q_s_max,
     "V1": q_v1, "V2": q_v2, "V3": q_v3,
     "U1": q_u1, "X2": q_x2, "X3": q_x3, "X4": q_x4, "X8": q_x8,
+    "S1": q_s1, "S8": q_s8, "S13": q_s13, "T1": q_t1, "W1_pieces": q_w1_pieces,
     "P1": q_p1, "A1": q_a1, "B1": q_b1, "J5": q_j5, "J7": q_j7,
     "W1": q_w1, "W2": q_w2,
     "G1": q_g1, "G2": q_g2, "G3": q_g3, "G4": q_g4, "O1": q_o1,

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.scalar import null_tokens
 
@@ -20,22 +21,36 @@ SEQ = "_seq"
 BOM = "\ufeff"
 
 
+def csv_options(multi_line: bool = True) -> dict:
+    """Options of every CSV reader of the library, batch or stream. Quotes are
+    doubled inside quoted fields. ``multi_line``: fields may hold line ends,
+    so a file is read by one task; without it files are split."""
+    return {"header": True, "mode": "PERMISSIVE", "multiLine": multi_line, "escape": '"', "quote": '"'}
+
+
+def csv_header(spark: SparkSession, path: str, multi_line: bool = True) -> list[str]:
+    """Column names of the files at ``path``, in file order, as written."""
+    return spark.read.options(**csv_options(multi_line), inferSchema=False).csv(path).columns
+
+
 def read_raw_csv(spark: SparkSession, path: str, *, with_seq: bool = True,
-                 expected_columns=None) -> DataFrame:
-    df = (spark.read
-          .option("header", True)
-          .option("inferSchema", False)
-          .option("mode", "PERMISSIVE")
-          .option("multiLine", True)
-          .option("escape", '"')
-          .csv(path))
-    names = [c.replace(BOM, "") for c in df.columns]
-    df = df.toDF(*names)
+                 expected_columns=None, multi_line: bool = True, bad_record: str | None = None) -> DataFrame:
+    """``bad_record`` names a column that holds the text of a record with too
+    many or too few fields, null for the others."""
+    header = csv_header(spark, path, multi_line)
+    names = [c.replace(BOM, "") for c in header]
+    fields = [T.StructField(c, T.StringType()) for c in header]
+    options = csv_options(multi_line)
+    if bad_record:
+        fields.append(T.StructField(bad_record, T.StringType()))
+        options["columnNameOfCorruptRecord"] = bad_record
+    df = spark.read.options(**options).schema(T.StructType(fields)).csv(path)
+    df = df.toDF(*names, *([bad_record] if bad_record else []))
     if expected_columns is not None:
         missing = [c for c in expected_columns if c not in names]
         if missing:
             raise ValueError(f"{path}: header lacks columns {missing}")
-    out = [null_tokens(c).alias(c) for c in names]
+    out = [null_tokens(c).alias(c) for c in names] + ([F.col(bad_record)] if bad_record else [])
     if with_seq:
         out.append(F.struct(
             F.col("_metadata.file_name").alias("file"),

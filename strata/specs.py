@@ -62,6 +62,7 @@ class TableSpec:
     dates: tuple = ()
     numbers: dict = field(default_factory=dict)  # column -> Spark type
     incremental_ts: str | None = None            # high-water-mark column
+    multi_line: bool = False                     # CSV fields may hold line ends
 
     def text_columns(self, columns):
         typed = set(self.dates) | set(self.numbers)
@@ -92,7 +93,7 @@ DATASETS = {
                  "payment_value": MONEY}),
     "reviews": TableSpec(
         "reviews", "olist_order_reviews_dataset.csv", keys=("review_id",),
-        dates=("review_creation_date", "review_answer_timestamp")),
+        dates=("review_creation_date", "review_answer_timestamp"), multi_line=True),
     "products": TableSpec(
         "products", "olist_products_dataset.csv", keys=("product_id",),
         numbers={"product_name_length": T.IntegerType(),

@@ -21,19 +21,29 @@ from pyspark.sql import types as T
 from strata.functions.scalar import null_tokens
 from strata.operators.incremental import new_rows, next_mark
 from strata.sources import state
+from strata.sources.present import if_present
+from strata.sources.raw import BOM, csv_header, csv_options
 
 
 def read_stream(spark: SparkSession, source_dir: str, schema: T.StructType, fmt: str = "parquet",
                 max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema).format(fmt)
+    """Stream of the files in ``source_dir``. CSV is read as by the batch
+    reader; its columns are taken by name, in the order of the header of the
+    files that are there, and a later file with another header is an error."""
+    in_file = schema
     if fmt == "csv":
-        reader = reader.option("header", True)
+        header = if_present(lambda: csv_header(spark, source_dir))
+        if header and set(c.replace(BOM, "") for c in header) == set(schema.fieldNames()):
+            in_file = T.StructType([schema[c.replace(BOM, "")] for c in header])
+    reader = spark.readStream.schema(in_file).format(fmt)
+    if fmt == "csv":
+        reader = reader.options(**csv_options(), enforceSchema=False)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     df = reader.load(source_dir)
     if fmt == "csv":
         df = df.select(*[null_tokens(c).alias(c) if isinstance(schema[c].dataType, T.StringType)
-                         else F.col(c) for c in df.columns])
+                         else F.col(c) for c in schema.fieldNames()])
     return df
 
 

@@ -99,3 +99,21 @@ def test_local_frame_types_nulls_and_empty(spark):
     assert empty.count() == 0 and empty.columns == ["id", "s"]
     # no Python RDD behind it
     assert "ExistingRDD" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_csv_bad_records_and_splits(spark, tmp_dir):
+    import os
+    os.makedirs(f"{tmp_dir}/c")
+    with open(f"{tmp_dir}/c/a.csv", "w") as f:
+        f.write("a,b\n" + "1,2\n" * 3 + "1,2,3\n4\n")
+    got = read_raw_csv(spark, f"{tmp_dir}/c", with_seq=False, bad_record="_bad").collect()
+    assert len(got) == 5 and sorted(r["_bad"] for r in got if r["_bad"]) == ["1,2,3", "4"]
+    with open(f"{tmp_dir}/c/a.csv", "w") as f:
+        f.write("a,b\n" + "some text,more text\n" * 200_000)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500000")
+    try:
+        assert read_raw_csv(spark, f"{tmp_dir}/c", multi_line=False).rdd.getNumPartitions() > 4
+        assert read_raw_csv(spark, f"{tmp_dir}/c", multi_line=False).count() == 200_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)

@@ -173,3 +173,35 @@ def test_failed_stage_is_audited(spark):
     a = medallion.read_audit(spark, medallion.Layout(root)).first()
     assert a["status"] == "FAILED"
     assert a["error_message"].startswith("Failed tasks: ")
+
+
+def test_lost_mark_never_replaces_batches(spark):
+    """Without its mark, a target that holds later batches is left as it is."""
+    import tempfile
+    from strata.specs import TableSpec
+    base = tempfile.mkdtemp(prefix="strata-mark-", dir="/tmp")
+    specs = {"orders": TableSpec("orders", "orders.csv", keys=("id",), incremental_ts="ts")}
+    layout = medallion.Layout(f"{base}/out")
+
+    def load(lines):
+        os.makedirs(f"{base}/raw", exist_ok=True)
+        with open(f"{base}/raw/orders.csv", "w") as f:
+            f.write("id,ts\n" + lines)
+        return medallion.run_ingestion(spark, f"{base}/raw", layout, specs)
+    load("1,2020-01-01 00:00:00\n")
+    load("1,2020-01-01 00:00:00\n2,2020-01-02 00:00:00\n")
+    os.rename(layout.mark_path, f"{base}/kept")
+    with pytest.raises(RuntimeError, match="mark is missing"):
+        load("3,2020-01-03 00:00:00\n")
+    assert spark.read.parquet(layout.path("ingestion", "orders")).count() == 2
+
+
+def test_counts_of_stages(runs):
+    """Catalog and counters tell valid, rejected and duplicate rows apart."""
+    spark, root = runs["spark"], runs["root"]
+    cat = {(r["dataset_name"], r["layer"]): r["record_count"] for r in spark.read.parquet(f"{root}/metadata/catalog").collect()}
+    layout = medallion.Layout(root)
+    assert cat[("customers", "validation")] == medallion.valid_of(spark, layout, "customers").count() == 3
+    r1 = runs["r1"]
+    silver = r1.counts["silver"]["customers"]
+    assert silver["original_rows"] == silver["duplicate_rows"] + silver["final_rows"] == 3

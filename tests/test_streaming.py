@@ -5,6 +5,7 @@ from pyspark.sql import types as T
 
 from conftest import rows
 from strata.sources import state, versioned
+from strata.sources.raw import read_raw_csv
 from strata.streaming.dimensions import scd1_foreach_batch, scd2_foreach_batch, start_dimension_stream
 from strata.streaming.ingest import dedup_stream, hwm_batch, hwm_stream, ingest_stream, read_stream
 
@@ -107,3 +108,16 @@ def test_dimension_streams(spark, tmp_dir):
     assert rows(d1, "id", "v") == [(1, "a3"), (2, "b")]
     d2 = versioned.read_current(spark, dim2)
     assert rows(d2, "id", "v", "is_current") == [(1, "a", False), (1, "a3", True), (2, "b", True)]
+
+
+def test_csv_stream_reads_like_the_batch_reader(spark, tmp_dir):
+    """Quoted line ends and quotes, and columns in another order than asked for."""
+    src, out, ck = f"{tmp_dir}/csv", f"{tmp_dir}/out", f"{tmp_dir}/ck"
+    os.makedirs(src)
+    with open(f"{src}/a.csv", "w") as f:
+        f.write('\ufeffv,id\n"line\nend",1\n"a ""quote"", and more",2\nplain,3\n')
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("v", T.StringType())])
+    ingest_stream(spark, src, schema, out, ck, fmt="csv").awaitTermination()
+    want = [("1", "line\nend"), ("2", 'a "quote", and more'), ("3", "plain")]
+    assert rows(spark.read.parquet(out), "id", "v") == want
+    assert rows(read_raw_csv(spark, src), "id", "v") == want
