@@ -7,8 +7,8 @@
 3. ``linked``: nodes that share a band hash are in one bucket. First each
    node is compared with one pivot of each of its buckets, the node that has
    most company in all of its buckets (of a family of copies, the original or
-   one like it); that joins most buckets to one class. What is left are buckets with
-   nodes of several classes. Their nodes are compared across classes if they
+   one like it); that joins most buckets to one class. What is left are buckets whose
+   other nodes are of several classes. Those nodes are compared across classes if they
    share one of their rarest shingles: of two sets of similarity t, the
    n - ceil(t n) + 1 rarest elements of each have one in common. So every link
    between nodes that share a band is found, or joins what is one class
@@ -152,10 +152,11 @@ def linked(members: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) ->
     company = salted_join(members, sizes, ["_bucket"], F.col("_node"), "inner", FEW_SALTS).groupBy("_node").agg(F.sum("_n").alias("_n"))
     ranked = materialize(members.join(company, "_node"))
     first = ranked.groupBy("_bucket").agg(F.max(F.struct("_n", "_node")).alias("_first")).select("_bucket", F.col("_first._node").alias("_first"))
-    beside = salted_join(members, first, ["_bucket"], F.col("_node"), "inner", FEW_SALTS).where("_node <> _first")
+    beside = materialize(salted_join(members, first, ["_bucket"], F.col("_node"), "inner", FEW_SALTS).where("_node <> _first"))
     pairs = materialize(beside.select(F.least("_first", "_node").alias("a"), F.greatest("_first", "_node").alias("b")).distinct())
     labels = merged(None, materialize(overlaps(pairs, sets)).where(F.col("sim") >= threshold).select("a", "b"))
-    rows = materialize(label(labels, members, "_node", "_label"))
+    # a pivot has met its whole bucket: only its other nodes may have links across classes left
+    rows = materialize(label(labels, beside.select("_bucket", "_node"), "_node", "_label"))
     mixed = rows.groupBy("_bucket").agg(F.min("_label").alias("_low"), F.max("_label").alias("_high")).where("_low < _high").select("_bucket")
     left = materialize(salted_join(rows, mixed, ["_bucket"], F.col("_node"), "left_semi", FEW_SALTS).select("_node", "_label").distinct())
     if not left.take(1):
