@@ -85,7 +85,8 @@ def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``a``, ``b`` and ``sim``: overlap over union of the numbered shingles of each pair, from ``sets`` (``_node``, ``_set``)."""
-    left = salted_join(pairs, sets.select(F.col("_node").alias("a"), F.col("_set").alias("_left")), ["a"], F.col("b"), "inner", 8)
+    # pairs are narrow: where one node has many, adaptive execution splits them, and no set is sent twice
+    left = pairs.join(sets.select(F.col("_node").alias("a"), F.col("_set").alias("_left")), "a")
     both = left.join(sets.select(F.col("_node").alias("b"), F.col("_set").alias("_right")), "b")
     common = F.size(F.array_intersect("_left", "_right"))
     return both.select("a", "b", (common / (F.size("_left") + F.size("_right") - common)).alias("sim"))
