@@ -70,4 +70,28 @@ select r.x.conv_id, r.call_id, r.x.turn, null, 'orphan_result', null, r.n_result
 from r left join f using (call_id) where f.call_id is null
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_mixing": OP1, "op2_chat_tools": OP2, "op6_warc": OP6}
+# Rows by part and set of failed filters, every order of the five filters step by step.
+OP12 = r"""
+with d as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t from documents),
+w as (select *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as words, min(doc_id) over (partition by t) as first_id from d),
+m as (select doc_id, part, (len(words) < 100)::int + 2 * (100 * len(list_distinct(words)) < 80 * len(words))::int
+        + 4 * (100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t))::int + 8 * regexp_matches(t, '[#$%&*|]')::int
+        + 16 * coalesce(doc_id > first_id, false)::int as mask from w),
+l as (select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by 1),
+c as (select part, mask, count(*) as n, sum(coalesce(good, 0)) as good, sum(coalesce(toxic, 0)) as toxic from m left join l using (doc_id) group by 1, 2),
+f as (select * from (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(name, bit)),
+o as (select a.name || b.name || c.name || d.name || e.name as filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] as bits
+      from f a, f b, f c, f d, f e where a.bit + b.bit + c.bit + d.bit + e.bit = 31 and len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5),
+s as (select filter_order, step, coalesce(list_sum(bits[1:step - 1]), 0)::int as before, bits[step] as bit from o, range(1, 6) r(step)),
+x as (select part, filter_order, step::int as step, bit,
+        sum(case when mask & (before | bit) = 0 then n else 0 end)::bigint as kept,
+        sum(case when mask & before = 0 and mask & bit > 0 then n else 0 end)::bigint as removed,
+        sum(case when mask & before > 0 and mask & bit > 0 then n else 0 end)::bigint as redundant,
+        sum(case when mask = bit then n else 0 end)::bigint as unique_fails,
+        sum(case when mask & before = 0 and mask & bit > 0 then good else 0 end)::bigint as good_lost,
+        sum(case when mask & before = 0 and mask & bit > 0 then toxic else 0 end)::bigint as toxic_lost
+      from c, s group by 1, 2, 3, 4, before)
+select * exclude (bit), (sum(removed) over (partition by part, bit))::bigint as shapley from x
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_mixing": OP1, "op2_chat_tools": OP2, "op6_warc": OP6, "op12_filter_audit": OP12}

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, chat_tools, language_id, mixing, near_dup, personal_data, quality_rules, token_counts, vector_search, warc
+from strata.llm import bpe, chat_tools, filter_audit, language_id, mixing, near_dup, personal_data, quality_rules, token_counts, vector_search, warc
 from strata.llm.common import n_words
 from strata.sources.checkpoint import table_dir
 
@@ -100,3 +100,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded with the 50k byte-level vocabulary and decoded again."""
     return bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+
+
+@registered
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes from the documents of each language, in all 120 orders."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
