@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, chat_tools, filter_audit, language_id, mixing, near_dup, personal_data, quality_rules, token_counts, vector_search, warc
+from strata.llm import bpe, chat_tools, filter_audit, language_id, mixing, near_dup, ngram_join, personal_data, quality_rules, token_alignment, token_counts, vector_search, warc
 from strata.llm.common import n_words
 from strata.sources.checkpoint import table_dir
 
@@ -102,7 +102,19 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
 
 
+@registered
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of 0.9 or more between the sets of its three-word runs."""
+    return ngram_join.components(table(spark, sf_dir, "documents"))
+
+
 @registered
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each of five filters removes from the documents of each language, in all 120 orders."""
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@registered
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of every document under the byte-level and the piece model."""
+    return token_alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
