@@ -1,15 +1,18 @@
 """Alignment of the tokens of two tokenizers over the bytes of the same texts.
 
-1. ``aligned``: one pass encodes each text with both tokenizers. Many texts
-   lie on one line of bytes; as both sides spell the same bytes, the ends of
-   texts fall together and nothing is linked across them. Every token points
-   to its farthest-right overlapping token of the other side; where both end
-   together, the token of the first side is the last one of its group and
-   points to itself. Doubling the pointers (each takes the pointer of what it
-   points to) ends at these tokens after the logarithm of the longest chain
-   of rounds: they label the groups. The digest of the groups, the links
-   (pairs of overlapping tokens) and their numbers are read from the labels;
-   of each text its different id pairs are kept with how often they occur.
+1. ``aligned``: one pass cuts each text into stretches, where no token of
+   either side can reach from one into the next, encodes those that are new to
+   the worker with both tokenizers and aligns them (``Aligner.align``). Many
+   stretches lie on one line of bytes; as both sides spell the same bytes, the
+   ends of stretches fall together and nothing is linked across them. Every
+   token points to its farthest-right overlapping token of the other side;
+   where both end together, the token of the first side is the last one of its
+   group and points to itself. Doubling the pointers (each takes the pointer of
+   what it points to) ends at these tokens after the logarithm of the longest
+   chain of rounds: they label the groups. The groups, the links (pairs of
+   overlapping tokens) and their numbers are read from the labels. A text's
+   are those of its stretches in a row; of its different id pairs it keeps how
+   often they occur.
 2. ``link_counts``: how many texts hold each id pair, and whether that is the
    highest number of its first id. Pairs are counted map-side; a key is a pair
    of vocabulary entries, so what is shuffled grows with the vocabularies.
@@ -33,9 +36,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -48,9 +53,13 @@ from strata.llm.token_counts import SPACE_MARK, separable
 from strata.sources.checkpoint import materialize
 
 PIECE = re.compile(r" +[^ \n]*|[^ \n]+|\n")  # what the piece model encodes by itself
-CACHE_CHARS = 24_000_000  # room of a worker's cache, an entry taking its characters and ENTRY
-ENTRY = 100
+# A stretch starts with a blank behind anything but white space: there both sides begin a new word.
+STRETCH = re.compile(r" \s*\S+(?:[^\S ]\s*\S+)*(?:[^\S ]\s*\Z)?| \s*\Z")
+CACHE_CHARS = 4_000_000  # room of a worker's cache of words, an entry taking its characters and ENTRY
+ENTRY = 300
+STRETCH_CHARS, LINK_CHARS = 90_000_000, 16  # room of a worker's aligned stretches; what one link in them takes
 TABLE_SIZE = 1 << 18  # id pairs of the broadcast table
+NUMBERS = ("n_a", "n_b", "n_groups", "n_links")
 
 
 class Pieces:
@@ -66,16 +75,12 @@ class Pieces:
         pieces = [self.library.id_to_piece(i) for i in range(self.library.get_piece_size())]
         self.bytes_of = [bytes([int(p[3:5], 16)]) if self.library.is_byte(i) else p.replace(SPACE_MARK, " ").encode() for i, p in enumerate(pieces)]
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian 32-bit integers."""
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, as little-endian 32-bit integers."""
         if not self.separable:
-            return np.array(self.library.encode(text), "<u4").tobytes()
-        words = PIECE.findall(" " + text.replace(SPACE_MARK, " "))
-        try:
-            return b"".join(map(self.cache.__getitem__, words))
-        except KeyError:
-            pass
-        wanted = set(words)
+            return [np.array(ids, "<u4").tobytes() for ids in self.library.encode(texts, num_threads=1)]
+        words = [PIECE.findall(" " + t.replace(SPACE_MARK, " ")) for t in texts]
+        wanted = set().union(*words)
         new = [w for w in wanted if w not in self.cache]
         needed = sum(map(len, new)) + ENTRY * len(new)
         if needed > self.room:
@@ -84,15 +89,15 @@ class Pieces:
             self.room = self.cache_chars
         # behind a line feed no space is added; the two tokens of space mark and line feed are taken off
         ids = self.library.encode(["\n" + w for w in new], num_threads=1)
-        self.cache.update((w, np.array(i[2:], "<u4").tobytes()) for w, i in zip(new, ids))
-        self.room -= needed  # a single text may take more than the room; the next unknown word clears it
-        return b"".join(map(self.cache.__getitem__, words))
+        self.cache.update((w, array("I", i[2:]).tobytes()) for w, i in zip(new, ids))
+        self.room -= needed  # a call may take more than the room; the next unknown word clears it
+        return [b"".join(map(self.cache.__getitem__, w)) for w in words]
 
 
 class PlainBytes(ByteBpe):
     """A byte-level BPE that reads strings of added tokens as plain text."""
 
-    def __init__(self, path: str, cache_size: int = 200_000):
+    def __init__(self, path: str, cache_size: int = 20_000):
         super().__init__(path, cache_size)
         self.added, self.split = {}, None
 
@@ -127,28 +132,33 @@ class Aligner:
         # an id as text with what follows it: the next of its side, the other side, the next group
         size = max(top, self.width)
         self.texts = np.array([f"{i}{end}" for end in ",|;" for i in range(size)], object)
-        self.size = size
-
-    def spelled(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
-        """Ids of both sides of each text, None where it has no tokens."""
-        full = [i for i, t in enumerate(texts) if t]
-        found: list = [None] * len(texts)
-        for i, a in zip(full, self.a.encode([" " + texts[i] for i in full]) if full else []):
-            want = b" " + texts[i].encode()
-            a, b = (np.frombuffer(x, "<u4").astype(np.int64) for x in (a, self.b.encode(texts[i])))
-            if b"".join(map(self.a_bytes.__getitem__, a.tolist())) == want == b"".join(map(self.b.bytes_of.__getitem__, b.tolist())):
-                found[i] = a, b
-        return found
-
-    def align(self, texts: list[str | None]) -> dict[str, list | np.ndarray]:
-        """For each text n_a, n_b, n_groups, n_links and groups_sha256; its different pairs and their times, flat, with ``starts``."""
-        ids = self.spelled(texts)
-        n_a, n_b = (np.array([len(x[side]) if x else 0 for x in ids], np.int64) for side in (0, 1))
+        self.size, self.pairs = size, len(self.a_bytes) * self.width
+        # aligned stretches: their places, and what ``align`` found for them
+        self.place: dict[str, int] = {}
+        self.known: dict | None = None
+        self.taken, self.stretch_chars = 0, STRETCH_CHARS
+
+    def spelled(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For either side the ids of all texts in a row and their numbers by text, 0 where a text has no tokens."""
+        want = [b" " + t.encode() for t in texts]
+        good, sides = np.ones(len(texts), bool), []
+        for ids, spells, length in ((self.a.encode([" " + t for t in texts]), self.a_bytes, self.a_length), (self.b.encode(texts), self.b.bytes_of, self.b_length)):
+            n = np.array([len(x) // 4 for x in ids], np.int64)
+            flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int64)
+            line = b"".join(map(spells.__getitem__, flat.tolist()))
+            ends = np.concatenate(([0], np.cumsum(length[flat])))[np.cumsum(n)].tolist()
+            good &= np.fromiter((line[i:j] == w for i, j, w in zip([0, *ends], ends, want)), bool, len(texts))
+            sides.append((flat, n))
+        return [(flat[np.repeat(good, n)], np.where(good, n, 0)) for flat, n in sides]
+
+    def align(self, texts: list[str]) -> dict[str, list | np.ndarray]:
+        """For each text n_a, n_b, n_groups, n_links and ``groups``, as text; its different pairs and their times, flat,
+        with ``starts``."""
+        (a, n_a), (b, n_b) = self.spelled(texts)
         out = {"n_a": n_a, "n_b": n_b, "n_groups": np.zeros(len(texts), np.int64), "n_links": np.zeros(len(texts), np.int64),
-               "groups_sha256": [""] * len(texts), "pairs": np.empty(0, np.int64), "times": np.empty(0, np.int64), "starts": np.zeros(len(texts) + 1, np.int64)}
+               "groups": [""] * len(texts), "pairs": np.empty(0, np.int64), "times": np.empty(0, np.int64), "starts": np.zeros(len(texts) + 1, np.int64)}
         if not n_a.any():
             return out
-        a, b = (np.concatenate([x[side] for x in ids if x]) for side in (0, 1))
         doc_a, doc_b = np.repeat(np.arange(len(texts)), n_a), np.repeat(np.arange(len(texts)), n_b)
         a_end, b_end = np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
         label = terminals(a_end, b_end)
@@ -158,9 +168,8 @@ class Aligner:
         at_a, at_b = overlapping(a_end, b_end)
         out["n_links"] = np.bincount(doc_a[at_a], minlength=len(texts))
         # texts in their order, in each its pairs in theirs
-        step = len(self.a_bytes) * self.width
-        found, times = np.unique(doc_a[at_a] * step + a[at_a] * self.width + b[at_b], return_counts=True)
-        out["pairs"], out["times"], out["starts"] = found % step, times, np.searchsorted(found // step, np.arange(len(texts) + 1))
+        found, times = np.unique(doc_a[at_a] * self.pairs + a[at_a] * self.width + b[at_b], return_counts=True)
+        out["pairs"], out["times"], out["starts"] = found % self.pairs, times, np.searchsorted(found // self.pairs, np.arange(len(texts) + 1))
         # groups in order, in each the first side's tokens before the second's
         place = np.concatenate([2 * group[: len(a)], 2 * group[len(a):] + 1])
         order = np.argsort(place, kind="stable")
@@ -169,11 +178,54 @@ class Aligner:
         texts_of = self.texts[np.concatenate([a, b])[order] + self.size * np.where(ends, 1 + place % 2, 0)].tolist()
         cuts = np.searchsorted(doc, np.arange(len(texts) + 1)).tolist()
         for i in np.flatnonzero(n_a).tolist():
-            out["groups_sha256"][i] = hashlib.sha256("".join(texts_of[cuts[i] : cuts[i + 1]])[:-1].encode()).hexdigest()
+            out["groups"][i] = "".join(texts_of[cuts[i] : cuts[i + 1]])[:-1]
         return out
 
-
-NUMBERS = ("n_a", "n_b", "n_groups", "n_links")
+    def learn(self, words: set[str]) -> None:
+        """Align the stretches that are not known yet; forget all others first if there is no room."""
+        new = [w for w in words if w not in self.place]
+        if not new:
+            return
+        if self.place and self.taken + sum(map(len, new)) + ENTRY * len(new) > self.stretch_chars:
+            self.place, self.known, self.taken, new = {}, None, 0, list(words)
+        found = self.align([w[1:] for w in new])
+        self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
+        self.taken += sum(map(len, new)) + ENTRY * len(new) + LINK_CHARS * len(found["pairs"])
+        if self.known is not None:
+            old = self.known
+            found["starts"] = np.concatenate([old["starts"], old["starts"][-1] + found["starts"][1:]])
+            found["groups"] = old["groups"] + found["groups"]
+            found |= {c: np.concatenate([old[c], found[c]]) for c in (*NUMBERS, "pairs", "times")}
+        self.known = found
+
+    def documents(self, texts: list[str | None]) -> dict[str, list | np.ndarray]:
+        """For each text its numbers and groups_sha256; its different pairs and their times, flat, with ``starts``."""
+        words = [[] if not t else STRETCH.findall(" " + t) if self.b.separable else [" " + t] for t in texts]
+        self.learn(set().union(*words))
+        known, get = self.known, self.place.__getitem__
+        sizes = np.array([len(w) for w in words], np.int64)
+        doc, at = np.repeat(np.arange(len(texts)), sizes), np.fromiter((get(w) for x in words for w in x), np.int64, int(sizes.sum()))
+        out = {"groups_sha256": [""] * len(texts), "pairs": np.empty(0, np.int64), "times": np.empty(0, np.int64), "starts": np.zeros(len(texts) + 1, np.int64)}
+        if not len(at):
+            return out | {n: np.zeros(len(texts), np.int64) for n in NUMBERS}
+        # a text with a stretch that has no tokens has none
+        good = (sizes > 0) & (np.bincount(doc, known["n_a"][at] == 0, len(texts)) == 0)
+        cuts, keep = np.concatenate(([0], np.cumsum(sizes))), good[doc]
+        for i in np.flatnonzero(good).tolist():
+            joined = ";".join([known["groups"][x] for x in at[cuts[i] : cuts[i + 1]].tolist()])
+            out["groups_sha256"][i] = hashlib.sha256(joined.encode()).hexdigest()
+        doc, at = doc[keep], at[keep]
+        out |= {n: np.bincount(doc, known[n][at], len(texts)).astype(np.int64) for n in NUMBERS}
+        # each different stretch of a text once, with its times; then the pairs in it
+        which, each = pd.factorize(doc * len(self.place) + at)
+        again, doc, at = np.bincount(which, minlength=len(each)), each // len(self.place), each % len(self.place)
+        first = known["starts"][at]
+        n = known["starts"][at + 1] - first
+        link = np.arange(int(n.sum())) + np.repeat(first - (np.cumsum(n) - n), n)
+        which, each = pd.factorize(np.repeat(doc * self.pairs, n) + known["pairs"][link])
+        out["times"] = np.bincount(which, known["times"][link] * np.repeat(again, n), len(each)).astype(np.int64)
+        out["pairs"], out["starts"] = each % self.pairs, np.searchsorted(each // self.pairs, np.arange(len(texts) + 1))
+        return out
 
 
 def aligned(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -186,7 +238,7 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", t
         aligner = Aligner(a_path, b_path)
         for whole in batches:
             for batch in blocks(whole, "_text"):
-                found = aligner.align(batch.column("_text").to_pylist())
+                found = aligner.documents(batch.column("_text").to_pylist())
                 lists = [pa.ListArray.from_arrays(pa.array(found["starts"], pa.int32()), pa.array(found[c], pa.int64())) for c in ("pairs", "times")]
                 yield pa.RecordBatch.from_arrays([batch.column("_id"), *(pa.array(found[n], pa.int64()) for n in NUMBERS),
                                                   pa.array(found["groups_sha256"], pa.string()), *lists], schema.fieldNames())

@@ -71,7 +71,7 @@ def random_texts(n, seed=5):
 def test_equals_brute_force_on_odd_texts():
     texts = [t for t in random_texts(400)] + [r[1] for r in ODD_DOCS if r[1] is None or len(r[1]) < 2000]
     want = brute(texts)
-    found = token_alignment.Aligner(A, B).align(texts)
+    found = token_alignment.Aligner(A, B).documents(texts)
     for i, w in enumerate(want):
         assert (*(found[c][i] for c in COLUMNS[:4]), found["groups_sha256"][i]) == (*w[:4], w[6]), repr(texts[i])
         pairs = slice(found["starts"][i], found["starts"][i + 1])
@@ -82,13 +82,18 @@ def test_small_caches_change_nothing():
     texts = random_texts(200, 7)
     small = token_alignment.Aligner(A, B)
     small.b.cache_chars = small.b.room = 500
-    small.a.cache_size = 20
+    small.a.cache_size, small.stretch_chars = 20, 3000
     whole = token_alignment.Aligner(A, B)
     for i in range(0, 200, 10):
-        x, y = small.align(texts[i : i + 10]), whole.align(texts[i : i + 10])
+        x, y = small.documents(texts[i : i + 10]), whole.documents(texts[i : i + 10])
         assert all(list(x[c]) == list(y[c]) for c in x)
 
 
+def test_stretches_cover_the_text():
+    for text in [*random_texts(2000, 11), " ", "a ", "a \n", "\t b", "a\t \u00a0b  c\x1cd \n"]:
+        assert "".join(token_alignment.STRETCH.findall(" " + text)) == " " + text
+
+
 def test_long_chains_end_at_their_last_token():
     """Ends that meet only at the last byte: one group, found in the logarithm of its length of rounds."""
     import numpy as np
