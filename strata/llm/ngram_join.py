@@ -16,7 +16,7 @@
    shared token in both sets. A group in which too many would still meet is
    split by the prefix tokens of the next order, which its pairs must share as well.
 4. A pair goes on only if its prefixes meet under every other order too; then
-   the sets themselves are intersected.
+   the sets of its nodes are made again from their texts and intersected.
 5. Links are contracted to components; copies join theirs by their digest.
 
 Defined results: a null or empty text, or one without words, has no n-gram
@@ -34,6 +34,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -56,6 +57,7 @@ REPORTED = 1 << 13  # tokens that a partition reports
 FEW_SALTS = 4
 PAIRS_AT_ONCE = 100_000  # pairs of one group beyond which the next order splits it
 SHARE = 4096  # pairs of one node that go to one task
+BITMAP = 1 << 27  # bits of the broadcast table of wanted rows, at most: 16 MB
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -157,18 +159,38 @@ def prefixes(docs: DataFrame, id_col: str, text_col: str, frequent: tuple[np.nda
     return rows.select("_id", "_tag", "_text").mapInArrow(work, schema)
 
 
+def listed(tags: DataFrame) -> Column:
+    """Whether ``_tag`` may be among ``tags``: looked up in a broadcast bitmap of at least eight bits for each, BITMAP bits at most."""
+    n = min(BITMAP, 1 << max(6, (8 * tags.count() - 1).bit_length()))
+    bit = F.pmod("_tag", F.lit(n))
+    words = tags.select(F.floor(bit / 64).cast("long").alias("_word"), F.expr(f"shiftleft(1L, cast(pmod(_tag, {n}) % 64 as int))").alias("_bit"))
+    found = words.groupBy("_word").agg(F.bit_or("_bit").alias("_bits")).toArrow()  # at most n / 64 rows
+    bitmap = np.zeros(n // 64, np.int64)
+    bitmap[found.column("_word").to_numpy()] = found.column("_bits").to_numpy()
+    shared = tags.sparkSession.sparkContext.broadcast(bitmap.view(np.uint64))
+
+    @F.pandas_udf("boolean")
+    def marked(tag: pd.Series) -> pd.Series:
+        at = tag.to_numpy() % n
+        return pd.Series(shared.value[at // 64] >> (at % 64).astype(np.uint64) & np.uint64(1) == 1)
+
+    return marked("_tag")
+
+
 def token_sets(docs: DataFrame, tags: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``_node`` (digest) and ``_set`` of the rows with these tags; each set once."""
-    rows = tagged(docs, id_col, text_col).join(tags, "_tag", "left_semi").select("_text")
+    """``_node`` and ``_set`` of the rows with these (stored) tags (``_tag``, ``_node``, ``_key``); each set once. The
+    bitmap keeps other texts from being shuffled."""
+    rows = tagged(docs, id_col, text_col).where(listed(tags)).join(tags, "_tag").select("_node", "_key", "_text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in blocks(whole, "_text"):
-                sets = [x for x in map(ngrams, batch.column("_text").to_pylist()) if len(x)]
-                yield pa.RecordBatch.from_arrays([pa.array([hashlib.md5(x.tobytes()).digest() for x in sets], pa.binary()),
-                                                  pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))], ["_node", "_set"])
+                sets = [ngrams(t) for t in batch.column("_text").to_pylist()]
+                same = [hashlib.md5(x.tobytes()).digest() == k for x, k in zip(sets, batch.column("_key").to_pylist())]
+                yield pa.RecordBatch.from_arrays([batch.column("_node").filter(pa.array(same)), pa.array([x.view(np.int64) for x, kept in zip(sets, same) if kept], pa.list_(pa.int64()))],
+                                                 ["_node", "_set"])
 
-    return rows.mapInArrow(work, "_node binary, _set array<long>").groupBy("_node").agg(F.first("_set").alias("_set"))
+    return rows.mapInArrow(work, "_node long, _set array<long>").groupBy("_node").agg(F.first("_set").alias("_set"))
 
 
 def similar_sizes(a: Column, b: Column) -> Column:
@@ -203,8 +225,11 @@ def meeting(pairs: DataFrame, nodes: DataFrame, orders: int = ORDERS) -> DataFra
     return both.select("a", "b")
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose sets share PERCENT of their union."""
+def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The pairs (stored) whose sets share PERCENT of their union; sets are made for their nodes only."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("_node")).distinct()
+    tags = materialize(nodes.select("_node", "_tag", "_key").join(wanted, "_node", "left_semi"))
+    sets = materialize(token_sets(docs, tags, id_col, text_col))
     both = beside(pairs, sets.withColumnRenamed("_set", "_left"), sets.withColumnRenamed("_set", "_right"))
     common = F.size(F.array_intersect("_left", "_right"))
     return both.where(common * 100 >= (F.size("_left") + F.size("_right") - common) * PERCENT).select("a", "b")
@@ -237,8 +262,7 @@ def across(groups: DataFrame, nodes: DataFrame, on: list[str], order: int, order
 
     ``groups``: rows with ``_node``, ``_n``, ``_label``, ``_class``, ``_other`` and the columns ``on``."""
     keys = [*on, "_low", "_high"]
-    rows = materialize(groups.withColumns({"_low": F.least("_class", "_other"), "_high": F.greatest("_class", "_other")})
-                       .select("_node", "_n", "_label", "_class", "_other", *keys).distinct())
+    rows = materialize(groups.select("_node", "_n", "_label", "_class", *on, F.least("_class", "_other").alias("_low"), F.greatest("_class", "_other").alias("_high")))
     is_low, is_high = F.col("_class") == F.col("_low"), F.col("_class") == F.col("_high")
     size = rows.groupBy(*keys).agg(F.count(F.when(is_low, 1)).alias("_lows"), F.count(F.when(is_high, 1)).alias("_highs"),
                                    F.min("_label").alias("_first"), F.max("_label").alias("_last"))
@@ -254,7 +278,7 @@ def across(groups: DataFrame, nodes: DataFrame, on: list[str], order: int, order
                                     & ((F.col("_low") < F.col("_high")) | (F.col("_one") < F.col("_two"))))
     pairs = met.select(F.least("_one", "_two").alias("a"), F.greatest("_one", "_two").alias("b"))
     if order + 1 < orders and many.take(1):
-        hot = salted_join(rows, many.select(*keys), keys, F.col("_node"), "left_semi", FEW_SALTS).drop("_other")
+        hot = salted_join(rows, many.select(*keys), keys, F.col("_node"), "left_semi", FEW_SALTS)
         tokens = nodes.select("_node", F.posexplode(f"_p{order + 1}").alias("_at", f"_x{order + 1}"))
         finer = can_meet(hot.drop("_class").join(tokens, "_node"))
         finer = finer.where((F.least("_class", "_other") == F.col("_low")) & (F.greatest("_class", "_other") == F.col("_high"))).drop("_low", "_high")
@@ -268,14 +292,12 @@ def linked(docs: DataFrame, nodes: DataFrame, same: DataFrame, id_col: str, text
     if not tokens.take(1):
         return merged(None, same)
     company = tokens.groupBy("_node").agg(F.count(F.lit(1)).alias("_shared"))
-    wanted = nodes.select("_node", "_tag").join(company, "_node", "left_semi").select("_tag")
-    sets = materialize(token_sets(docs, wanted, id_col, text_col))
     ranked = tokens.join(company, "_node")
     first = ranked.groupBy("_x").agg(F.max(F.struct("_shared", "_n", "_node")).alias("_first")).select("_x", "_first")
     others = salted_join(tokens, first, ["_x"], F.col("_node"), "inner", FEW_SALTS).where("_node <> _first._node")
     others = others.where(similar_sizes(F.col("_n"), F.col("_first._n")))
     pairs = materialize(others.select(F.col("_first._node").alias("a"), F.col("_node").alias("b")).distinct())
-    links = verified(materialize(meeting(pairs, nodes, orders)), sets)
+    links = verified(materialize(meeting(pairs, nodes, orders)), docs, nodes, id_col, text_col)
     labels = merged(None, materialize(links.union(same)))
     # groups that are of one class by now have no link to add
     rows = label(labels, tokens, "_node", "_label")
@@ -284,22 +306,25 @@ def linked(docs: DataFrame, nodes: DataFrame, same: DataFrame, id_col: str, text
     if not left.take(1):
         return labels
     pairs = materialize(across(can_meet(left), nodes, ["_x"], 0, orders).distinct())
-    return merged(labels, materialize(verified(materialize(meeting(pairs, nodes, orders)), sets)))
+    return merged(labels, materialize(verified(materialize(meeting(pairs, nodes, orders)), docs, nodes, id_col, text_col)))
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orders: int = ORDERS) -> DataFrame:
     """One row per row of ``docs``: its id, ``n_shingles`` and ``component_id``."""
     rows = materialize(prefixes(docs, id_col, text_col, frequencies(docs, text_col), orders))
     full = rows.where(F.col("_key").isNotNull())
-    nodes = materialize(full.groupBy(F.col("_key").alias("_node")).agg(
-        F.min("_id").alias("_first"), F.min("_tag").alias("_tag"), F.first("_n").alias("_n"), *[F.first(f"_p{k}").alias(f"_p{k}") for k in range(orders)]))
+    # a set is a node; its number is given once, as the nodes are stored
+    nodes = materialize(full.groupBy("_key").agg(F.min("_id").alias("_first"), F.min("_tag").alias("_tag"), F.first("_n").alias("_n"), *[F.first(f"_p{k}").alias(f"_p{k}") for k in range(orders)])
+                        .withColumn("_node", F.monotonically_increasing_id()))
     # an id that stands for several sets joins them
-    several = full.where(F.col("_id").isNotNull()).groupBy("_id").agg(F.min("_key").alias("a"), F.max("_key").alias("_last")).where("a < _last").select("_id", "a")
-    same = salted_join(full.select("_id", "_key"), several, ["_id"], F.col("_key"), "inner", FEW_SALTS).select("a", F.col("_key").alias("b")).where("a <> b").distinct()
+    several = full.where(F.col("_id").isNotNull()).groupBy("_id").agg(F.min("_key").alias("_one"), F.max("_key").alias("_last")).where("_one < _last").select("_id", "_one")
+    same = salted_join(full.select("_id", "_key"), several, ["_id"], F.col("_key"), "inner", FEW_SALTS).where("_key <> _one").select("_one", "_key").distinct()
+    number = lambda key, name: nodes.select(F.col("_key").alias(key), F.col("_node").alias(name))
+    same = materialize(same.join(number("_one", "a"), "_one").join(number("_key", "b"), "_key").select("a", "b"))
     labels = linked(docs, nodes, same, id_col, text_col, orders)
-    named = materialize(label(labels, nodes.select("_node", "_first"), "_node", "_label"))
+    named = materialize(label(labels, nodes.select("_node", "_key", "_first"), "_node", "_label"))
     smallest = named.groupBy("_label").agg(F.min("_first").alias("component_id"))
-    named = salted_join(named, smallest, ["_label"], F.col("_node"), salts=FEW_SALTS).select(F.col("_node").alias("_key"), "component_id")
+    named = salted_join(named, smallest, ["_label"], F.col("_node"), salts=FEW_SALTS).select("_key", "component_id")
     out = salted_join(rows.select("_id", "_n", "_key"), named, ["_key"], F.struct("_id", "_n"))
     return out.select(F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"),
                       F.when(F.col("_key").isNull(), F.col("_id")).otherwise(F.col("component_id")).alias("component_id"))
