@@ -235,6 +235,16 @@ union all
 select *, TIMESTAMP '{AS_OF_2}' effective_from, cast(null as timestamp) effective_to, true is_current
 from p_new
 where product_id in (select product_id from chg) or product_id not in (select product_id from h1)"""
+    q["D2_commits"] = q["D2"]
+    q["T3"] = "select o_orderkey, o_custkey, o_orderdate from orders"
+    q["T4_scd1"] = """select o_custkey, o_orderkey, o_orderpriority, o_orderdate from orders
+qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) = 1"""
+    q["T4_scd2"] = """with o as (select * from orders qualify row_number() over (partition by o_custkey, o_orderdate order by o_orderkey desc) = 1),
+p as (select *, row_number() over w as i, lag(o_orderpriority) over w as before from o window w as (partition by o_custkey order by o_orderdate)),
+v as (select * from p where i = 1 or before is distinct from o_orderpriority)
+select o_custkey, o_orderkey, o_orderpriority, o_orderdate as effective_from, lead(o_orderdate) over w as effective_to,
+       lead(o_orderdate) over w is null as is_current
+from v window w as (partition by o_custkey order by o_orderdate)"""
     q["C2"] = f"""with {_LI_FLAGS}
 select count(*) original_rows,
        cast(sum(case when not nk and rn = 1 then 1 else 0 end) as bigint) valid_rows,

@@ -15,16 +15,19 @@ from strata.functions.scalar import any_null, floor_days, tolerant_number, toler
 from strata.operators.incremental import ingest_incremental
 from strata.operators.quality import audit_record, catalog, validation_counts
 from strata.operators.rank import dense_rank_by
-from strata.operators.scd import not_in_current, scd1_merge, scd2_merge
+from strata.operators.scd import EFFECTIVE_FROM, not_in_current, scd1_merge, scd2_merge
 from strata.operators.standardise import dedup_text, fill_defaults
 from strata.operators.validate import split_valid, validate_keys
+from strata.operators.versions import dimension, version_changes
 from strata.plans import business, gold, medallion, roles
 from strata.plans.layers import stored_layer
 from strata.plans.roles import LINEITEM_KEYS, table
+from strata.sources import parts
 from strata.sources.checkpoint import materialize, table_dir
 from strata.sources.raw import read_raw_csv
 from strata.specs import TableSpec
-from strata.streaming.ingest import ingest_stream
+from strata.streaming import dimensions
+from strata.streaming.ingest import dedup_stream, ingest_stream, read_stream
 
 # Fixed query parameters.
 HWM_MARK = "2000-01-01 00:00:00"        # stored high-water mark for S_HWM / S_MAX
@@ -321,6 +324,57 @@ def q_j7(spark, sf_dir):
                           product_history_first(spark, sf_dir), "product_id")
 
 
+def q_d2_commits(spark, sf_dir):
+    """The history of D2 by event time, kept by commits of changes only."""
+    base = table_dir(spark)
+    for first, at in ((True, AS_OF), (False, AS_OF_2)):
+        snapshot = materialize(product_snapshot(spark, sf_dir, first).withColumn("_at", _ts(at)))
+        stored = parts.read(spark, base, parts.touched(spark, base, snapshot))
+        rows, gone = version_changes(stored, snapshot, "product_id", "_at", PRODUCT_TRACKED)
+        parts.commit(rows, base, ["product_id"], ["product_id", EFFECTIVE_FROM], gone)
+    return dimension(parts.read(spark, base)).drop("_at")
+
+
+ARRIVALS = 3  # parts in which the change rows of the streaming queries arrive
+
+
+def streamed_orders(spark, sf_dir, process) -> None:
+    """Orders as change rows of their customers, in several arrivals dealt by hash, so that event times come in no order;
+    ``process`` runs a stream over what has arrived."""
+    source = table_dir(spark)
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderpriority", "o_orderdate")
+    for i in range(ARRIVALS):
+        o.where(F.pmod(F.xxhash64("o_orderkey"), F.lit(ARRIVALS)) == i).write.mode("append").parquet(source)
+        process(read_stream(spark, source, o.schema))
+
+
+def q_t4_scd1(spark, sf_dir):
+    """The newest order of every customer, whenever it arrives."""
+    target, checkpoint = table_dir(spark), table_dir(spark)
+    apply = dimensions.scd1_foreach_batch(target, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    streamed_orders(spark, sf_dir, lambda s: dimensions.start_dimension_stream(s, apply, checkpoint).awaitTermination())
+    return dimensions.read_scd1(spark, target)
+
+
+def q_t4_scd2(spark, sf_dir):
+    """Every customer's versions of order priority, by order date."""
+    target, checkpoint = table_dir(spark), table_dir(spark)
+    apply = dimensions.scd2_foreach_batch(target, "o_custkey", ["o_orderpriority"], ["o_orderkey"], as_of_col="o_orderdate")
+    streamed_orders(spark, sf_dir, lambda s: dimensions.start_dimension_stream(s, apply, checkpoint).awaitTermination())
+    return dimensions.read_scd2(spark, target).drop("o_orderdate")
+
+
+def q_t3(spark, sf_dir):
+    """Orders that arrive twice through the deduplicating stream: each comes out once."""
+    source, target, checkpoint = table_dir(spark), table_dir(spark), table_dir(spark)
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    for _ in range(2):
+        o.write.mode("append").parquet(source)
+    stream = dedup_stream(read_stream(spark, source, o.schema), ["o_orderkey"], "o_orderdate", "1 hour")
+    stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start(target, format="parquet").awaitTermination()
+    return spark.read.parquet(target)
+
+
 # -- catalog and audit -------------------------------------------------------
 
 def q_c3(spark, sf_dir):
@@ -366,6 +420,7 @@ QUERIES = {
     "P1": q_p1, "A1": q_a1, "B1": q_b1, "J5": q_j5, "J7": q_j7,
     "W1": q_w1, "W2": q_w2,
     "G1": q_g1, "G2": q_g2, "G3": q_g3, "G4": q_g4, "O1": q_o1,
-    "D1": q_d1, "D2": q_d2,
+    "D1": q_d1, "D2": q_d2, "D2_commits": q_d2_commits,
+    "T3": q_t3, "T4_scd1": q_t4_scd1, "T4_scd2": q_t4_scd2,
     "C2": q_c2, "C3": q_c3, "C4": q_c4,
 }

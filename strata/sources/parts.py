@@ -25,7 +25,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,20 +88,21 @@ def commit(rows: DataFrame, base: str, keys: Sequence[str], identity: Sequence[s
         number, buckets, live_rows, live_gone = entry["number"] + 1, entry["buckets"], list(entry["rows"]), list(entry["gone"])
         schema = _widened(T.StructType.fromJson(json.loads(entry["schema"])), rows.schema, base)
     # a directory of this number can only be left from a commit that did not reach the log
-    row_count, gone_count, n = Observation(), Observation(), F.count(F.lit(1)).alias("n")
-    (rows.withColumn(BUCKET, bucket_of(keys, buckets)).observe(row_count, n).hint("rebalance", BUCKET)
-     .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{base}/rows/{COMMIT}={number}"))
-    added, removed = row_count.get["n"], 0
+    added, removed = _written(rows.withColumn(BUCKET, bucket_of(keys, buckets)).hint("rebalance", BUCKET), f"{base}/rows/{COMMIT}={number}", BUCKET), 0
     if gone is not None and live_rows:
-        ids = gone.select(*identity).withColumn(BEFORE, F.lit(number).cast("long")).observe(gone_count, n)
-        ids.write.mode("overwrite").parquet(f"{base}/gone/{COMMIT}={number}")
-        removed = gone_count.get["n"]
+        removed = _written(gone.select(*identity).withColumn(BEFORE, F.lit(number).cast("long")), f"{base}/gone/{COMMIT}={number}")
     live_rows += [number] if added else []
     live_gone += [number] if removed else []
     _append(spark, base, (number, schema.json(), list(keys), list(identity), buckets, live_rows, live_gone, stream, epoch, added, removed))
     return number
 
 
+def _written(df: DataFrame, path: str, *partition_by: str) -> int:
+    """Write a part; its number of rows, from the file footers."""
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).count()
+
+
 def _append(spark: SparkSession, base: str, entry: tuple) -> None:
     local_frame(spark, [entry], LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{base}/_log")
 
@@ -142,9 +143,8 @@ def compact(spark: SparkSession, base: str) -> int:
     """Write the visible rows as one part. The older parts stay for readers that have begun with them."""
     base = base.rstrip("/")
     entry = latest(spark, base)
-    number, count = entry["number"] + 1, Observation()
-    rows = read(spark, base).withColumn(BUCKET, bucket_of(entry["keys"], entry["buckets"])).observe(count, F.count(F.lit(1)).alias("n"))
-    rows.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{base}/rows/{COMMIT}={number}")
-    n = count.get["n"]
+    number = entry["number"] + 1
+    rows = read(spark, base).withColumn(BUCKET, bucket_of(entry["keys"], entry["buckets"]))
+    n = _written(rows.hint("rebalance", BUCKET), f"{base}/rows/{COMMIT}={number}", BUCKET)
     _append(spark, base, (number, entry["schema"], list(entry["keys"]), list(entry["identity"]), entry["buckets"], [number] if n else [], [], None, None, 0, 0))
     return number

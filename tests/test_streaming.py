@@ -4,9 +4,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import rows
-from strata.sources import state, versioned
+from strata.sources import parts, state
 from strata.sources.raw import read_raw_csv
-from strata.streaming.dimensions import scd1_foreach_batch, scd2_foreach_batch, start_dimension_stream
+from strata.streaming.dimensions import read_scd1, read_scd2, scd1_foreach_batch, scd2_foreach_batch, start_dimension_stream
 from strata.streaming.ingest import dedup_stream, hwm_batch, hwm_stream, ingest_stream, read_stream
 
 SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -104,10 +104,36 @@ def test_dimension_streams(spark, tmp_dir):
     start_dimension_stream(read_stream(spark, src, SCHEMA),
                            scd2_foreach_batch(dim2, "id", ["v"], ["ts"], as_of_col="ts"),
                            ck2).awaitTermination()
-    d1 = versioned.read_current(spark, dim1)
-    assert rows(d1, "id", "v") == [(1, "a3"), (2, "b")]
-    d2 = versioned.read_current(spark, dim2)
-    assert rows(d2, "id", "v", "is_current") == [(1, "a", False), (1, "a3", True), (2, "b", True)]
+    assert rows(read_scd1(spark, dim1), "id", "v") == [(1, "a3"), (2, "b")]
+    # both changes of one batch are versions, each from its own time
+    assert rows(read_scd2(spark, dim2), "id", "v", "is_current") == [(1, "a", False), (1, "a2", False), (1, "a3", True), (2, "b", True)]
+
+
+def test_late_rows(spark, tmp_dir):
+    """A row older than the stored ones does not win (SCD1), and splits the version that it falls into (SCD2)."""
+    dim1, dim2 = f"{tmp_dir}/dim1", f"{tmp_dir}/dim2"
+    one, two = scd1_foreach_batch(dim1, ["id"], ["ts"]), scd2_foreach_batch(dim2, "id", ["v"], ["ts"], as_of_col="ts")
+    batches = [[(1, "2024-01-01", "a"), (1, "2024-03-01", "b"), (2, "2024-01-01", "x")], [], [(1, "2023-12-01", "b"), (1, "2024-02-01", "a"), (None, "2024-01-01", "n"), (2, None, "n")],
+               [(1, "2024-01-15", "c"), (1, "2024-03-01", "b")]]
+    for epoch, batch in enumerate(batches):
+        df = spark.createDataFrame([(i, t and _ts(t), v) for i, t, v in batch], SCHEMA)
+        for _ in range(2):  # the second is a replay
+            one(df, epoch), two(df, epoch)
+    assert rows(read_scd1(spark, dim1), "id", "v") == [(1, "b"), (2, "x")]
+    got = rows(read_scd2(spark, dim2).selectExpr("id", "v", "date_format(effective_from, 'MMdd') f", "date_format(effective_to, 'MMdd') t", "is_current"))
+    assert got == [(1, "a", "0101", "0115", False), (1, "a", "0201", "0301", False), (1, "b", "0301", None, True), (1, "b", "1201", "0101", False),
+                   (1, "c", "0115", "0201", False), (2, "x", "0101", None, True)]
+    # replays and the empty batch committed nothing
+    assert parts.history(spark, dim1).count() == 1 and parts.history(spark, dim2).count() == 3
+
+
+def test_snapshots_without_event_time(spark, tmp_dir):
+    dim = f"{tmp_dir}/dim"
+    apply = scd2_foreach_batch(dim, "id", ["v"], ["ts"])
+    for epoch, v in enumerate(["a", "a", "b"]):
+        apply(spark.createDataFrame([(1, _ts("2024-01-01"), v)], SCHEMA), epoch)
+    got = read_scd2(spark, dim).orderBy("effective_from").collect()
+    assert [(r["v"], r["is_current"]) for r in got] == [("a", False), ("b", True)] and got[0]["effective_to"] == got[1]["effective_from"]
 
 
 def test_csv_stream_reads_like_the_batch_reader(spark, tmp_dir):
