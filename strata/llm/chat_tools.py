@@ -4,7 +4,8 @@
 in the conversation, identifiers of the calls whose results they need) and
 results (identifier, position, content). All of it is joins and expressions:
 
-* calls, needs and results meet in hash joins by identifier. Results and
+* an identifier names a call within its conversation: calls, needs and
+  results meet in hash joins by conversation and identifier. Results and
   repeated identifiers are combined before they are joined, and joins on an
   identifier that many rows name are salted;
 * in a conversation whose calls only need earlier ones, the position is a
@@ -15,12 +16,14 @@ results (identifier, position, content). All of it is joins and expressions:
 * ``record`` is the canonical JSON of a link: keys sorted at every level, no
   blanks, fields that are null left out.
 
-Status, the first that holds: orphan_result (a result that no call has
-asked for), no_id, duplicate_id (an earlier call has the identifier),
+Status, the first that holds: orphan_result (a result that no call of its
+conversation has asked for), no_id (no identifier or no conversation),
+duplicate_id (an earlier call of the conversation has the identifier),
 bad_json (the arguments are null or not JSON), unknown_tool, invalid,
 missing_need, cycle, unanswered, ok.
 
-Defined results: a null identifier links nothing; of several results the first
+Defined results: a null identifier or conversation links nothing, a result
+without one is left out; of several results the first
 by position, then content, is linked and ``n_results`` counts them; of calls
 with one identifier at one position none is earlier; a null list of needs is
 empty, repeated and null needs count once and not at all; an empty table gives
@@ -35,6 +38,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import n_words, salted_join
 from strata.sources.checkpoint import materialize
 
+KEY = ["conv_id", "call_id"]
 # How the types of JSON Schema look in a variant's schema.
 TYPES = {"string": "^STRING$", "integer": r"^(BIGINT|DECIMAL\(\d+,0\))$", "number": r"^(BIGINT|DOUBLE|FLOAT|DECIMAL\(.*\))$",
          "boolean": "^BOOLEAN$", "object": "^OBJECT<", "array": "^ARRAY<", "null": "^VOID$"}
@@ -78,36 +82,35 @@ def checked(calls: DataFrame, schemas: dict[str, dict]) -> DataFrame:
 
 
 def order(calls: DataFrame) -> DataFrame:
-    """One row per identifier: ``call_id``, ``topo`` (a topological number within its conversation, null in or behind
+    """One row per conversation and identifier: ``topo`` (a topological number within the conversation, null in or behind
     a cycle) and ``n_missing`` (needs that are no call). ``calls``: conv_id, call_id, position, needs; stored."""
-    own = calls.where("call_id is not null").groupBy("call_id").agg(F.min(F.struct("position", "conv_id")).alias("_c"))
-    own = materialize(own.select("call_id", F.col("_c.position").alias("position"), F.col("_c.conv_id").alias("conv_id")))
-    needs = calls.where("call_id is not null").select("call_id", F.explode(F.array_distinct("needs")).alias("need")).where("need is not null").distinct()
-    needed = own.select(F.col("call_id").alias("need"), F.col("position").alias("need_position"))
-    edges = materialize(salted_join(needs, needed, ["need"], F.col("call_id")).join(own, "call_id"))
-    missing = edges.where("need_position is null").groupBy("call_id").agg(F.count(F.lit(1)).alias("n_missing"))
-    edges = edges.where("need_position is not null")
-    ahead = materialize(edges.where("need_position >= position").select("conv_id").distinct())
-    numbered = own.select("call_id", "conv_id", F.col("position").cast("long").alias("topo"))
+    named = calls.dropna("any", subset=KEY)
+    own = materialize(named.groupBy(*KEY).agg(F.min("position").alias("position")))
+    needs = named.select(*KEY, F.explode(F.array_distinct("needs")).alias("need")).where("need is not null").distinct()
+    needed = own.select("conv_id", F.col("call_id").alias("need"), F.col("position").alias("need_position"), F.lit(True).alias("is_call"))
+    edges = materialize(salted_join(needs, needed, ["conv_id", "need"], F.col("call_id")).join(own, KEY))
+    missing = edges.where("is_call is null").groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_missing"))
+    edges = edges.where("is_call")
+    ahead = materialize(edges.where("coalesce(need_position >= position, true)").select("conv_id").distinct())
+    numbered = own.select(*KEY, F.col("position").cast("long").alias("topo"))
     if ahead.take(1):
-        peel = materialize(salted_join(own, ahead, ["conv_id"], F.col("call_id"), "left_semi").select("call_id"))
-        done = levels(peel, edges.join(peel, "call_id", "left_semi").select("call_id", "need"))
-        numbered = numbered.join(peel, "call_id", "left_anti").select("call_id", "topo").union(
-            peel.join(done, "call_id", "left").select("call_id", "level"))
-    return numbered.select("call_id", "topo").join(missing, "call_id", "left").withColumn("n_missing", F.coalesce("n_missing", F.lit(0)))
+        peel = materialize(salted_join(own, ahead, ["conv_id"], F.col("call_id"), "left_semi").select(*KEY))
+        done = levels(peel, edges.join(peel, KEY, "left_semi").select(*KEY, "need"))
+        numbered = numbered.join(peel, KEY, "left_anti").select(*KEY, "topo").union(peel.join(done, KEY, "left").select(*KEY, "level"))
+    return numbered.join(missing, KEY, "left").withColumn("n_missing", F.coalesce("n_missing", F.lit(0)))
 
 
 def levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """``call_id`` and ``level`` of the calls that can be put in order: a round takes those without open needs."""
+    """``conv_id``, ``call_id`` and ``level`` of the calls that can be put in order: a round takes those without open needs."""
     done, level = None, 0
     while True:
-        ready = materialize(nodes.join(edges.select("call_id").distinct(), "call_id", "left_anti"))
+        ready = materialize(nodes.join(edges.select(*KEY).distinct(), KEY, "left_anti"))
         if not ready.take(1):
             return done if done is not None else ready.withColumn("level", F.lit(0).cast("long"))
         placed = ready.withColumn("level", F.lit(level).cast("long"))
         done = placed if done is None else done.union(placed)
-        nodes = materialize(nodes.join(ready, "call_id", "left_anti"))
-        edges = materialize(edges.join(ready.withColumnRenamed("call_id", "need"), "need", "left_anti"))
+        nodes = materialize(nodes.join(ready, KEY, "left_anti"))
+        edges = materialize(edges.join(ready.withColumnRenamed("call_id", "need"), ["conv_id", "need"], "left_anti"))
         level += 1
 
 
@@ -115,20 +118,19 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
     """One row for each call and each result without a call: conv_id, call_id, position, name, status, topo, problems,
     n_results, arguments (canonical), result and record."""
     calls = materialize(calls.select("conv_id", "call_id", "name", "arguments", "position", F.coalesce("needs", F.array().cast("array<string>")).alias("needs")))
-    answers = results.where("call_id is not null").groupBy("call_id").agg(
-        F.min(F.struct("position", "content", "conv_id")).alias("_r"), F.count(F.lit(1)).cast("long").alias("n_results"))
-    answers = materialize(answers.select("call_id", F.col("_r.conv_id").alias("_conv"), F.col("_r.position").alias("_at"), F.col("_r.content").alias("result"), "n_results"))
-    first = calls.where("call_id is not null").groupBy("call_id").agg(F.min("position").alias("_first"))
-    known = materialize(order(calls).join(first, "call_id").join(answers.drop("_conv", "_at"), "call_id", "left"))
-    linked = salted_join(checked(calls, schemas), known, ["call_id"], F.xxhash64("arguments"))
+    answers = results.dropna("any", subset=KEY).groupBy(*KEY).agg(F.min(F.struct("position", "content")).alias("_r"), F.count(F.lit(1)).cast("long").alias("n_results"))
+    answers = materialize(answers.select(*KEY, F.col("_r.position").alias("_at"), F.col("_r.content").alias("result"), "n_results"))
+    first = calls.dropna("any", subset=KEY).groupBy(*KEY).agg(F.min("position").alias("_first"))
+    known = materialize(order(calls).join(first, KEY).join(answers.drop("_at"), KEY, "left"))
+    linked = salted_join(checked(calls, schemas), known, KEY, F.xxhash64("arguments"))
     n_results = F.coalesce("n_results", F.lit(0).cast("long"))
-    status = (F.when(F.col("call_id").isNull(), "no_id").when(F.col("position") > F.col("_first"), "duplicate_id").when(F.col("_json").isNull(), "bad_json")
+    status = (F.when(F.col("call_id").isNull() | F.col("conv_id").isNull(), "no_id").when(F.col("position") > F.col("_first"), "duplicate_id").when(F.col("_json").isNull(), "bad_json")
               .when(F.col("problems").isNull(), "unknown_tool").when(F.size("problems") > 0, "invalid").when(F.col("n_missing") > 0, "missing_need")
               .when(F.col("topo").isNull(), "cycle").when(n_results == 0, "unanswered").otherwise("ok"))
     linked = linked.select("conv_id", "call_id", "position", "name", status.alias("status"), "topo", "problems", n_results.alias("n_results"),
                            "_json", "result", "needs")
-    lost = answers.join(first, "call_id", "left_anti").select(
-        F.col("_conv").alias("conv_id"), "call_id", F.col("_at").alias("position"), F.lit(None).cast("string").alias("name"), F.lit("orphan_result").alias("status"),
+    lost = answers.join(first, KEY, "left_anti").select(
+        *KEY, F.col("_at").alias("position"), F.lit(None).cast("string").alias("name"), F.lit("orphan_result").alias("status"),
         F.lit(None).cast("long").alias("topo"), F.lit(None).cast("array<string>").alias("problems"), "n_results", F.try_parse_json(F.lit(None).cast("string")).alias("_json"),
         "result", F.array().cast("array<string>").alias("needs"))
     fields = {"arguments": F.col("_json"), "call_id": F.col("call_id"), "name": F.col("name"), "needs": F.col("needs"), "order": F.col("topo"),
@@ -148,9 +150,9 @@ TURN_SCHEMAS = {
 def turns_as_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results of plain conversations (conv_id, turn, role, text): a system turn configures and a user turn
     asks for a reply; each needs the call two turns before it, or the first turn. An assistant turn is the result of
-    the turn before it. Other roles, and turns without a conversation or number, are no calls."""
+    the turn before it. Identifiers are numbers of turns, so every conversation has the same ones. Other roles, and turns without a conversation or number, are no calls."""
     turns = turns.where("conv_id is not null and turn is not null")
-    at = lambda n: F.concat_ws(":", F.col("conv_id"), n)
+    at = lambda n: F.concat(F.lit("call_"), n.cast("string"))
     text = F.coalesce("text", F.lit(""))
     asked = F.to_json(F.struct(text.alias("text"), F.col("turn"), n_words(F.col("text")).alias("words")))
     needs = F.when((F.col("role") == "user") & (F.col("turn") > 0), F.array(at(F.greatest(F.col("turn") - 2, F.lit(0)).cast("long")))).otherwise(F.array().cast("array<string>"))

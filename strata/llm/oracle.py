@@ -45,17 +45,17 @@ from m
 # Turns as calls and results; the record is put together from the JSON of its fields, null ones left out.
 OP2 = r"""
 with t as (select *, coalesce(text, '') as body from conversations where conv_id is not null and turn is not null),
-c as (select conv_id, turn, role, conv_id || ':' || turn as call_id, body,
+c as (select conv_id, turn, role, 'call_' || turn as call_id, body,
              coalesce(len(regexp_extract_all(body, '[^\x20\x09-\x0D]+')), 0)::bigint as words,
-             case when role = 'user' and turn > 0 then conv_id || ':' || greatest(turn - 2, 0) end as need
+             case when role = 'user' and turn > 0 then 'call_' || greatest(turn - 2, 0) end as need
       from t where role in ('system', 'user')),
-f as (select call_id, min(turn) as first_turn from c group by 1),
-r as (select conv_id || ':' || (turn - 1) as call_id, min({turn: turn, text: text, conv_id: conv_id}) as x, count(*) as n_results
-      from t where role = 'assistant' group by 1),
+f as (select conv_id, call_id, min(turn) as first_turn from c group by 1, 2),
+r as (select conv_id, 'call_' || (turn - 1) as call_id, min({turn: turn, text: text}) as x, count(*) as n_results
+      from t where role = 'assistant' group by 1, 2),
 p as (select c.*, f.first_turn, coalesce(r.n_results, 0) as n_results, r.x.text as result, n.call_id is null and need is not null as need_missing,
              concat_ws(',', case when body = '' then 'text:minLength' end, case when role = 'user' and turn < 0 then 'turn:minimum' end,
                        case when role = 'user' and words < 1 then 'words:minimum' end, case when role = 'user' and words > 400 then 'words:maximum' end) as problems
-      from c join f using (call_id) left join r using (call_id) left join f n on n.call_id = c.need),
+      from c join f using (conv_id, call_id) left join r using (conv_id, call_id) left join f n on n.conv_id = c.conv_id and n.call_id = c.need),
 s as (select *, case when turn > first_turn then 'duplicate_id' when problems <> '' then 'invalid' when need_missing then 'missing_need'
                      when n_results = 0 then 'unanswered' else 'ok' end as status from p),
 j as (select conv_id, call_id, turn, case role when 'system' then 'configure' else 'reply' end as name, status, first_turn as topo, n_results, problems,
@@ -65,9 +65,9 @@ select conv_id, call_id, turn, name, status, topo, n_results, problems,
             || case when result is not null then ',"result":' || to_json(result) else '' end || ',"status":' || to_json(status) || '}' as record
 from j
 union all
-select r.x.conv_id, r.call_id, r.x.turn, null, 'orphan_result', null, r.n_results, null,
+select r.conv_id, r.call_id, r.x.turn, null, 'orphan_result', null, r.n_results, null,
        '{"call_id":' || to_json(r.call_id) || ',"needs":[]' || case when r.x.text is not null then ',"result":' || to_json(r.x.text) else '' end || ',"status":"orphan_result"}'
-from r left join f using (call_id) where f.call_id is null
+from r left join f using (conv_id, call_id) where f.call_id is null
 """
 
 # Rows by part and set of failed filters, every order of the five filters step by step.

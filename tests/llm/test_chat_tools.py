@@ -24,7 +24,7 @@ def test_links_and_statuses(spark):
     rows = linked(spark, calls, results)
     got = sorted((str(r["call_id"]), r["status"], r["n_results"]) for r in rows)
     assert got == sorted([("x", "ok", 2), ("y", "ok", 1), ("x", "duplicate_id", 2), ("None", "no_id", 0), ("j", "bad_json", 0), ("n", "bad_json", 0), ("u", "unknown_tool", 0),
-                          ("i", "invalid", 0), ("m", "missing_need", 1), ("w", "unanswered", 0), ("lost", "orphan_result", 2), ("v", "cycle", 0)])
+                          ("i", "invalid", 0), ("m", "missing_need", 1), ("w", "unanswered", 0), ("lost", "orphan_result", 2), ("v", "no_id", 0)])
     by_id = {r["call_id"]: r for r in rows if r["status"] != "duplicate_id"}
     assert by_id["i"]["problems"] == ["a:minimum", "b:type", "object:additionalProperties"]
     assert by_id["x"]["result"] == "three" and by_id["lost"]["result"] == "!"
@@ -51,6 +51,18 @@ def test_turns(spark):
     rows = [(1, 0, "system", "s"), (1, 1, "user", "u"), (1, 2, "assistant", "a"), (1, 3, "user", None), (2, 0, "assistant", "lost"), (2, 1, "user", "é"), (3, 0, "user", "x"), (3, 0, "user", "x"),
             (None, 0, "user", "x"), (4, None, "user", "x"), (5, 0, None, "x"), (5, 2, "user", " ")]
     turns = spark.createDataFrame([(*r, "old") for r in rows], "conv_id long, turn long, role string, text string, status string")
-    got = sorted((r["call_id"], r["status"]) for r in chat_tools.link(*chat_tools.turns_as_calls(turns), chat_tools.TURN_SCHEMAS).collect())
-    assert got == sorted([("1:0", "unanswered"), ("1:1", "ok"), ("1:3", "invalid"), ("2:-1", "orphan_result"), ("2:1", "missing_need"), ("3:0", "unanswered"), ("3:0", "unanswered"), ("5:2", "invalid")])
+    got = sorted((r["conv_id"], r["call_id"], r["status"]) for r in chat_tools.link(*chat_tools.turns_as_calls(turns), chat_tools.TURN_SCHEMAS).collect())
+    assert got == sorted([(1, "call_0", "unanswered"), (1, "call_1", "ok"), (1, "call_3", "invalid"), (2, "call_-1", "orphan_result"), (2, "call_1", "missing_need"),
+                          (3, "call_0", "unanswered"), (3, "call_0", "unanswered"), (5, "call_2", "invalid")])
     assert chat_tools.link(*chat_tools.turns_as_calls(turns.where(F.lit(False))), chat_tools.TURN_SCHEMAS).collect() == []
+
+
+def test_conversations_with_the_same_identifiers(spark):
+    """Identifiers repeat in every conversation: each has its own calls, results, order, cycles and missing needs."""
+    calls = [(c, i, "t", "{}", p, n) for c in (1, 2) for i, p, n in (("call_1", 1, []), ("call_2", 2, ["call_1"]))]
+    calls += [(3, "call_1", "t", "{}", 1, ["call_2"]), (3, "call_2", "t", "{}", 2, ["call_1"]), (4, "call_1", "t", "{}", 9, ["call_2"]), (4, "call_2", "t", "{}", 10, []), (5, "call_2", "t", "{}", 1, ["call_1"])]
+    results = [(1, "call_1", 3, "one"), (2, "call_1", 3, "two"), (2, "call_2", 4, "three"), (5, "call_1", 2, "lost"), (None, "call_1", 2, "nowhere")]
+    got = {(r["conv_id"], r["call_id"]): (r["status"], r["topo"], r["n_results"], r["result"]) for r in linked(spark, calls, results, {"t": {}})}
+    assert got == {(1, "call_1"): ("ok", 1, 1, "one"), (1, "call_2"): ("unanswered", 2, 0, None), (2, "call_1"): ("ok", 1, 1, "two"), (2, "call_2"): ("ok", 2, 1, "three"),
+                   (3, "call_1"): ("cycle", None, 0, None), (3, "call_2"): ("cycle", None, 0, None), (4, "call_1"): ("unanswered", 1, 0, None), (4, "call_2"): ("unanswered", 0, 0, None),
+                   (5, "call_2"): ("missing_need", 1, 0, None), (5, "call_1"): ("orphan_result", None, 1, "lost")}
