@@ -2,8 +2,8 @@
 
 1. ``signed``: one pass over the texts gives each row the MD5 of its text and
    the band hashes of its BagMinHash signature.
-2. Rows of one text are one node, the smallest id among them; copies join
-   their node's class through the text's MD5 and are never paired.
+2. Rows of one text are one node, numbered as the nodes are stored; copies
+   join their node's class through the text's MD5 and are never paired.
 3. ``linked``: nodes that share a band hash are in one bucket. First each
    node is compared with one pivot of each of its buckets, the node that has
    most company in all of its buckets (of a family of copies, the original or
@@ -22,9 +22,11 @@ with a probability of 5e-5, one of 0.9 with 1e-10.
 
 Defined results: a null or empty text, or one without words, equals texts
 with the same characters only; a text of one to four words is one shingle;
-an id that stands for several texts makes them one class; a row with a null
-id gets the class of its text if some id has that text, else null; an empty
-table gives an empty result; extra columns are ignored.
+an id that stands for several texts makes them one class, but ``keep_one``
+keeps a row for each class of texts that are alike; a row with a null id gets
+the smallest id of its class, null if that has none; of repeated rows one is
+kept; an empty table gives an empty result; extra columns, however they are
+named, are ignored by ``classes`` and left as they are by ``keep_one``.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,10 +94,15 @@ def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", (common / (F.size("_left") + F.size("_right") - common)).alias("sim"))
 
 
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``_doc`` (the whole row), ``_text``, its MD5 ``_key`` and ``_tag``, a hash of id and key."""
+    rows = docs.select(F.struct("*").alias("_doc"), F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    return rows.withColumn("_key", F.unhex(F.md5("_text"))).withColumn("_tag", F.xxhash64("_id", "_key"))
+
+
 def shingle_sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``_node`` and ``_set``, the numbered shingles, of the rows whose id and text are a node's (``_node``, ``_key``)."""
-    rows = docs.select(F.col(id_col).alias("_node"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    rows = rows.withColumn("_key", F.unhex(F.md5("_text"))).join(nodes, ["_node", "_key"], "left_semi").select("_node", "_text")
+    """``_node`` and ``_set``, the numbered shingles, of the rows whose tag and text are a node's (``_node``, ``_tag``, ``_key``)."""
+    rows = keyed(docs, id_col, text_col).select("_tag", "_key", "_text").join(nodes, ["_tag", "_key"]).select("_node", "_text")
     schema = T.StructType([rows.schema["_node"], T.StructField("_set", T.ArrayType(T.LongType()))])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,31 +195,44 @@ def sharing_rare(rows: DataFrame, threshold: float) -> DataFrame:
     return met.select(F.col("_node").alias("a"), F.col("_other_node").alias("b")).distinct()
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """One row per row of ``docs``: its id and ``class_id``, the smallest id of its class."""
+def alike(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (``_id``, ``_key``), nodes (``_node``, ``_key``, ``_tag``, ``_first``: the smallest id) and the labels of nodes that have a link, all stored."""
     rows = materialize(signed(docs, id_col, text_col))
-    nodes = materialize(rows.where("_id is not null").groupBy("_key").agg(F.min("_id").alias("_node")))
-    banded = rows.where("_bands is not null").join(nodes.select(F.col("_node").alias("_id"), "_key"), ["_id", "_key"], "left_semi")
-    spread = banded.select(F.explode("_bands").alias("_bucket"), F.col("_id").alias("_node")).distinct()
+    # a text is a node; its number is given once, as the nodes are stored
+    nodes = rows.groupBy("_key").agg(F.min("_id").alias("_first"), F.min(F.xxhash64("_id", "_key")).alias("_tag"), F.first("_bands").alias("_bands"))
+    nodes = materialize(nodes.withColumn("_node", F.monotonically_increasing_id()))
+    spread = nodes.where("_bands is not null").select(F.explode("_bands").alias("_bucket"), "_node").distinct()
     shared = spread.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_bucket")
     members = materialize(salted_join(spread, shared, ["_bucket"], F.col("_node"), "left_semi", FEW_SALTS))
-    wanted = nodes.join(members.select("_node").distinct(), "_node", "left_semi")
+    nodes = nodes.drop("_bands")
+    wanted = nodes.join(members.select("_node").distinct(), "_node", "left_semi").select("_node", "_tag", "_key")
     sets = materialize(shingle_sets(docs, wanted, id_col, text_col).groupBy("_node").agg(F.max("_set").alias("_set")))
-    labels = linked(members, sets, threshold)
-    named = label(labels, nodes, "_node", "_label").select("_key", F.col("_label").alias("class_id"))
-    return salted_join(rows.select("_id", "_key"), named, ["_key"], F.col("_id")).select(F.col("_id").alias(id_col), "class_id")
+    return rows.select("_id", "_key"), nodes, linked(members, sets, threshold)
+
+
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """One row per row of ``docs``: its id and ``class_id``, the smallest id of its class."""
+    rows, nodes, labels = alike(docs, id_col, text_col, threshold)
+    # an id that stands for several texts joins them
+    several = rows.where("_id is not null").groupBy("_id").agg(F.min("_key").alias("_one"), F.max("_key").alias("_last")).where("_one < _last").select("_id", "_one")
+    same = salted_join(rows, several, ["_id"], F.col("_key"), "inner", FEW_SALTS).where("_key <> _one").select("_one", "_key").distinct()
+    number = lambda key, name: nodes.select(F.col("_key").alias(key), F.col("_node").alias(name))
+    labels = merged(labels, same.join(number("_one", "a"), "_one").join(number("_key", "b"), "_key").select("a", "b"))
+    named = materialize(label(labels, nodes, "_node", "_label").select("_key", "_node", "_label", "_first"))
+    smallest = named.groupBy("_label").agg(F.min("_first").alias("class_id"))
+    named = salted_join(named, smallest, ["_label"], F.col("_node"), salts=FEW_SALTS).select("_key", "class_id")
+    return salted_join(rows, named, ["_key"], F.col("_id")).select(F.col("_id").alias(id_col), "class_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one row of each class: that of its smallest id, or one of the rows without an id of a text that no id has."""
-    found = materialize(classes(docs, id_col, text_col, threshold))
-    gone = found.where(F.col(id_col).isNotNull() & (F.col(id_col) != F.col("class_id"))).select(id_col).distinct()
-    named = docs.where(F.col(id_col).isNotNull()).join(gone, id_col, "left_anti").select(*docs.columns)
-    if found.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").take(1):
-        named = named.dropDuplicates([id_col])
-    if not found.where(F.col(id_col).isNull()).take(1):
-        return named
-    texts = docs.where(F.col(id_col).isNotNull()).select(text_col).distinct()
-    unnamed = docs.where(F.col(id_col).isNull()).dropDuplicates([text_col])
-    same: Column = unnamed[text_col].eqNullSafe(texts[text_col])
-    return named.union(unnamed.join(texts, same, "left_anti").select(*docs.columns))
+    """``docs`` with one row of each class of texts that are alike: that of the smallest id, rows without an id last."""
+    rows, nodes, labels = alike(docs, id_col, text_col, threshold)
+    named = label(labels, nodes, "_node", "_label")
+    best = F.min(F.struct(F.col("_first").isNull(), "_first", "_key")).alias("_best")
+    kept = named.groupBy("_label").agg(best).select(F.col("_best._key").alias("_key"), F.xxhash64("_best._first", "_best._key").alias("_tag"))
+    kept = materialize(kept)
+    found = keyed(docs, id_col, text_col).select("_doc", "_key", "_tag").join(kept, ["_key", "_tag"], "left_semi")
+    tagged = rows.select("_key", F.xxhash64("_id", "_key").alias("_tag"))
+    if tagged.join(kept, ["_key", "_tag"], "left_semi").groupBy("_key", "_tag").count().where("count > 1").take(1):
+        found = found.dropDuplicates(["_key", "_tag"])
+    return found.select("_doc.*")

@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 from collections import Counter, defaultdict
@@ -19,9 +20,7 @@ def similarity(a, b):
     return sum((a & b).values()) / union if union else 0.0
 
 
-def brute_classes(rows, threshold=0.8):
-    """Smallest id of each row's class: same text, or a path of pairs of the threshold or more. Pairs are met through
-    their rarest runs."""
+def forest():
     parent = {}
 
     def find(x):
@@ -34,30 +33,54 @@ def brute_classes(rows, threshold=0.8):
         x, y = sorted((find(x), find(y)))
         parent[y] = x
 
-    by_text, bags = {}, {}
-    for i, text in rows:
-        if i is not None:
-            join(i, by_text.setdefault(text or "", i))
-    for text, i in by_text.items():
-        bags[i] = Counter({(k, j): 1 for k, n in runs(text).items() for j in range(n)})
-    times, seen = Counter(x for b in bags.values() for x in b), defaultdict(list)
-    for i, bag in bags.items():
+    return find, join
+
+
+def alike(texts, threshold=0.8):
+    """A class for each different text: paths of pairs of the threshold or more. Pairs are met through their rarest runs."""
+    (find, join), texts = forest(), sorted(set(texts))
+    bags = [Counter({(k, j): 1 for k, n in runs(t).items() for j in range(n)}) for t in texts]
+    times, seen = Counter(x for b in bags for x in b), defaultdict(list)
+    for i, bag in enumerate(bags):
         rare = sorted(bag, key=lambda x: (times[x], x))[: len(bag) - math.ceil(threshold * len(bag)) + 1]
         for j in {j for x in rare for j in seen[x]}:
             if similarity(bag, bags[j]) >= threshold:
                 join(i, j)
         for x in rare:
             seen[x].append(i)
-    return sorted((str(i), str(find(i) if i is not None else find(by_text[text or ""]) if (text or "") in by_text else None)) for i, text in rows)
+    return {t: find(i) for i, t in enumerate(texts)}
+
+
+def brute_classes(rows, threshold=0.8):
+    """Smallest id of each row's class; an id joins the classes of its texts."""
+    of, (find, join) = alike([t or "" for _, t in rows], threshold), forest()
+    first = {}
+    for i, t in rows:
+        if i is not None:
+            join(of[t or ""], first.setdefault(i, of[t or ""]))
+    least = {}
+    for i, t in rows:
+        if i is not None:
+            c = find(of[t or ""])
+            least[c] = min(i, least.get(c, i))
+    return sorted((str(i), str(least.get(find(of[t or ""])))) for i, t in rows)
+
+
+def brute_kept(rows):
+    of, best = alike([t or "" for _, t in rows]), {}
+    for i, t in rows:
+        key = (i is None, i or 0, hashlib.md5((t or "").encode()).digest(), t or "")
+        best[of[t or ""]] = min(key, best.get(of[t or ""], key))
+    return sorted((str(None if no_id else i), t) for no_id, i, _, t in best.values())
 
 
 def check(spark, rows):
-    df = spark.createDataFrame([(i, t, "old") for i, t in rows], "doc_id long, text string, class_id string")
+    df = spark.createDataFrame([(i, t, "old", "old", "old") for i, t in rows], "doc_id long, text string, class_id string, _key string, _salt string")
     got = sorted((str(r["doc_id"]), str(r["class_id"])) for r in near_dup.classes(df).collect())
     assert got == brute_classes(rows)
-    kept = near_dup.keep_one(df).collect()
-    assert sorted(str(r["doc_id"]) for r in kept if r["doc_id"] is not None) == sorted({c for _, c in got if c != "None"})
-    assert len(kept) == len({r["doc_id"] for r in kept if r["doc_id"] is not None}) + len({t for i, t in rows if i is None and (str(i), "None") in got} - {t for i, t in rows if i is not None})
+    kept = near_dup.keep_one(df)
+    assert kept.columns == df.columns and kept.where("class_id = 'old' and _key = 'old' and _salt = 'old'").count() == kept.count()
+    assert sorted((str(r["doc_id"]), r["text"] or "") for r in kept.collect()) == brute_kept(rows)
 
 
 def edited(rng, words, n):
@@ -111,6 +134,15 @@ def test_groups(spark):
     check(spark, rows)
 
 
+def test_ids_of_several_texts(spark):
+    """An id may stand for several unequal texts, and near copies may have no id: no text without a like is lost."""
+    rng = random.Random(4)
+    a, b, c = ([f"{x}{i}" for i in range(80)] for x in "abc")
+    text = " ".join
+    check(spark, [(5, text(a)), (5, text(b)), (6, edited(rng, a, 1)), (7, edited(rng, b, 1)), (8, text(c)), (None, edited(rng, c, 1)), (None, "x y z " * 20), (None, "x y z " * 20)])
+    check(spark, [(5, text(a)), (5, text(b)), (3, text(b)), (3, text(b)), (None, edited(rng, a, 1)), (None, text(c)), (None, edited(rng, c, 1))])
+
+
 def test_one_bucket_for_all(spark):
     """All nodes in one bucket: the links that its smallest node lacks are found by rare shingles."""
     rng = random.Random(3)
@@ -119,6 +151,7 @@ def test_one_bucket_for_all(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     nodes = near_dup.materialize(near_dup.signed(df, "doc_id", "text"))
     members = near_dup.materialize(nodes.select(F.lit(1).alias("_bucket"), F.col("_id").alias("_node")))
-    sets = near_dup.materialize(near_dup.shingle_sets(df, nodes.select(F.col("_id").alias("_node"), "_key"), "doc_id", "text"))
+    wanted = nodes.select(F.col("_id").alias("_node"), "_key", F.xxhash64("_id", "_key").alias("_tag"))
+    sets = near_dup.materialize(near_dup.shingle_sets(df, wanted, "doc_id", "text"))
     found = {r["_node"]: r["_label"] for r in near_dup.linked(members, sets).collect()}
     assert sorted((str(i), str(found.get(i, i))) for i, _ in rows) == brute_classes(rows)
