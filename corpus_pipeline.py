@@ -3,6 +3,12 @@
 ``STAGES`` lists (name, function); each function takes ``(spark, docs, sf_dir)``
 and returns a DataFrame that is written as Parquet and read again as the next
 one's ``docs``. All but the last return the columns of the documents.
+
+Defined results: a null or empty text, or one without words, is rejected by the
+language stage; whole texts of any length are worked on; of repeated rows and
+of texts that are alike one stays, that of the smallest id, rows without an id
+last; a null source is a source of its own; an empty table gives an empty
+result; extra columns, however they are named, stay as they are.
 """
 
 from __future__ import annotations
@@ -16,10 +22,15 @@ from strata.llm.common import n_words
 from strata.sources.checkpoint import materialize
 
 
+def carried(docs: DataFrame) -> DataFrame:
+    """The columns that operators read, and the whole row as one column that no operator's names can clash with."""
+    return docs.select(F.struct("*").alias("doc"), "doc_id", "text", "lang", "source")
+
+
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; the source is the host, the declared language the markup."""
-    found = language_id.identify(docs, F.col("text"), F.col("lang"), F.col("source"), F.lit(None).cast("string"))
-    return found.where("accepted").select(*docs.columns)
+    found = language_id.identify(carried(docs), F.col("text"), F.col("lang"), F.col("source"), F.lit(None).cast("string"))
+    return found.where("accepted").select("doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,13 +40,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced, and their new length."""
-    return personal_data.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    clean = personal_data.redact(carried(docs))
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return clean.select(*[new.get(c, F.col("doc").getField(c)).alias(c) for c in docs.columns])
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of their sources takes them."""
-    taken = mixing.mix(docs, n_words(F.col("text"))).where("copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+    taken = mixing.mix(carried(docs), n_words(F.col("text"))).where("copies > 0")
+    return taken.select("doc", F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).select("doc.*")
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
