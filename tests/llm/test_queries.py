@@ -54,8 +54,14 @@ def test_stages(spark):
 
 
 def test_stages_on_odd_rows(spark):
-    docs = materialize(odd_docs(spark, clash=False))
+    names = ["_salt", "_key", "_text", "_spans", "_doc", "_id", "_tag", "_s", "_size", "doc", "copy"]
+    docs = odd_docs(spark)
+    docs = materialize(docs.withColumns({n: F.lit("old") for n in names}))
+    old = [c for c in docs.columns if c not in ("doc_id", "text", "lang", "source", "n_chars")]
     sizes = {name: (before.count(), after.count()) for name, before, after in staged(spark, docs)}
     assert sizes["language"][0] == len(ODD_DOCS) and sizes["bpe"][1] > 0
+    for name, _, after in staged(spark, docs):
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert after.where(" or ".join(f"`{c}` is null or `{c}` <> 'old'" for c in old)).count() == 0
     for _, _, after in staged(spark, docs.limit(0)):
         assert after.count() == 0
