@@ -31,3 +31,18 @@ def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
     path = table_dir(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+class Scratch:
+    """Stored intermediate results that are removed together, once whatever was made of them is stored itself."""
+
+    def __init__(self, spark):
+        self.spark, self.name, self.n = spark, uuid.uuid4().hex, 0
+
+    def store(self, df: DataFrame) -> DataFrame:
+        self.n += 1
+        return materialize(df, f"{self.name}/{self.n}")
+
+    def drop(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(table_dir(self.spark, self.name))
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
