@@ -44,7 +44,7 @@ from pyspark.sql import types as T
 from strata.llm.bag_minhash import mixed
 from strata.llm.common import salted_join
 from strata.llm.near_dup import blocks, label, merged
-from strata.sources.checkpoint import materialize
+from strata.sources.checkpoint import Scratch, materialize
 
 NGRAM = 3
 PERCENT = 90  # of the union that two sets must share
@@ -180,7 +180,8 @@ def listed(tags: DataFrame) -> Column:
 def token_sets(docs: DataFrame, tags: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``_node`` and ``_set`` of the rows with these (stored) tags (``_tag``, ``_node``, ``_key``); each set once. The
     bitmap keeps other texts from being shuffled."""
-    rows = tagged(docs, id_col, text_col).where(listed(tags)).join(tags, "_tag").select("_node", "_key", "_text")
+    rows = tagged(docs, id_col, text_col).where(listed(tags)).join(tags, "_tag")
+    rows = rows.groupBy("_tag", "_node", "_key").agg(F.first("_text").alias("_text")).select("_node", "_key", "_text")  # repeated rows once
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -190,7 +191,7 @@ def token_sets(docs: DataFrame, tags: DataFrame, id_col: str, text_col: str) ->
                 yield pa.RecordBatch.from_arrays([batch.column("_node").filter(pa.array(same)), pa.array([x.view(np.int64) for x, kept in zip(sets, same) if kept], pa.list_(pa.int64()))],
                                                  ["_node", "_set"])
 
-    return rows.mapInArrow(work, "_node long, _set array<long>").groupBy("_node").agg(F.first("_set").alias("_set"))
+    return rows.mapInArrow(work, "_node long, _set array<long>")
 
 
 def similar_sizes(a: Column, b: Column) -> Column:
@@ -226,13 +227,16 @@ def meeting(pairs: DataFrame, nodes: DataFrame, orders: int = ORDERS) -> DataFra
 
 
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The pairs (stored) whose sets share PERCENT of their union; sets are made for their nodes only."""
+    """The pairs (stored) whose sets share PERCENT of their union, stored; sets are made for their nodes only."""
+    scratch = Scratch(docs.sparkSession)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("_node")).distinct()
-    tags = materialize(nodes.select("_node", "_tag", "_key").join(wanted, "_node", "left_semi"))
-    sets = materialize(token_sets(docs, tags, id_col, text_col))
+    tags = scratch.store(nodes.select("_node", "_tag", "_key").join(wanted, "_node", "left_semi"))
+    sets = scratch.store(token_sets(docs, tags, id_col, text_col))
     both = beside(pairs, sets.withColumnRenamed("_set", "_left"), sets.withColumnRenamed("_set", "_right"))
     common = F.size(F.array_intersect("_left", "_right"))
-    return both.where(common * 100 >= (F.size("_left") + F.size("_right") - common) * PERCENT).select("a", "b")
+    links = materialize(both.where(common * 100 >= (F.size("_left") + F.size("_right") - common) * PERCENT).select("a", "b"))
+    scratch.drop()
+    return links
 
 
 def by_token(nodes: DataFrame, prefix: str) -> DataFrame:
@@ -243,8 +247,8 @@ def by_token(nodes: DataFrame, prefix: str) -> DataFrame:
 
 
 def size_class(n: Column) -> Column:
-    """Sizes in classes about 2.5 % wide, each small size a class of its own."""
-    return F.when(n < 40, n).otherwise(F.floor(F.log(n / F.lit(40.0)) / F.lit(float(np.log(1.025)))) + 40).cast("int")
+    """Sizes in classes about 10 % wide, each small size a class of its own."""
+    return F.when(n < 10, n).otherwise(F.floor(F.log(n / F.lit(10.0)) / F.lit(float(np.log(1.1)))) + 10).cast("int")
 
 
 def can_meet(rows: DataFrame) -> DataFrame:
@@ -298,7 +302,7 @@ def linked(docs: DataFrame, nodes: DataFrame, same: DataFrame, id_col: str, text
     others = others.where(similar_sizes(F.col("_n"), F.col("_first._n")))
     pairs = materialize(others.select(F.col("_first._node").alias("a"), F.col("_node").alias("b")).distinct())
     links = verified(materialize(meeting(pairs, nodes, orders)), docs, nodes, id_col, text_col)
-    labels = merged(None, materialize(links.union(same)))
+    labels = merged(None, links.union(same))
     # groups that are of one class by now have no link to add
     rows = label(labels, tokens, "_node", "_label")
     mixed_groups = rows.groupBy("_x").agg(F.min("_label").alias("_low"), F.max("_label").alias("_high")).where("_low < _high").select("_x")
@@ -306,16 +310,20 @@ def linked(docs: DataFrame, nodes: DataFrame, same: DataFrame, id_col: str, text
     if not left.take(1):
         return labels
     pairs = materialize(across(can_meet(left), nodes, ["_x"], 0, orders).distinct())
-    return merged(labels, materialize(verified(materialize(meeting(pairs, nodes, orders)), docs, nodes, id_col, text_col)))
+    return merged(labels, verified(materialize(meeting(pairs, nodes, orders)), docs, nodes, id_col, text_col))
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orders: int = ORDERS) -> DataFrame:
     """One row per row of ``docs``: its id, ``n_shingles`` and ``component_id``."""
-    rows = materialize(prefixes(docs, id_col, text_col, frequencies(docs, text_col), orders))
-    full = rows.where(F.col("_key").isNotNull())
+    scratch = Scratch(docs.sparkSession)
+    wide = scratch.store(prefixes(docs, id_col, text_col, frequencies(docs, text_col), orders))
+    rows = materialize(wide.select("_id", "_n", "_key"))
     # a set is a node; its number is given once, as the nodes are stored
-    nodes = materialize(full.groupBy("_key").agg(F.min("_id").alias("_first"), F.min("_tag").alias("_tag"), F.first("_n").alias("_n"), *[F.first(f"_p{k}").alias(f"_p{k}") for k in range(orders)])
-                        .withColumn("_node", F.monotonically_increasing_id()))
+    nodes = wide.where(F.col("_key").isNotNull()).groupBy("_key").agg(
+        F.min("_id").alias("_first"), F.min("_tag").alias("_tag"), F.first("_n").alias("_n"), *[F.first(f"_p{k}").alias(f"_p{k}") for k in range(orders)])
+    nodes = materialize(nodes.withColumn("_node", F.monotonically_increasing_id()))
+    scratch.drop()
+    full = rows.where(F.col("_key").isNotNull())
     # an id that stands for several sets joins them
     several = full.where(F.col("_id").isNotNull()).groupBy("_id").agg(F.min("_key").alias("_one"), F.max("_key").alias("_last")).where("_one < _last").select("_id", "_one")
     same = salted_join(full.select("_id", "_key"), several, ["_id"], F.col("_key"), "inner", FEW_SALTS).where("_key <> _one").select("_one", "_key").distinct()
@@ -325,6 +333,6 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     named = materialize(label(labels, nodes.select("_node", "_key", "_first"), "_node", "_label"))
     smallest = named.groupBy("_label").agg(F.min("_first").alias("component_id"))
     named = salted_join(named, smallest, ["_label"], F.col("_node"), salts=FEW_SALTS).select("_key", "component_id")
-    out = salted_join(rows.select("_id", "_n", "_key"), named, ["_key"], F.struct("_id", "_n"))
+    out = salted_join(rows, named, ["_key"], F.struct("_id", "_n"))
     return out.select(F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"),
                       F.when(F.col("_key").isNull(), F.col("_id")).otherwise(F.col("component_id")).alias("component_id"))
