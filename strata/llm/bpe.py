@@ -5,7 +5,8 @@ them lie in one flat array. A round looks up the rank of every adjacent pair
 by binary search over the sorted pair keys, takes the lowest rank of each
 word, and merges all its places at once; words without a mergeable pair
 leave the array. Texts are then put together from the ids of their stretches
-(a word with its punctuation, or white space), which a bounded cache keeps.
+(a word with its punctuation, or white space), which a bounded cache keeps;
+longer stretches than ``LONGEST`` are kept only while their texts are encoded.
 
 Strings of the tokenizer's added tokens inside a text become their ids, as
 the library does by default; no other special token is added. Decoding joins
@@ -39,6 +40,7 @@ PRE_TOKEN = regex.compile(
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 STRETCH = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 CACHE_SIZE = 400_000  # stretches whose ids a worker keeps
+LONGEST = 64  # characters of a stretch that a worker keeps, at most
 NO_RANK = np.iinfo(np.int64).max
 
 
@@ -127,7 +129,11 @@ class ByteBpe:
             self.cache.clear()
             new = list(needed)
         self.learn(new)
-        return [b"".join(map(self.cache.__getitem__, p)) for p in parts]
+        ids = [b"".join(map(self.cache.__getitem__, p)) for p in parts]
+        for x in new:
+            if len(x) > LONGEST:
+                del self.cache[x]
+        return ids
 
     def learn(self, stretches: list[str]) -> None:
         """Put the ids of these stretches into the cache."""

@@ -13,6 +13,8 @@ one, and the same pre-tokens come back all over a corpus.
 2. ``count_tokens``: that table, of at most ``table_size`` entries, is
    broadcast. Tier one is the table; what it misses goes to a worker's own
    cache and, the first time, to the library. No pre-token is shuffled.
+   Table and cache hold pre-tokens of up to ``LONGEST`` characters, so their
+   bytes are bounded too; a longer one is encoded wherever it stands.
 
 The table only decides what is looked up instead of encoded; the counts do
 not depend on it.
@@ -38,6 +40,7 @@ PRE_TOKEN = re.compile(r" +[^ \n]*|[^ \n]+")
 TABLE_SIZE = 32_768  # entries of the broadcast table
 CACHE_SIZE = 400_000  # entries of a worker's table and cache together
 COUNTER_SIZE = 300_000  # pre-tokens that a partition counts at once
+LONGEST = 64  # characters of a pre-token that a table or cache keeps, at most
 SHARE = 2e-5  # of a partition's pre-tokens, from which one is emitted
 
 
@@ -70,10 +73,10 @@ class PieceCounter:
             if len(self.known) + len(new) > self.cache_size:
                 self.known = dict(self.table)
                 new = [w for w in set(words) if w not in self.known]
-            self.known.update(zip(new, self.lengths(new)))
-            n = sum(map(self.known.__getitem__, words))
-            if len(self.known) > self.cache_size:
-                self.known = dict(self.table)
+            lengths = dict(zip(new, self.lengths(new)))
+            n = sum(self.known[w] if w in self.known else lengths[w] for w in words)
+            if len(self.known) + len(lengths) <= self.cache_size:
+                self.known.update((w, x) for w, x in lengths.items() if len(w) <= LONGEST)
         return n + text.count("\n")
 
 
@@ -103,7 +106,7 @@ def frequent_lengths(docs: DataFrame, text_col: str, model_path: str, table_size
                 if text:
                     words = pre_tokens_of(text)
                     seen += len(words)
-                    counts.update(words)
+                    counts.update(w for w in words if len(w) <= LONGEST)
                     if len(counts) > counter_size:
                         counts = Counter(dict(counts.most_common(counter_size // 4)))
         top = [x for x in counts.most_common(table_size) if x[1] > share * seen]

@@ -37,6 +37,21 @@ def test_ids_equal_the_library(texts):
             assert own.decode(ids) == library.decode(want, skip_special_tokens=False) == text
 
 
+def test_caches_are_bounded_by_bytes(texts, spark):
+    """Long runs without blanks are encoded right and leave nothing behind in a worker or the broadcast table."""
+    rng = random.Random(6)
+    long = ["".join(rng.choice("abcdefgh") for _ in range(3000)) for _ in range(40)]
+    mixed = [*long, *(f"{a} word {b} word" for a, b in zip(long, long[1:])), *long]
+    library, pieces = Tokenizer.from_file(BYTES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    own, counter = bpe.ByteBpe(BYTES), token_counts.PieceCounter(PIECES)
+    for text in mixed:
+        assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert counter.count(text) == len(pieces.encode(text))
+    assert max(map(len, own.cache)) <= bpe.LONGEST and max(map(len, counter.known)) <= token_counts.LONGEST
+    table = token_counts.frequent_lengths(spark.createDataFrame([(t,) for t in mixed], "text string"), "text", PIECES)
+    assert " word" in table and max(map(len, table)) <= token_counts.LONGEST
+
+
 def test_odd_rows(spark):
     library, pieces = Tokenizer.from_file(BYTES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
     got = bpe.encode_decode(odd_docs(spark), BYTES, keep=("doc_id", "n_chars", "text", "ids")).collect()
