@@ -148,7 +148,8 @@ def learn_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg((F.min(label_col) == 0).alias("_bad"))
     known = materialize(known.orderBy(F.xxhash64("_id"), "_id").limit(train_rows))
     # at most train_rows narrow rows, so the documents stay where they are
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(known), "_id")
+    # stored, so that the statistics are of the labelled texts alone
+    rows = materialize(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(known), "_id"))
     stats = with_stats(rows).where(~F.col("base_failed"))
     sample = materialize(stats.select("_bad", (F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(3)) == 0).alias("_prune"),
                                       *[feature(f).alias(f) for f in FEATURES]))
