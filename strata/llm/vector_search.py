@@ -45,9 +45,10 @@ from pyspark.sql import types as T
 from strata.llm.common import salted_join
 from strata.sources.checkpoint import materialize
 
-SAMPLE = 20_000  # vectors that the centroids are fitted on, at most
 LIST_SIZE = 128  # vectors of a list, about, while there are no more than MAX_LISTS
 MAX_LISTS = 16_384  # centroids that every worker holds, at most
+LEAF = 8  # vectors of the sample in a leaf, at least
+SAMPLE = LEAF * MAX_LISTS  # vectors that the centroids are fitted on, at most
 REPLICAS, BORDER = 4, 1.25
 RECALL = 0.97  # of the calibration queries' neighbours that reading up to the limits must find
 CALIBRATION = 128  # queries that the limits are calibrated on, at most
@@ -270,7 +271,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec
     total = different.count()
     fitted = different.orderBy(F.xxhash64("_key"), "_key").limit(sample).select("_vec").collect()  # at most `sample` vectors
     points = np.array([np.frombuffer(r["_vec"], dtype) for r in fitted] or [[0]], np.float32)
-    lists = max(1, min(MAX_LISTS, total // list_size, len(points) // 8))
+    lists = max(1, min(MAX_LISTS, total // list_size, len(points) // LEAF))
     index = spark.sparkContext.broadcast(fit(points, lists))
     queries = materialize(rows.where(is_query).select(F.col("_id").alias("query_id"), vector_key(dtype).alias("_key")).distinct())
     asked = queries.select("_key").distinct()
