@@ -57,18 +57,19 @@ def observed_counts(flagged: DataFrame, name: str = "validation"):
     ), obs
 
 
-def catalog(spark: SparkSession, entries, as_of=None) -> DataFrame:
+def catalog(spark: SparkSession, entries, as_of=None, one_line=()) -> DataFrame:
     """One row per stored dataset file with its record count.
 
     ``entries``: iterable of (dataset_name, layer, path, file_format) and, if
     only some rows belong to the dataset, a condition on them. CSV files are
-    counted by record, as the raw reader reads them; other counts are
-    zero-column scans. All are unioned into one plan, so the whole catalog is
+    counted by record, as the raw reader reads them; those whose paths are in
+    ``one_line`` hold no line end inside a field and are read in splits.
+    Other counts are zero-column scans. All are unioned into one plan, so the whole catalog is
     one job.
     """
     frames = []
     for name, layer, path, fmt, *only in entries:
-        df = read_raw_csv(spark, path, with_seq=False) if fmt == "csv" else spark.read.format(fmt).load(path)
+        df = read_raw_csv(spark, path, with_seq=False, multi_line=path not in one_line) if fmt == "csv" else spark.read.format(fmt).load(path)
         if only:
             df = df.where(only[0])
         file_name = path.rstrip("/").rsplit("/", 1)[-1]

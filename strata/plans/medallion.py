@@ -274,7 +274,8 @@ def _exists(spark, path):
 def run_catalog(spark: SparkSession, layout: Layout, raw_dir: str, specs=DATASETS, as_of=None):
     entries = [e for e in catalog_entries(spark, layout, raw_dir, specs)
                if e[3] == "csv" or _exists(spark, e[2])]
-    df = catalog(spark, entries, as_of=as_of)
+    one_line = {e[2] for e in entries if e[3] == "csv" and not specs[e[0]].multi_line}
+    df = catalog(spark, entries, as_of=as_of, one_line=one_line)
     df.write.mode("overwrite").parquet(layout.path("metadata", "catalog"))
     return df
 

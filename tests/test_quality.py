@@ -39,3 +39,11 @@ def test_catalog(spark, tmp_dir):
                           ("b", "raw", f"{tmp_dir}/b.csv", "csv")], as_of="2024-01-01 00:00:00")
     assert rows(cat, "dataset_name", "layer", "file_name", "file_format", "record_count") == [
         ("a", "silver", "a", "parquet", 5), ("b", "raw", "b.csv", "csv", 2)]
+
+
+def test_catalog_splits_files_of_one_line_records(spark, tmp_dir):
+    rows = spark.range(500).selectExpr("id", "concat('a, \"', id, '\"') as note")
+    rows.coalesce(1).write.option("header", True).option("escape", '"').csv(f"{tmp_dir}/c.csv")
+    entries = [("c", "raw", f"{tmp_dir}/c.csv", "csv")]
+    counts = [catalog(spark, entries, one_line=paths).first()["record_count"] for paths in ((), {f"{tmp_dir}/c.csv"})]
+    assert counts == [500, 500]
