@@ -11,8 +11,9 @@ single task. Here:
 1. the distinct ``(p, v)`` pairs are stored (hash aggregate with map-side
    combine) and counted;
 2. up to ``bucket_rows`` pairs are ranked by one window;
-3. more are range-partitioned by ``(p, v)`` in the type's own order into as
-   many pieces as there are ``bucket_rows`` pairs. Each piece is ranked by
+3. more are range-partitioned by ``(p, v)`` in the type's own order, and each
+   range is sorted and cut into pieces of ``bucket_rows`` pairs: a piece is
+   no task or file of its own. Each piece is ranked by
    itself, and a group that goes on from earlier pieces adds the number of
    its values there. A piece continues at most one group, so these offsets
    are at most as many rows as pieces, and are broadcast;
@@ -47,7 +48,7 @@ def dense_rank_by(df: DataFrame, order_col: str, partition_by=(), ascending: boo
     if n <= bucket_rows:
         ranks = vals.withColumn("_rank", F.row_number().over(Window.partitionBy(*parts).orderBy(order)))
     else:
-        ranks = _ranks_by_piece(vals, parts, order, -(-n // bucket_rows))
+        ranks = _ranks_by_piece(vals, parts, order, n, bucket_rows)
     ranks = ranks.select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(keys)],
                          F.col("_rank").cast("long").alias("_rank"), F.lit(0).cast("long").alias("_rsalt"))
 
@@ -62,11 +63,15 @@ def dense_rank_by(df: DataFrame, order_col: str, partition_by=(), ascending: boo
     return joined.select(*[c for c in df.columns if c != out], F.col("_rank").alias(out))
 
 
-def _ranks_by_piece(vals: DataFrame, parts: list[str], order, pieces: int) -> DataFrame:
-    """``vals`` with ``_rank``, from contiguous ranges of about equal size."""
-    # stored, so that every branch below sees the same pieces
-    ranged = materialize(vals.repartitionByRange(pieces, *parts, order)
-                         .withColumn("_piece", F.spark_partition_id()))
+def _ranks_by_piece(vals: DataFrame, parts: list[str], order, n: int, bucket_rows: int) -> DataFrame:
+    """``vals`` (``n`` rows) with ``_rank``, from contiguous pieces of at most ``bucket_rows`` rows."""
+    shuffles = int(vals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = min(-(-n // bucket_rows), max(shuffles, -(-n // DEFAULT_BUCKET_ROWS)))
+    # numbers of rows rise through the ranges and within each; a piece has the number of its first row.
+    # Stored, so that every branch below sees the same pieces
+    ranged = vals.repartitionByRange(ranges, *parts, order).sortWithinPartitions(*parts, order).withColumn("_at", F.monotonically_increasing_id())
+    in_range = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    ranged = materialize(ranged.select(*vals.columns, (F.col("_at") - in_range % bucket_rows).alias("_piece")))
     local = ranged.withColumn(
         "_local", F.row_number().over(Window.partitionBy(*parts, "_piece").orderBy(order)))
     sizes = ranged.groupBy(*parts, "_piece").agg(F.count(F.lit(1)).alias("_c"))

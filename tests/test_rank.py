@@ -3,7 +3,9 @@ import random
 from pyspark.sql import functions as F
 
 from conftest import rows
+from strata.operators import rank
 from strata.operators.rank import dense_rank_by, dense_rank_window
+from strata.sources.checkpoint import materialize
 
 
 def test_null_aware_rank(spark):
@@ -74,3 +76,13 @@ def test_timestamps_without_zone_across_a_clock_change(spark):
 def test_text_and_dates_can_be_ranked(spark):
     df = spark.createDataFrame([(1, "b"), (2, "a"), (3, "b"), (4, None)], "id int, v string")
     assert rows(dense_rank_by(df, "v", out="r", bucket_rows=1), "id", "r") == [(1, 2), (2, 1), (3, 2), (4, None)]
+
+
+def test_many_pieces_take_few_tasks(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(rank, "materialize", lambda df: stored.append(materialize(df)) or stored[-1])
+    df = spark.range(400).select(F.col("id").alias("v"), (F.col("id") % 7).alias("g"))
+    got = rows(dense_rank_by(df, "v", ["g"], out="r", bucket_rows=5), "v", "r")
+    assert got == [(v, v // 7 + 1) for v in range(400)]
+    sizes = [r["count"] for r in stored[-1].groupBy("_piece").count().collect()]
+    assert max(sizes) <= 5 and len(sizes) >= 80 and len(stored[-1].inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
