@@ -10,10 +10,12 @@ because every right side matches on a column of the preserved side):
 * orders, items and the payment summary all join on ``order_id``, so they
   share one hash partitioning; the payment summary is aggregated first
   (semantics: the order total repeats on every item row);
-* dimensions (products, sellers) join last. Their size grows with the data,
-  so no broadcast is forced: AQE turns a join into a broadcast join only
-  after it has measured the side as small. Orders without items have no
-  product and no seller; their null keys are spread over all partitions.
+* dimensions (products with their translation, sellers) join the items while
+  those are narrow, so that columns of orders and customers are not shuffled
+  by the dimensions' keys. Their size grows with the data, so no broadcast is
+  forced: AQE turns a join into a broadcast join only after it has measured
+  the side as small. Items without a product or seller have null keys, which
+  are spread over all partitions.
 """
 
 from __future__ import annotations
@@ -41,16 +43,6 @@ def payment_summary(payments: DataFrame) -> DataFrame:
         F.count("payment_sequential").alias("payment_count"))
 
 
-def _suffix_collisions(left: DataFrame, right: DataFrame, key: str,
-                       suffixes=("_customer", "_seller")):
-    """Rename columns present on both sides (other than the key)."""
-    common = (set(left.columns) & set(right.columns)) - {key}
-    for c in common:
-        left = left.withColumnRenamed(c, c + suffixes[0])
-        right = right.withColumnRenamed(c, c + suffixes[1])
-    return left, right
-
-
 def _spread_left_join(left: DataFrame, right: DataFrame, key: str, spread: str) -> DataFrame:
     """Left join on ``key``. Rows without a key match nothing; a salt taken
     from ``spread`` deals them out instead of hashing them all to one task."""
@@ -59,6 +51,10 @@ def _spread_left_join(left: DataFrame, right: DataFrame, key: str, spread: str)
     return left.withColumn("_salt", salt.cast("long")).join(right, [key, "_salt"], "left").drop("_salt")
 
 
+def _after_join(columns: list[str], right: DataFrame, key: str) -> list[str]:
+    return [key, *[c for c in columns if c != key], *[c for c in right.columns if c != key]]
+
+
 def business_dataset(orders: DataFrame, customers: DataFrame, items: DataFrame,
                      payments: DataFrame, products: DataFrame, sellers: DataFrame,
                      translation: DataFrame, *, as_of=None,
@@ -74,13 +70,19 @@ def business_dataset(orders: DataFrame, customers: DataFrame, items: DataFrame,
     order_grain = dense_rank_by(order_grain, purchase_col, ["customer_unique_id"],
                                 out="customer_order_number")
 
+    # Columns in the order of the source's joins, which put their key first. Sellers' columns that are there
+    # already (other than the key) get a suffix, as do those.
+    columns = _after_join(_after_join(_after_join(order_grain.columns, items, "order_id"), pay, "order_id"), products, "product_id")
+    common = (set(columns) & set(sellers.columns)) - {"seller_id"}
+    sellers = sellers.withColumnsRenamed({c: f"{c}_seller" for c in common})
+    columns = _after_join(_after_join(columns, sellers, "seller_id"), translation, "product_category_name")
+
     # Item grain: one row per item, one null-item row for orders without items.
+    items = _spread_left_join(items, sellers, "seller_id", "order_id")
+    items = _spread_left_join(items, _spread_left_join(products, translation, "product_category_name", "product_id"), "product_id", "order_id")
     fact = (order_grain.join(items, "order_id", "left")
             .join(pay, "order_id", "left"))
-    fact = _spread_left_join(fact, products, "product_id", "order_id")
-    fact, sellers = _suffix_collisions(fact, sellers, "seller_id")
-    fact = _spread_left_join(fact, sellers, "seller_id", "order_id")
-    fact = _spread_left_join(fact, translation, "product_category_name", "order_id")
+    fact = fact.select(*[F.col(c).alias(f"{c}_customer" if c in common else c) for c in columns])
 
     stamp = F.current_timestamp() if as_of is None else F.lit(as_of).cast(T.TimestampNTZType())
     return fact.withColumns({

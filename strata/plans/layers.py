@@ -42,7 +42,7 @@ def stored_layer(spark: SparkSession, sf_dir: str, name: str, build, partition_b
         path = _STORE.get(key)
         if path is None:
             path = table_dir(spark)
-            writer = build().write.mode("overwrite")
+            writer = build().write.mode("overwrite").option("compression", "zstd")
             if partition_by:
                 writer = writer.partitionBy(*partition_by)
             writer.parquet(path)

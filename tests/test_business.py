@@ -1,8 +1,10 @@
 import datetime as dt
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from conftest import rows
-from strata.plans import gold
+from strata.plans import business, gold
 from strata.plans.business import business_dataset
 
 
@@ -65,3 +67,15 @@ def test_gold_summaries(spark):
     assert rows(ss, "seller_id", "total_orders", "total_items") == [("s1", 1, 2), ("s2", 1, 1)]
     top = gold.top_customers(cs, 1).collect()
     assert [r["customer_unique_id"] for r in top] == ["u1"]
+
+
+def test_dimensions_join_narrow_items(spark, monkeypatch):
+    """No column of orders or customers goes through a join with a dimension; clashing names keep their suffixes."""
+    orders, customers, items, payments, products, sellers, translation = _tables(spark)
+    joined, real = [], business._spread_left_join
+    monkeypatch.setattr(business, "_spread_left_join", lambda left, *more: joined.append(left.columns) or real(left, *more))
+    bd = business.business_dataset(orders, customers.withColumn("zip", F.lit("c")), items, payments, products, sellers.withColumn("zip", F.lit("s")), translation, as_of="2024-01-01 00:00:00")
+    assert len(joined) == 3 and not any({"customer_id", "customer_city", "total_payment"} & set(c) for c in joined)
+    assert bd.columns[:4] == ["product_category_name", "seller_id", "product_id", "order_id"]
+    assert rows(bd, "order_id", "zip_customer", "zip_seller", "seller_city") == [
+        ("o1", "c", "s", "sp"), ("o1", "c", "s", "sp"), ("o2", "c", None, None), ("o3", "c", "s", "bh")]
