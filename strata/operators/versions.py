@@ -60,16 +60,18 @@ def fold(rows: DataFrame, key: str, tracked: Sequence[str], pieces: int | None =
     past = F.broadcast(ends.where("_past is not null").select("_piece", F.col("_first").alias(key), "_past"))
     seen = placed.join(past, ["_piece", key], "left").withColumn("_before", F.coalesce(F.lag(now).over(timeline), "_past"))
     changed = any_changed([(F.col(f"_before.{c}"), F.col(c)) for c in tracked])
-    opened = materialize(seen.withColumn(OPENS, F.col("_before").isNull() | changed).drop("_before", "_past"))
+    seen = seen.withColumn(OPENS, F.col("_before").isNull() | changed).drop("_before", "_past")
+    # what comes later in the piece, read backwards: a frame that only grows
+    later = Window.partitionBy("_piece", key).orderBy(F.col(EFFECTIVE_FROM).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    opened = materialize(seen.withColumn("_next", F.min(F.when(F.col(OPENS), F.col(EFFECTIVE_FROM))).over(later)))
     # the next opening of a piece's last key in the pieces behind it
     head = opened.join(F.broadcast(ends.select("_piece", F.col("_first").alias(key))), ["_piece", key], "left_semi")
     head = head.where(OPENS).groupBy("_piece", key).agg(F.min(EFFECTIVE_FROM).alias("_opening"))
     edges = ends.select("_piece", F.explode(F.array_distinct(F.array("_first", "_last"))).alias(key)).join(head, ["_piece", key], "left")
     behind = Window.partitionBy(key).orderBy("_piece").rowsBetween(1, Window.unboundedFollowing)
     after = edges.select("_piece", key, F.min("_opening").over(behind).alias("_after")).where("_after is not null")
-    following = F.min(F.when(F.col(OPENS), F.col(EFFECTIVE_FROM))).over(timeline.rowsBetween(1, Window.unboundedFollowing))
     out = opened.join(F.broadcast(after), ["_piece", key], "left")
-    out = out.withColumn(EFFECTIVE_TO, F.when(F.col(OPENS), F.coalesce(following, "_after")))
+    out = out.withColumn(EFFECTIVE_TO, F.when(F.col(OPENS), F.coalesce("_next", "_after")))
     return out.withColumn(IS_CURRENT, F.col(OPENS) & F.col(EFFECTIVE_TO).isNull()).select(*rows.columns, OPENS, EFFECTIVE_TO, IS_CURRENT)
 
 
@@ -80,13 +82,14 @@ def dimension(rows: DataFrame) -> DataFrame:
 
 def version_changes(stored: DataFrame | None, batch: DataFrame, key: str, time: str, tracked: Sequence[str],
                     order_by: Sequence[str] = (), pieces: int | None = None) -> tuple[DataFrame, DataFrame | None]:
-    """Rows to add to a stored timeline table, and identities (``key``, effective_from) of rows that they replace.
+    """Rows to add to a stored timeline table (stored), and identities (``key``, effective_from) of rows that they replace.
 
     ``stored``: the rows of ``fold`` (of the members of the batch at least), None without a table."""
     new = observations(batch, key, time, order_by)
     if stored is None:
-        return fold(new, key, tracked, pieces), None
-    known = materialize(stored.join(new.select(key).distinct(), key, "left_semi"))
+        return materialize(fold(new, key, tracked, pieces)), None
+    members = batch.where(F.col(key).isNotNull() & F.col(time).isNotNull()).select(key).distinct()
+    known = materialize(stored.join(members, key, "left_semi"))
     columns = [c for c in known.columns if c not in (OPENS, EFFECTIVE_TO, IS_CURRENT, EFFECTIVE_FROM)]
     columns += [c for c in new.columns if c not in columns and c != EFFECTIVE_FROM]
     both = known.drop(OPENS, EFFECTIVE_TO, IS_CURRENT).unionByName(new, allowMissingColumns=True)

@@ -30,15 +30,14 @@ COMPACT_AFTER = 64  # commits after which a table's visible rows are written as
 
 
 def newest_changes(stored: DataFrame | None, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> tuple[DataFrame, DataFrame | None]:
-    """Rows that are newer than the stored ones of their keys, and the keys whose rows they replace. Of rows equal in
+    """Rows that are newer than the stored ones of their keys (stored), and the keys whose rows they replace. Of rows equal in
     ``order_by`` (nulls first) the one that is last by all columns is kept."""
     keys, order_by = list(keys), list(order_by)
     rest = [c for c in batch.columns if c not in keys and c not in order_by]
     named = batch.dropna("any", subset=keys)
-    latest = last_per_key(named, keys, [*order_by, *rest])
+    latest = materialize(last_per_key(named, keys, [*order_by, *rest]))
     if stored is None:
         return latest, None
-    latest = materialize(latest)
     known = materialize(stored.join(latest.select(*keys), keys, "left_semi"))
     both = known.unionByName(latest, allowMissingColumns=True)
     best = last_per_key(both, keys, [*order_by, *[c for c in both.columns if c not in keys and c not in order_by]])
@@ -64,7 +63,6 @@ def scd1_foreach_batch(table: str, keys: Sequence[str], order_by: Sequence[str],
             return
         stored = parts.read(spark, table, parts.touched(spark, table, batch.select(*keys)))
         rows, gone = newest_changes(stored, batch, keys, order_by)
-        rows = materialize(rows)
         if rows.take(1):
             _commit(rows, gone, table, list(keys), list(keys), compact_after)
     return apply
@@ -87,7 +85,7 @@ def scd2_foreach_batch(table: str, key: str, tracked: Sequence[str], order_by: S
             return
         stored = parts.read(spark, table, parts.touched(spark, table, batch.select(key)))
         rows, gone = version_changes(stored, batch, key, time, tracked, order_by)
-        rows = materialize(rows if as_of_col else rows.where(OPENS))
+        rows = rows if as_of_col else rows.where(OPENS)
         if rows.take(1):
             _commit(rows, gone, table, [key], [key, EFFECTIVE_FROM], compact_after)
     return apply
