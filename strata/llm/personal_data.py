@@ -12,8 +12,8 @@ matches: lengths of the gaps and of the matches add up to code-point places.
   secret's name, and numbers: of a chain of digit groups, every run of groups
   that holds 7 to 12 digits in up to 7 groups (a phone number) or 13 to 19
   with the check digit of a card, so numbers beside each other have spans of their own.
-* A gradient-boosted forest (Spark ML, trained on a bounded number of
-  candidates) scores each candidate by its format and context. Candidates
+* A gradient-boosted forest (Spark ML, trained on the candidates of all
+  documents) scores each candidate by its format and context. Candidates
   that are base spans are positive examples, and so are variants of them in
   the formats of every generator; candidates that cut or exceed a base span,
   others without the format of their kind, and variants with broken check
@@ -79,7 +79,6 @@ PHONE_SHAPE = r"^(?:\+?[0-9]{1,3}[ .-])?(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9
 CARD_SHAPE = "^(?:[0-9]{4}[ .-]){3}[0-9]{4}$|^[0-9]{15,16}$|^[0-9]{4}[ .-][0-9]{6}[ .-][0-9]{5}$"
 HINTS = r"(?i)(?:mail|phone|tel|call|fax|mobile|card|visa|credit|host|server|\bip\b|token|secret|password|key)"
 SPAN = "struct<start:int,end:int,value:string>"
-TRAIN_ROWS = 20_000  # candidates that the trees are trained and calibrated on, at most
 TREES, DEPTH, STEP = 20, 4, 0.3
 PRECISION = 0.98
 FEATURES = ("length", "digits", "letters", "separators", "dots", "plus", "luhn", "octets", "at", "ending", "glued_before", "glued_after",
@@ -379,27 +378,33 @@ def parsed(model) -> tuple:
     return tuple(trees)
 
 
-def train(found: DataFrame, train_rows: int = TRAIN_ROWS, precision: float = PRECISION) -> Model:
-    """Forest and thresholds from the stored candidates (``_candidates``) of all documents: of either class
-    those ``train_rows / 2`` examples of the lowest hash, two thirds to train and one to calibrate."""
+def example_groups(found: DataFrame) -> DataFrame:
+    """All examples of the stored candidates: how many (``n``) have the same kind, features and label. ``held``: kept
+    from training to calibrate, a third of them by hash."""
     each_one = found.select(F.explode("_candidates").alias("x"))
+    examples = each_one.select(F.explode(variants(F.col("x"))).alias("e")).select("e.x.*", F.col("e.good").cast("double").alias("label"))
+    held = F.pmod(F.xxhash64("value", "before", "after"), F.lit(3)) == 0
+    return examples.withColumn("held", held).groupBy("held", "kind", "label", *FEATURES).agg(F.count(F.lit(1)).alias("n"))
+
+
+def train(found: DataFrame, precision: float = PRECISION) -> Model:
+    """Forest and thresholds from all stored candidates (``_candidates``) of all documents: two thirds of their examples
+    train, one calibrates. Equal examples are one weighted row; either class weighs half."""
     x, natural = F.col("x"), {}
     good, bad = x["exact"] | secret_like(x), ~x["exact"] & ~secret_like(x) & ~unsure(x)
-    natural[1.0], natural[0.0] = each_one.agg(F.sum(good.cast("long")), F.sum(bad.cast("long"))).first()
-    examples = each_one.select(F.explode(variants(x)).alias("e")).select("e.x.*", F.col("e.good").cast("double").alias("label"))
-    order = F.xxhash64("value", "before", "after")
-    examples = examples.withColumn("_h", order)
-    half = [examples.where(F.col("label") == good).orderBy("_h", "value").limit(train_rows // 2) for good in (0.0, 1.0)]
-    sample = materialize(half[0].unionByName(half[1]).coalesce(2).select("kind", "label", "_h", *FEATURES))
-    to_train = F.pmod(F.col("_h"), F.lit(3)) != 0
-    if sample.where(to_train).select("label").distinct().count() < 2:
+    natural[1.0], natural[0.0] = found.select(F.explode("_candidates").alias("x")).agg(F.sum(good.cast("long")), F.sum(bad.cast("long"))).first()
+    groups = materialize(example_groups(found))
+    to_train = groups.where(~F.col("held"))
+    sizes = {r["label"]: r["n"] for r in to_train.groupBy("label").agg(F.sum("n").alias("n")).collect()}  # at most two rows
+    if len(sizes) < 2:
         return Model((), {})
-    rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample.where(to_train).select("label", *FEATURES))
-    forest = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, maxBins=32, seed=7).fit(rows.select("label", "features"))
+    weight = F.col("n") * F.when(F.col("label") == 1, sum(sizes.values()) / 2 / sizes[1.0]).otherwise(sum(sizes.values()) / 2 / sizes[0.0])
+    rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(to_train.withColumn("weight", weight))
+    forest = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, maxBins=32, seed=7, weightCol="weight").fit(rows.select("label", "features", "weight"))
     model = Model(parsed(forest), {})
     row = F.struct("kind", *FEATURES)
-    scores = sample.where(~to_train).select("kind", "label", F.floor(model.score(row) * 200).alias("bin")).groupBy("kind", "bin").agg(
-        F.sum("label").alias("good"), F.count(F.lit(1)).alias("n")).collect()
+    scores = groups.where("held").select("kind", "label", "n", F.floor(model.score(row) * 200).alias("bin")).groupBy("kind", "bin").agg(
+        F.sum(F.col("label") * F.col("n")).alias("good"), F.sum("n").alias("n")).collect()
     # an example weighs as many candidates of the corpus as stand behind it
     n_good = sum(r["good"] for r in scores)
     weight = {1.0: (natural[1.0] or 0) / max(n_good, 1), 0.0: (natural[0.0] or 0) / max(sum(r["n"] for r in scores) - n_good, 1)}

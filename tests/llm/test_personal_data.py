@@ -164,3 +164,22 @@ def test_redaction(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, spans string")
     got = {r["doc_id"]: (r["text"], r["spans"]) for r in personal_data.redact(df, model=personal_data.Model((), {})).collect()}
     assert got == {1: ("é [EMAIL], [IP] é", "old"), 2: (None, "old"), 3: ("", None), 4: ("nothing", "old"), 5: ("[EMAIL]", "old"), 6: ("[EMAIL][PHONE]", "old")}
+
+
+def test_all_examples_train(spark, monkeypatch):
+    """Every example counts, however many there are; equal ones are one weighted row."""
+    texts = [" ".join(f"{i}.{j}.7.{i + j}" for j in range(60)) for i in range(60)]
+    found = materialize(personal_data.proposed(spark.createDataFrame([(t,) for t in texts], "text string")).drop("text"))
+    each = found.select(F.explode("_candidates").alias("x")).select(F.explode(personal_data.variants(F.col("x"))).alias("e"))
+    wanted = each.where(F.pmod(F.xxhash64("e.x.value", "e.x.before", "e.x.after"), F.lit(3)) != 0).count()
+    seen = []
+
+    class Seen(personal_data.GBTClassifier):
+        def fit(self, rows):
+            weight = F.col(self.getWeightCol()) if self.isDefined("weightCol") else F.lit(1)
+            seen.append(rows.agg(F.sum(weight), F.count(F.lit(1))).first())
+            return super().fit(rows)
+
+    monkeypatch.setattr(personal_data, "GBTClassifier", Seen)
+    assert personal_data.train(found).trees
+    assert wanted > 15_000 and round(seen[0][0]) == wanted and seen[0][1] < wanted
