@@ -2,7 +2,7 @@
 
 1. ``aligned``: one pass cuts each text into stretches, where no token of
    either side can reach from one into the next, encodes those that are new to
-   the worker with both tokenizers and aligns them (``Aligner.align``). Many
+   the worker with both libraries, many in a row, and aligns them (``Aligner.align``). Many
    stretches lie on one line of bytes; as both sides spell the same bytes, the
    ends of stretches fall together and nothing is linked across them. Every
    token points to its farthest-right overlapping token of the other side;
@@ -35,9 +35,11 @@ columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from array import array
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -58,6 +60,7 @@ STRETCH = re.compile(r" \s*\S+(?:[^\S ]\s*\S+)*(?:[^\S ]\s*\Z)?| \s*\Z")
 CACHE_CHARS = 4_000_000  # room of a worker's cache of words, an entry taking its characters and ENTRY
 ENTRY = 300
 STRETCH_CHARS, LINK_CHARS = 90_000_000, 16  # room of a worker's aligned stretches; what one link in them takes
+ROW_CHARS = 100_000  # characters of stretches that the libraries encode in a row
 TABLE_SIZE = 1 << 18  # id pairs of the broadcast table
 NUMBERS = ("n_a", "n_b", "n_groups", "n_links")
 
@@ -124,7 +127,14 @@ def terminals(a_end: np.ndarray, b_end: np.ndarray) -> np.ndarray:
 
 class Aligner:
     def __init__(self, a_path: str, b_path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+        from tokenizers import Tokenizer
+
         self.a, self.b = PlainBytes(a_path), Pieces(b_path)
+        self.a_library = Tokenizer.from_file(a_path)
+        self.a_library.encode_special_tokens = True  # their strings are plain text
+        self.a_library.no_truncation()
+        self.a_library.no_padding()
         top = max(self.a.bytes_of) + 1
         self.a_bytes = [self.a.bytes_of.get(i, b"") for i in range(top)]
         self.width = len(self.b.bytes_of)  # a pair of ids is the one number a * width + b
@@ -151,10 +161,37 @@ class Aligner:
             sides.append((flat, n))
         return [(flat[np.repeat(good, n)], np.where(good, n, 0)) for flat, n in sides]
 
-    def align(self, texts: list[str]) -> dict[str, list | np.ndarray]:
+    def in_a_row(self, words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """As ``spelled``, for stretches with their blanks that neither end in white space nor hold a space mark: the
+        libraries encode many of them as one text, as tokens end where stretches do. Should a row of them not be
+        spelled byte by byte, its stretches are encoded one by one."""
+        found, chars = [], np.cumsum([0, *map(len, words)])
+        cuts = np.unique(np.searchsorted(chars, np.append(np.arange(0, chars[-1], ROW_CHARS), chars[-1]))).tolist()
+        for i, j in zip(cuts, cuts[1:]):
+            row = words[i:j]
+            line = "".join(row)
+            want, sides = line.encode(), []
+            ends = np.cumsum([len(w) for w in row] if len(want) == len(line) else [len(w.encode()) for w in row])
+            for ids, spells, length in ((self.a_library.encode_batch_fast([line], add_special_tokens=False)[0].ids, self.a_bytes, self.a_length),
+                                        (self.b.library.encode(line[1:], num_threads=1), self.b.bytes_of, self.b_length)):
+                if b"".join(map(spells.__getitem__, ids)) != want:
+                    break
+                ids = np.array(ids, np.int64)
+                upto = np.cumsum(length[ids])
+                last = np.searchsorted(upto, ends)
+                if not np.array_equal(upto[last], ends):
+                    break
+                sides.append((ids, np.diff(last + 1, prepend=0)))
+            found.append(sides if len(sides) == 2 else self.spelled([w[1:] for w in row]))
+        return [tuple(map(np.concatenate, zip(*(sides[k] for sides in found)))) for k in (0, 1)]
+
+    def align(self, texts: list[str], plain: int = 0) -> dict[str, list | np.ndarray]:
         """For each text n_a, n_b, n_groups, n_links and ``groups``, as text; its different pairs and their times, flat,
-        with ``starts``."""
-        (a, n_a), (b, n_b) = self.spelled(texts)
+        with ``starts``. The first ``plain`` texts can be encoded in a row."""
+        parts = [self.in_a_row([" " + t for t in texts[:plain]])] if plain else []
+        if plain < len(texts):
+            parts.append(self.spelled(texts[plain:]))
+        (a, n_a), (b, n_b) = [tuple(map(np.concatenate, zip(*(sides[k] for sides in parts)))) for k in (0, 1)]
         out = {"n_a": n_a, "n_b": n_b, "n_groups": np.zeros(len(texts), np.int64), "n_links": np.zeros(len(texts), np.int64),
                "groups": [""] * len(texts), "pairs": np.empty(0, np.int64), "times": np.empty(0, np.int64), "starts": np.zeros(len(texts) + 1, np.int64)}
         if not n_a.any():
@@ -188,7 +225,12 @@ class Aligner:
             return
         if self.place and self.taken + sum(map(len, new)) + ENTRY * len(new) > self.stretch_chars:
             self.place, self.known, self.taken, new = {}, None, 0, list(words)
-        found = self.align([w[1:] for w in new])
+        odd = [w for w in new if w[-1].isspace() or SPACE_MARK in w] if self.b.separable else new
+        plain = len(new) - len(odd)
+        if odd and plain:
+            apart = set(odd)
+            new = [w for w in new if w not in apart] + odd
+        found = self.align([w[1:] for w in new], plain)
         self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
         self.taken += sum(map(len, new)) + ENTRY * len(new) + LINK_CHARS * len(found["pairs"])
         if self.known is not None:
@@ -201,10 +243,10 @@ class Aligner:
     def documents(self, texts: list[str | None]) -> dict[str, list | np.ndarray]:
         """For each text its numbers and groups_sha256; its different pairs and their times, flat, with ``starts``."""
         words = [[] if not t else STRETCH.findall(" " + t) if self.b.separable else [" " + t] for t in texts]
-        self.learn(set().union(*words))
-        known, get = self.known, self.place.__getitem__
+        self.learn(set(chain.from_iterable(words)))
+        known = self.known
         sizes = np.array([len(w) for w in words], np.int64)
-        doc, at = np.repeat(np.arange(len(texts)), sizes), np.fromiter((get(w) for x in words for w in x), np.int64, int(sizes.sum()))
+        doc, at = np.repeat(np.arange(len(texts)), sizes), np.fromiter(map(self.place.__getitem__, chain.from_iterable(words)), np.int64, int(sizes.sum()))
         out = {"groups_sha256": [""] * len(texts), "pairs": np.empty(0, np.int64), "times": np.empty(0, np.int64), "starts": np.zeros(len(texts) + 1, np.int64)}
         if not len(at):
             return out | {n: np.zeros(len(texts), np.int64) for n in NUMBERS}

@@ -89,6 +89,24 @@ def test_small_caches_change_nothing():
         assert all(list(x[c]) == list(y[c]) for c in x)
 
 
+def test_new_stretches_are_encoded_in_a_row():
+    """The libraries get many new stretches as one text, odd ones (space marks, white space at the end) by themselves."""
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(10**6)}é" for _ in range(50)) for _ in range(40)] + ["a▁b c", "end of it \n ", "<|endoftext|> <s>", "x\x00 y"]
+    aligner, calls = token_alignment.Aligner(A, B), []
+
+    class Counted:
+        def encode(self, what, **options):
+            calls.extend([what] if isinstance(what, str) else what)
+            return library.encode(what, **options)
+
+    library, aligner.b.library = aligner.b.library, Counted()
+    found = aligner.documents(texts)
+    assert len(calls) < 20 < 2000 < len(aligner.place)
+    for i, w in enumerate(brute(texts)):
+        assert (*(found[c][i] for c in COLUMNS[:4]), found["groups_sha256"][i]) == (*w[:4], w[6]), repr(texts[i])
+
+
 def test_stretches_cover_the_text():
     for text in [*random_texts(2000, 11), " ", "a ", "a \n", "\t b", "a\t \u00a0b  c\x1cd \n"]:
         assert "".join(token_alignment.STRETCH.findall(" " + text)) == " " + text
