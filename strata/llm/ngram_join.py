@@ -1,21 +1,25 @@
 """Documents linked by the Jaccard similarity of their sets of word n-grams, filtered under several global token orders.
 
-1. ``frequencies``: tokens (hashes of n-grams) that are frequent somewhere are
-   counted by partition and added up; a bounded table of the most frequent
-   ones is broadcast. An order puts rarer classes of tokens first, and within
-   a class a permutation of its own decides. The table only shapes the orders:
-   any order that all sets share gives the same links.
-2. ``prefixes``: two sets of similarity t share, under every order, one of
-   the first n - ceil(t n) + 1 tokens of each. One pass gives each row the
-   digest of its set and its prefixes; equal sets are one node.
-3. ``linked``: nodes that share a prefix token under the first order are in
-   one group. Each group's nodes are first met by one of them, the one that
-   shares most; that joins families of near copies. What is left are groups
-   whose nodes are of several classes: there, pairs of different classes are
-   joined by token and by the sizes that can reach t with what lies behind the
-   shared token in both sets. A group in which too many would still meet is
-   split by the prefix tokens of the next order, which its pairs must share as well.
-4. A pair goes on only if its prefixes meet under every other order too; then
+1. ``parts``: two linked sets differ in at most d tokens, a share of their
+   sizes. Tokens are dealt to more than d parts by hash, so one part at least
+   is equal in both. One pass gives each row the digest of its set and the
+   hashes of its parts, by class of sizes; equal sets are one node. A part
+   holds several tokens, so chance makes few equal ones in a corpus of any
+   size; a node without an equal part in another has no link.
+2. ``frequencies`` and ``prefixes``, for the nodes left: tokens (hashes of
+   n-grams) that are frequent somewhere are counted by partition and added up;
+   a bounded table of the most frequent ones is broadcast. An order puts rarer
+   classes of tokens first, and within a class a permutation of its own
+   decides. The table only shapes the orders: any order that all sets share
+   gives the same links. Two sets of similarity t share, under every order,
+   one of the first n - ceil(t n) + 1 tokens of each.
+3. ``linked``: nodes with an equal part are in one group. Each group's nodes
+   are first met by one of them, the one that shares most; that joins families
+   of near copies. What is left are groups whose nodes are of several classes:
+   there, pairs of different classes are joined by part and size. A group in
+   which too many would still meet is split by the prefix tokens of one order
+   after the other, which its pairs must share as well.
+4. A pair goes on only if its prefixes meet under every order; then
    the sets of its nodes are made again from their texts and intersected.
 5. Links are contracted to components; copies join theirs by their digest.
 
@@ -57,6 +61,7 @@ REPORTED = 1 << 13  # tokens that a partition reports
 FEW_SALTS = 4
 PAIRS_AT_ONCE = 100_000  # pairs of one group beyond which the next order splits it
 SHARE = 4096  # pairs of one node that go to one task
+PART_CLASS = 1.3  # ratio of the largest sizes of a class and the next, for parts
 BITMAP = 1 << 27  # bits of the broadcast table of wanted rows, at most: 16 MB
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -78,6 +83,66 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
+def part_classes(percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each class of sizes its largest size, the number of parts and how many of them may be empty unseen: more
+    than that many parts stay equal if the tokens differ that two linked sets of the class can differ in."""
+    top = [1]
+    while top[-1] < 1 << 32:
+        top.append(max(top[-1] + 1, int(top[-1] * PART_CLASS)))
+    tops = np.array(top, np.int64)
+    differ = 2 * tops * (100 - percent) // (100 + percent)
+    spare = np.where(differ < 4, 0, np.where(differ < 16, 1, 2))
+    return tops, differ + 1 + spare, spare
+
+
+def part_hashes(sets: list[np.ndarray], percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the parts of each set, flat, and where each set's start. A set has the parts of its own class and, if
+    larger sets of the next can be linked with it, of that. Empty parts count only for sets with too many of them: if
+    either of two has few, one of the equal parts is not empty."""
+    tops, parts, spare = part_classes(percent)
+    n = np.array([len(x) for x in sets], np.int64)
+    flat = np.concatenate([np.empty(0, np.uint64), *sets])
+    to_part, to_sum = mixed(flat ^ SEEDS[3]), mixed(flat ^ SEEDS[0])
+    own = np.searchsorted(tops, n)
+    out, of = [], []
+    for step, some in ((0, n > 0), (1, n * 100 // percent > tops[own])):
+        sets_at = np.flatnonzero(some)
+        c, token = own[sets_at] + step, np.repeat(some, n)
+        m = parts[c]
+        start = np.cumsum(m) - m
+        at = np.repeat(start, n[sets_at]) + (to_part[token] % np.repeat(m, n[sets_at]).astype(np.uint64)).astype(np.int64)
+        sums = np.zeros(int(m.sum()), np.uint64)
+        np.add.at(sums, at, to_sum[token])
+        empty = np.bincount(at, minlength=len(sums)) == 0
+        which = np.repeat(np.arange(len(m)), m)
+        name = (np.repeat(c, m) << 40) + np.arange(len(sums)) - np.repeat(start, m)
+        kept = ~empty | (np.bincount(which, empty, len(m)) > spare[c])[which]
+        out.append(mixed(sums ^ mixed(name.astype(np.uint64)))[kept])
+        of.append(sets_at[which[kept]])
+    of = np.concatenate(of)
+    order = np.argsort(of, kind="stable")
+    return np.concatenate(out)[order], np.searchsorted(of[order], np.arange(len(sets) + 1))
+
+
+def parts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``_id``, ``_tag``, ``_n``, ``_key`` (digest of the set, null without words) and ``_parts`` of every row."""
+    rows = tagged(docs, id_col, text_col)
+    schema = T.StructType([rows.schema["_id"], rows.schema["_tag"], T.StructField("_n", T.LongType()), T.StructField("_key", T.BinaryType()),
+                           T.StructField("_parts", T.ArrayType(T.LongType()))])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in blocks(whole, "_text"):
+                sets = [ngrams(t) for t in batch.column("_text").to_pylist()]
+                keys = [hashlib.md5(x.tobytes()).digest() if len(x) else None for x in sets]
+                hashes, starts = part_hashes(sets)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("_id"), batch.column("_tag"), pa.array([len(x) for x in sets], pa.int64()), pa.array(keys, pa.binary()),
+                     pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(hashes.view(np.int64)))], schema.fieldNames())
+
+    return rows.select("_id", "_tag", "_text").mapInArrow(work, schema)
+
+
 def frequencies(docs: DataFrame, text_col: str, table_size: int = TABLE_SIZE) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent tokens of all texts, sorted, and the class (a power of two) of their counts."""
 
@@ -215,10 +280,8 @@ def beside(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def meeting(pairs: DataFrame, nodes: DataFrame, orders: int = ORDERS) -> DataFrame:
-    """The pairs (``a``, ``b``) whose prefixes share a token under every order but the first."""
-    others = [f"_p{k}" for k in range(1, orders)]
-    if not others:
-        return pairs
+    """The pairs (``a``, ``b``) whose prefixes share a token under every order."""
+    others = [f"_p{k}" for k in range(orders)]
     side = lambda s: nodes.select("_node", *[F.col(p).alias(s + p) for p in others])
     both = beside(pairs, side("a"), side("b"))
     for p in others:
@@ -240,7 +303,7 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, id_col: str, t
 
 
 def by_token(nodes: DataFrame, prefix: str) -> DataFrame:
-    """``_x`` (a prefix token of several nodes), ``_node``, ``_n`` and ``_at``, its place in the set's order."""
+    """``_x`` (a prefix token or part of several nodes), ``_node``, ``_n`` and ``_at``, its place in the set's order."""
     each = nodes.select("_node", "_n", F.posexplode(prefix).alias("_at", "_x"))
     several = each.groupBy("_x").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1").select("_x")
     return salted_join(each, several, ["_x"], F.col("_node"), "left_semi", FEW_SALTS)
@@ -290,11 +353,22 @@ def across(groups: DataFrame, nodes: DataFrame, on: list[str], order: int, order
     return pairs
 
 
+def with_prefixes(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, orders: int) -> DataFrame:
+    """The (stored) nodes with their prefixes, made from the texts of their rows only."""
+    rows = tagged(docs, id_col, text_col).where(listed(nodes))
+    wide = prefixes(rows.select("_id", "_text"), "_id", "_text", frequencies(rows, "_text"), orders)
+    names = [f"_p{k}" for k in range(orders)]
+    found = nodes.join(wide.select("_tag", "_key", *names), ["_tag", "_key"])
+    return found.groupBy("_node", "_tag", "_key", "_n").agg(*[F.first(p).alias(p) for p in names])  # repeated rows once
+
+
 def linked(docs: DataFrame, nodes: DataFrame, same: DataFrame, id_col: str, text_col: str, orders: int = ORDERS) -> DataFrame:
     """Labels of the nodes that have a link; ``same`` holds links known before."""
-    tokens = materialize(by_token(nodes, "_p0"))
+    tokens = materialize(by_token(nodes, "_parts").withColumn("_at", F.lit(0)))
     if not tokens.take(1):
         return merged(None, same)
+    some = materialize(nodes.select("_node", "_tag", "_key", "_n").join(tokens.select("_node").distinct(), "_node", "left_semi"))
+    nodes = materialize(with_prefixes(docs, some, id_col, text_col, orders))
     company = tokens.groupBy("_node").agg(F.count(F.lit(1)).alias("_shared"))
     ranked = tokens.join(company, "_node")
     first = ranked.groupBy("_x").agg(F.max(F.struct("_shared", "_n", "_node")).alias("_first")).select("_x", "_first")
@@ -309,18 +383,18 @@ def linked(docs: DataFrame, nodes: DataFrame, same: DataFrame, id_col: str, text
     left = materialize(salted_join(rows, mixed_groups, ["_x"], F.col("_node"), "left_semi", FEW_SALTS))
     if not left.take(1):
         return labels
-    pairs = materialize(across(can_meet(left), nodes, ["_x"], 0, orders).distinct())
+    pairs = materialize(across(can_meet(left), nodes, ["_x"], -1, orders).distinct())
     return merged(labels, verified(materialize(meeting(pairs, nodes, orders)), docs, nodes, id_col, text_col))
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orders: int = ORDERS) -> DataFrame:
     """One row per row of ``docs``: its id, ``n_shingles`` and ``component_id``."""
     scratch = Scratch(docs.sparkSession)
-    wide = scratch.store(prefixes(docs, id_col, text_col, frequencies(docs, text_col), orders))
+    wide = scratch.store(parts(docs, id_col, text_col))
     rows = materialize(wide.select("_id", "_n", "_key"))
     # a set is a node; its number is given once, as the nodes are stored
     nodes = wide.where(F.col("_key").isNotNull()).groupBy("_key").agg(
-        F.min("_id").alias("_first"), F.min("_tag").alias("_tag"), F.first("_n").alias("_n"), *[F.first(f"_p{k}").alias(f"_p{k}") for k in range(orders)])
+        F.min("_id").alias("_first"), F.min("_tag").alias("_tag"), F.first("_n").alias("_n"), F.first("_parts").alias("_parts"))
     nodes = materialize(nodes.withColumn("_node", F.monotonically_increasing_id()))
     scratch.drop()
     full = rows.where(F.col("_key").isNotNull())

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,6 +111,29 @@ def test_family_of_one_template_tries_few_pairs(spark):
     assert got.where("doc_id <> component_id").count() == 0
 
 
+def test_linked_sets_have_an_equal_part():
+    rng = np.random.default_rng(5)
+    for n in [*range(1, 60), 100, 333, 2000]:
+        for _ in range(20 if n < 100 else 5):
+            a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+            gone = rng.integers(0, len(a) // 10 + 1)
+            new = rng.integers(0, 100 * (len(a) - gone) // 90 - len(a) + 1) if 100 * (len(a) - gone) >= 90 * len(a) else 0
+            b = np.unique(np.concatenate([a[gone:], rng.integers(0, 1 << 63, new).astype(np.uint64)]))
+            if 100 * (len(a) - gone) < 90 * (len(a) + new):
+                continue
+            hashes, starts = ngram_join.part_hashes([a, np.empty(0, np.uint64), b])
+            assert starts[1] == starts[2] and set(hashes[: starts[1]].tolist()) & set(hashes[starts[2] :].tolist()), (n, gone, new)
+
+
+def test_shared_shingles_alone_are_no_company(spark):
+    """Texts that share many shingles by chance, as those of a large corpus do, have no equal part."""
+    rng = random.Random(8)
+    lines = [" ".join(f"l{i}x{k}" for k in range(6)) for i in range(40)]
+    rows = [(i, " ".join(rng.sample(lines, 10))) for i in range(400)]
+    nodes = ngram_join.parts(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").withColumnRenamed("_key", "_node")
+    assert ngram_join.by_token(nodes, "_parts").select("_node").distinct().count() < len(rows) // 4
+
+
 def test_odd_rows(spark):
     docs = odd_docs(spark).withColumn("_key", F.lit("old")).withColumn("component_id", F.lit("old")).withColumn("_salt", F.lit("old"))
     got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_join.components(docs).collect()), key=str)
