@@ -36,12 +36,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,10 +64,23 @@ FEW_SALTS = 4
 PAIRS_AT_ONCE = 100_000  # pairs of one group beyond which the next order splits it
 SHARE = 4096  # pairs of one node that go to one task
 PART_CLASS = 1.3  # ratio of the largest sizes of a class and the next, for parts
+BATCH_CONF, BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", str(2 << 20)
 BITMAP = 1 << 27  # bits of the broadcast table of wanted rows, at most: 16 MB
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Batches that Spark hands to Python workers while the sets are made hold BATCH of text, not 10,000 rows of any length:
+    both sides keep a few copies of a batch outside the heap."""
+    old = spark.conf.get(BATCH_CONF)
+    spark.conf.set(BATCH_CONF, BATCH)
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_CONF, old)
+
+
 def ngrams(text: str | None, n: int = NGRAM) -> np.ndarray:
     """The set of n-grams of a text, lower-cased in A-Z, as sorted hashes."""
     words = (text or "").encode("utf-8", "replace").translate(LOWER).split()
@@ -143,12 +158,22 @@ def parts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select("_id", "_tag", "_text").mapInArrow(work, schema)
 
 
-def frequencies(docs: DataFrame, text_col: str, table_size: int = TABLE_SIZE) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent tokens of all texts, sorted, and the class (a power of two) of their counts."""
-
-    def compact(parts: list, known: tuple) -> tuple:
-        tokens, at = np.unique(np.concatenate([*parts, known[0]]), return_inverse=True)
-        counts = np.bincount(at, np.concatenate([np.ones(sum(map(len, parts))), known[1]]), len(tokens)).astype(np.int64)
+def frequencies(docs: DataFrame, text_col: str, table_size: int = TABLE_SIZE, wanted: Broadcast | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent tokens of all texts, sorted, and the class (a power of two) of their counts. With ``wanted``, a
+    ``bitmap``, only of rows whose ``_tag`` it lists; the worker that makes the tokens looks it up, no second one."""
+
+    def compact(new: np.ndarray, known: tuple) -> tuple:
+        """``known`` tokens and counts with those of ``new``, which is sorted in place: few copies, a worker's memory is small."""
+        new.sort()
+        starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(new)), bool), new[1:] != new[:-1]]))
+        tokens, counts = new[starts], np.diff(starts, append=len(new))
+        if len(known[0]):
+            at = np.minimum(np.searchsorted(tokens, known[0]), max(0, len(tokens) - 1))
+            found = tokens[at] == known[0] if len(tokens) else np.zeros(len(known[0]), bool)
+            counts[at[found]] += known[1][found]
+            tokens, counts = np.concatenate([tokens, known[0][~found]]), np.concatenate([counts, known[1][~found]])
+            order = np.argsort(tokens)
+            tokens, counts = tokens[order], counts[order]
         if len(tokens) > CHUNK // 2:
             keep = np.argpartition(counts, -CHUNK // 4)[-CHUNK // 4 :]
             keep.sort()
@@ -156,19 +181,24 @@ def frequencies(docs: DataFrame, text_col: str, table_size: int = TABLE_SIZE) ->
         return tokens, counts
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, parts, size = (np.empty(0, np.uint64), np.empty(0, np.int64)), [], 0
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                parts.append(ngrams(text))
-                size += len(parts[-1])
-                if size >= CHUNK:
-                    known, parts, size = compact(parts, known), [], 0
-        tokens, counts = compact(parts, known)
+        known, buffer, size = (np.empty(0, np.uint64), np.empty(0, np.int64)), np.empty(CHUNK, np.uint64), 0
+        for whole in batches:
+            for batch in blocks(kept(whole, wanted), text_col):
+                for text in batch.column(0).to_pylist():
+                    found = ngrams(text)
+                    while len(found):
+                        taken = found[: CHUNK - size]
+                        buffer[size : size + len(taken)] = taken
+                        found, size = found[len(taken) :], size + len(taken)
+                        if size == CHUNK:
+                            known, size = compact(buffer, known), 0
+        tokens, counts = compact(buffer[:size], known)
         often = np.flatnonzero(counts >= FROM)
         often = often[np.argsort(-counts[often], kind="stable")[:REPORTED]]
         yield pa.RecordBatch.from_pydict({"x": pa.array(tokens[often].view(np.int64)), "n": pa.array(counts[often])})
 
-    sums = materialize(docs.select(text_col).mapInArrow(report, "x long, n long").groupBy("x").agg(F.sum("n").alias("n"))
+    read = docs.select(text_col) if wanted is None else docs.select(text_col, "_tag")
+    sums = materialize(read.mapInArrow(report, "x long, n long").groupBy("x").agg(F.sum("n").alias("n"))
                        .select("x", F.floor(F.log2("n")).cast("int").alias("n")))
     total, least = 0, 64
     for r in sorted(sums.groupBy("n").count().collect(), key=lambda r: -r["n"]):  # at most 64 rows
@@ -194,8 +224,9 @@ def tagged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.withColumn("_tag", F.xxhash64("_id", "_text"))
 
 
-def prefixes(docs: DataFrame, id_col: str, text_col: str, frequent: tuple[np.ndarray, np.ndarray], orders: int = ORDERS) -> DataFrame:
-    """``_id``, ``_tag``, ``_n``, ``_key`` (digest of the set, null without words) and the prefixes ``_p0``, ``_p1``, ... of every row."""
+def prefixes(docs: DataFrame, id_col: str, text_col: str, frequent: tuple[np.ndarray, np.ndarray], orders: int = ORDERS, wanted: Broadcast | None = None) -> DataFrame:
+    """``_id``, ``_tag``, ``_n``, ``_key`` (digest of the set, null without words) and the prefixes ``_p0``, ``_p1``, ... of every row,
+    with ``wanted`` of the rows that this ``bitmap`` lists."""
     rows = tagged(docs, id_col, text_col)
     names = [f"_p{k}" for k in range(orders)]
     schema = T.StructType([rows.schema["_id"], rows.schema["_tag"], T.StructField("_n", T.LongType()), T.StructField("_key", T.BinaryType()),
@@ -205,7 +236,7 @@ def prefixes(docs: DataFrame, id_col: str, text_col: str, frequent: tuple[np.nda
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, levels = shared.value
         for whole in batches:
-            for batch in blocks(whole, "_text"):
+            for batch in blocks(kept(whole, wanted), "_text"):
                 sets = [ngrams(t) for t in batch.column("_text").to_pylist()]
                 flat = np.concatenate(sets)
                 at = np.searchsorted(hot, flat)
@@ -224,20 +255,35 @@ def prefixes(docs: DataFrame, id_col: str, text_col: str, frequent: tuple[np.nda
     return rows.select("_id", "_tag", "_text").mapInArrow(work, schema)
 
 
-def listed(tags: DataFrame) -> Column:
-    """Whether ``_tag`` may be among ``tags``: looked up in a broadcast bitmap of at least eight bits for each, BITMAP bits at most."""
+def bitmap(tags: DataFrame) -> Broadcast:
+    """A broadcast bitmap of the ``_tag`` of ``tags``, of at least eight bits for each, BITMAP bits at most."""
     n = min(BITMAP, 1 << max(6, (8 * tags.count() - 1).bit_length()))
     bit = F.pmod("_tag", F.lit(n))
     words = tags.select(F.floor(bit / 64).cast("long").alias("_word"), F.expr(f"shiftleft(1L, cast(pmod(_tag, {n}) % 64 as int))").alias("_bit"))
     found = words.groupBy("_word").agg(F.bit_or("_bit").alias("_bits")).toArrow()  # at most n / 64 rows
-    bitmap = np.zeros(n // 64, np.int64)
-    bitmap[found.column("_word").to_numpy()] = found.column("_bits").to_numpy()
-    shared = tags.sparkSession.sparkContext.broadcast(bitmap.view(np.uint64))
+    bits = np.zeros(n // 64, np.int64)
+    bits[found.column("_word").to_numpy()] = found.column("_bits").to_numpy()
+    return tags.sparkSession.sparkContext.broadcast(bits.view(np.uint64))
+
+
+def among(tags: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Whether each tag may be one of those that a ``bitmap`` was made of."""
+    at = tags % (64 * len(bits))
+    return bits[at // 64] >> (at % 64).astype(np.uint64) & np.uint64(1) == 1
+
+
+def kept(batch: pa.RecordBatch, wanted: Broadcast | None) -> pa.RecordBatch:
+    """The rows of a batch whose ``_tag`` may be listed in ``wanted``, a ``bitmap``; all without one."""
+    return batch if wanted is None else batch.filter(pa.array(among(batch.column("_tag").to_numpy(), wanted.value)))
+
+
+def listed(tags: DataFrame) -> Column:
+    """Whether ``_tag`` may be among ``tags``, for rows that no Python worker reads in the same task."""
+    shared = bitmap(tags)
 
     @F.pandas_udf("boolean")
     def marked(tag: pd.Series) -> pd.Series:
-        at = tag.to_numpy() % n
-        return pd.Series(shared.value[at // 64] >> (at % 64).astype(np.uint64) & np.uint64(1) == 1)
+        return pd.Series(among(tag.to_numpy(), shared.value))
 
     return marked("_tag")
 
@@ -314,14 +360,18 @@ def size_class(n: Column) -> Column:
     return F.when(n < 10, n).otherwise(F.floor(F.log(n / F.lit(10.0)) / F.lit(float(np.log(1.1)))) + 10).cast("int")
 
 
-def can_meet(rows: DataFrame) -> DataFrame:
-    """Rows (``_n``, ``_at``) once for each class of sizes (``_other``) that can reach the similarity with what lies from ``_at`` on:
-    of sizes n and s, PERCENT / (100 + PERCENT) of n + s must be shared, and no more than n - _at can be."""
+def reach(rows: DataFrame) -> DataFrame:
+    """Rows (``_n``, ``_at``) with their ``_class`` and the classes of sizes (``_from``, ``_to``) that can reach the similarity with what
+    lies from ``_at`` on: of sizes n and s, PERCENT / (100 + PERCENT) of n + s must be shared, and no more than n - _at can be."""
     n, left = F.col("_n"), F.col("_n") - F.col("_at")
     low = F.ceil(n * PERCENT / 100)
     high = F.least(F.floor(n * 100 / PERCENT), F.floor(left * (100 + PERCENT) / PERCENT) - n)
-    rows = rows.withColumn("_class", size_class(n)).where(low <= high)
-    return rows.withColumn("_other", F.explode(F.sequence(size_class(low), size_class(high))))
+    return rows.where(low <= high).withColumns({"_class": size_class(n), "_from": size_class(low), "_to": size_class(high)})
+
+
+def can_meet(rows: DataFrame) -> DataFrame:
+    """Rows (``_n``, ``_at``) once for each class of sizes (``_other``) in their ``reach``."""
+    return reach(rows).withColumn("_other", F.explode(F.sequence("_from", "_to"))).drop("_from", "_to")
 
 
 def across(groups: DataFrame, nodes: DataFrame, on: list[str], order: int, orders: int) -> DataFrame:
@@ -347,16 +397,16 @@ def across(groups: DataFrame, nodes: DataFrame, on: list[str], order: int, order
     if order + 1 < orders and many.take(1):
         hot = salted_join(rows, many.select(*keys), keys, F.col("_node"), "left_semi", FEW_SALTS)
         tokens = nodes.select("_node", F.posexplode(f"_p{order + 1}").alias("_at", f"_x{order + 1}"))
-        finer = can_meet(hot.drop("_class").join(tokens, "_node"))
-        finer = finer.where((F.least("_class", "_other") == F.col("_low")) & (F.greatest("_class", "_other") == F.col("_high"))).drop("_low", "_high")
+        finer = reach(hot.join(tokens, "_node")).withColumn("_other", F.when(F.col("_class") == F.col("_low"), F.col("_high")).otherwise(F.col("_low")))
+        finer = finer.where(F.col("_other").between(F.col("_from"), F.col("_to"))).drop("_low", "_high", "_from", "_to")
         pairs = pairs.union(across(finer, nodes, [*on, f"_x{order + 1}"], order + 1, orders))
     return pairs
 
 
 def with_prefixes(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, orders: int) -> DataFrame:
     """The (stored) nodes with their prefixes, made from the texts of their rows only."""
-    rows = tagged(docs, id_col, text_col).where(listed(nodes))
-    wide = prefixes(rows.select("_id", "_text"), "_id", "_text", frequencies(rows, "_text"), orders)
+    rows, wanted = tagged(docs, id_col, text_col), bitmap(nodes)
+    wide = prefixes(docs, id_col, text_col, frequencies(rows, "_text", wanted=wanted), orders, wanted)
     names = [f"_p{k}" for k in range(orders)]
     found = nodes.join(wide.select("_tag", "_key", *names), ["_tag", "_key"])
     return found.groupBy("_node", "_tag", "_key", "_n").agg(*[F.first(p).alias(p) for p in names])  # repeated rows once
@@ -388,7 +438,12 @@ def linked(docs: DataFrame, nodes: DataFrame, same: DataFrame, id_col: str, text
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orders: int = ORDERS) -> DataFrame:
-    """One row per row of ``docs``: its id, ``n_shingles`` and ``component_id``."""
+    """One row per row of ``docs``: its id, ``n_shingles`` and ``component_id``. All that Python workers do is stored here."""
+    with small_batches(docs.sparkSession):
+        return classified(docs, id_col, text_col, orders)
+
+
+def classified(docs: DataFrame, id_col: str, text_col: str, orders: int) -> DataFrame:
     scratch = Scratch(docs.sparkSession)
     wide = scratch.store(parts(docs, id_col, text_col))
     rows = materialize(wide.select("_id", "_n", "_key"))

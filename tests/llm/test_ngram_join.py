@@ -134,6 +134,35 @@ def test_shared_shingles_alone_are_no_company(spark):
     assert ngram_join.by_token(nodes, "_parts").select("_node").distinct().count() < len(rows) // 4
 
 
+def test_a_task_has_one_worker_and_small_batches(spark, monkeypatch):
+    """An executor's memory holds one Python worker for each task that makes tokens, and batches by their bytes."""
+    seen, store, default = [], ngram_join.materialize, spark.conf.get(ngram_join.BATCH_CONF)
+
+    def stored(df, name=None):
+        seen.append((df._jdf.queryExecution().executedPlan().toString(), spark.conf.get(ngram_join.BATCH_CONF)))
+        return store(df, name)
+
+    monkeypatch.setattr(ngram_join, "materialize", stored)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*words[:i], f"x{i}", *words[i:]])) for i in range(20)]
+    assert ngram_join.components(spark.createDataFrame(rows, "doc_id long, text string")).count() == 20
+    tokens = [x for x in seen if "MapInArrow" in x[0]]
+    assert tokens and not [x for x in tokens if "ArrowEvalPython" in x[0]]
+    assert {x[1] for x in seen} == {ngram_join.BATCH} != {default} and spark.conf.get(ngram_join.BATCH_CONF) == default
+
+
+def test_frequent_tokens_are_counted_in_full(spark, monkeypatch):
+    """Counts of tokens go on over several buffers, also within one text."""
+    monkeypatch.setattr(ngram_join, "FROM", 1)
+    words = " ".join(f"c{i}" for i in range(400))
+    docs = spark.createDataFrame([(i, words + f" d{i} e{i}") for i in range(33)], "doc_id long, text string").coalesce(1)
+    tokens, classes = ngram_join.frequencies(docs, "text")
+    assert len(tokens) == 398 + 2 * 33 and sorted(classes.tolist()) == [0] * 66 + [5] * 398
+    monkeypatch.setattr(ngram_join, "CHUNK", 4096)  # more than all tokens, less than all occurrences
+    again = ngram_join.frequencies(docs, "text")
+    assert again[0].tolist() == tokens.tolist() and again[1].tolist() == classes.tolist()
+
+
 def test_odd_rows(spark):
     docs = odd_docs(spark).withColumn("_key", F.lit("old")).withColumn("component_id", F.lit("old")).withColumn("_salt", F.lit("old"))
     got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_join.components(docs).collect()), key=str)
