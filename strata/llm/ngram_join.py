@@ -16,10 +16,12 @@
 3. ``linked``: nodes with an equal part are in one group. Each group's nodes
    are first met by one of them, the one that shares most; that joins families
    of near copies. What is left are groups whose nodes are of several classes:
-   there, pairs of different classes are joined by part and size. A group in
-   which too many would still meet is split by the prefix tokens of one order
+   there, pairs of different classes are joined by part and size if the
+   ``sketches`` of their sets allow a link: bits that differ are tokens that
+   differ. So a family whose nodes are alike but not linked makes few pairs. A group in
+   which too many would meet is split by the prefix tokens of one order
    after the other, which its pairs must share as well.
-4. A pair goes on only if its prefixes meet under every order; then
+4. A pair goes on only if its sketches allow a link and its prefixes meet under every order; then
    the sets of its nodes are made again from their texts and intersected.
 5. Links are contracted to components; copies join theirs by their digest.
 
@@ -64,6 +66,7 @@ FEW_SALTS = 4
 PAIRS_AT_ONCE = 100_000  # pairs of one group beyond which the next order splits it
 SHARE = 4096  # pairs of one node that go to one task
 PART_CLASS = 1.3  # ratio of the largest sizes of a class and the next, for parts
+SKETCH = 8  # 64-bit words of a set's sketch
 BATCH_CONF, BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", str(2 << 20)
 BITMAP = 1 << 27  # bits of the broadcast table of wanted rows, at most: 16 MB
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -139,6 +142,16 @@ def part_hashes(sets: list[np.ndarray], percent: int = PERCENT) -> tuple[np.ndar
     return np.concatenate(out)[order], np.searchsorted(of[order], np.arange(len(sets) + 1))
 
 
+def sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of SKETCH words for each set: a bit tells whether an odd number of the set's tokens have its number. Tokens of
+    two sets cancel each other out, so no more bits differ than tokens do."""
+    flat = np.concatenate([np.empty(0, np.uint64), *sets])
+    of = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    out = np.zeros(len(sets) * SKETCH, np.uint64)
+    np.bitwise_xor.at(out, of * SKETCH + (flat >> np.uint64(6)).astype(np.int64) % SKETCH, np.uint64(1) << (flat & np.uint64(63)))
+    return out.reshape(-1, SKETCH)
+
+
 def parts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``_id``, ``_tag``, ``_n``, ``_key`` (digest of the set, null without words) and ``_parts`` of every row."""
     rows = tagged(docs, id_col, text_col)
@@ -225,12 +238,12 @@ def tagged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def prefixes(docs: DataFrame, id_col: str, text_col: str, frequent: tuple[np.ndarray, np.ndarray], orders: int = ORDERS, wanted: Broadcast | None = None) -> DataFrame:
-    """``_id``, ``_tag``, ``_n``, ``_key`` (digest of the set, null without words) and the prefixes ``_p0``, ``_p1``, ... of every row,
+    """``_id``, ``_tag``, ``_n``, ``_key`` (digest of the set, null without words), ``_sketch`` and the prefixes ``_p0``, ``_p1``, ... of every row,
     with ``wanted`` of the rows that this ``bitmap`` lists."""
     rows = tagged(docs, id_col, text_col)
     names = [f"_p{k}" for k in range(orders)]
     schema = T.StructType([rows.schema["_id"], rows.schema["_tag"], T.StructField("_n", T.LongType()), T.StructField("_key", T.BinaryType()),
-                           *[T.StructField(n, T.ArrayType(T.LongType())) for n in names]])
+                           T.StructField("_sketch", T.ArrayType(T.LongType())), *[T.StructField(n, T.ArrayType(T.LongType())) for n in names]])
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +263,7 @@ def prefixes(docs: DataFrame, id_col: str, text_col: str, frequent: tuple[np.nda
                 keys = [hashlib.md5(x.tobytes()).digest() if len(x) else None for x in sets]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("_id"), batch.column("_tag"), pa.array([len(x) for x in sets], pa.int64()), pa.array(keys, pa.binary()),
-                     *(pa.array(found[n], pa.list_(pa.int64())) for n in names)], schema.fieldNames())
+                     pa.array(list(sketches(sets).view(np.int64)), pa.list_(pa.int64())), *(pa.array(found[n], pa.list_(pa.int64())) for n in names)], schema.fieldNames())
 
     return rows.select("_id", "_tag", "_text").mapInArrow(work, schema)
 
@@ -309,6 +322,12 @@ def similar_sizes(a: Column, b: Column) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
 
 
+def may_link(left: Column, right: Column, sizes: Column) -> Column:
+    """Whether sets of these sketches, with ``sizes`` tokens together, can be linked: linked ones differ in few enough tokens."""
+    differ = sum((F.bit_count(left[i].bitwiseXOR(right[i])) for i in range(SKETCH)), F.lit(0))
+    return differ * (100 + PERCENT) <= sizes * (100 - PERCENT)
+
+
 def beside(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
     """``pairs`` (``a``, ``b``) with the columns of their nodes' rows in ``left`` and ``right`` (by ``_node``). The pairs of
     a node that has more than SHARE are dealt to several tasks; only such a node's row is sent more than once."""
@@ -326,10 +345,11 @@ def beside(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def meeting(pairs: DataFrame, nodes: DataFrame, orders: int = ORDERS) -> DataFrame:
-    """The pairs (``a``, ``b``) whose prefixes share a token under every order."""
+    """The pairs (``a``, ``b``) whose sketches allow a link and whose prefixes share a token under every order."""
     others = [f"_p{k}" for k in range(orders)]
-    side = lambda s: nodes.select("_node", *[F.col(p).alias(s + p) for p in others])
+    side = lambda s: nodes.select("_node", *[F.col(p).alias(s + p) for p in ("_n", "_sketch", *others)])
     both = beside(pairs, side("a"), side("b"))
+    both = both.where(may_link(F.col("a_sketch"), F.col("b_sketch"), F.col("a_n") + F.col("b_n")))
     for p in others:
         both = both.where(F.arrays_overlap(f"a{p}", f"b{p}"))
     return both.select("a", "b")
@@ -375,7 +395,7 @@ def can_meet(rows: DataFrame) -> DataFrame:
 
 
 def across(groups: DataFrame, nodes: DataFrame, on: list[str], order: int, orders: int) -> DataFrame:
-    """``a``, ``b``: pairs of nodes with different labels that are in one group (``on``), sizes matched.
+    """``a``, ``b``: pairs of nodes with different labels that are in one group (``on``), sizes and sketches matched.
 
     ``groups``: rows with ``_node``, ``_n``, ``_label``, ``_class``, ``_other`` and the columns ``on``."""
     keys = [*on, "_low", "_high"]
@@ -388,11 +408,12 @@ def across(groups: DataFrame, nodes: DataFrame, on: list[str], order: int, order
         many, few = size.where(F.col("_pairs") > PAIRS_AT_ONCE), size.where(F.col("_pairs") <= PAIRS_AT_ONCE)
     else:
         many, few = size.limit(0), size
-    kept = salted_join(rows, few.select(*keys), keys, F.col("_node"), "left_semi", FEW_SALTS)
-    one = kept.where(is_low).select(*keys, F.col("_node").alias("_one"), F.col("_n").alias("_n1"), F.col("_label").alias("_l1"))
-    two = kept.where(is_high).select(*keys, F.col("_node").alias("_two"), F.col("_n").alias("_n2"), F.col("_label").alias("_l2"))
+    kept = salted_join(rows, few.select(*keys), keys, F.col("_node"), "left_semi", FEW_SALTS).join(nodes.select("_node", "_sketch"), "_node")
+    one = kept.where(is_low).select(*keys, F.col("_node").alias("_one"), F.col("_n").alias("_n1"), F.col("_label").alias("_l1"), F.col("_sketch").alias("_s1"))
+    two = kept.where(is_high).select(*keys, F.col("_node").alias("_two"), F.col("_n").alias("_n2"), F.col("_label").alias("_l2"), F.col("_sketch").alias("_s2"))
     met = one.join(two, keys).where((F.col("_l1") != F.col("_l2")) & similar_sizes(F.col("_n1"), F.col("_n2"))
-                                    & ((F.col("_low") < F.col("_high")) | (F.col("_one") < F.col("_two"))))
+                                    & ((F.col("_low") < F.col("_high")) | (F.col("_one") < F.col("_two")))
+                                    & may_link(F.col("_s1"), F.col("_s2"), F.col("_n1") + F.col("_n2")))
     pairs = met.select(F.least("_one", "_two").alias("a"), F.greatest("_one", "_two").alias("b"))
     if order + 1 < orders and many.take(1):
         hot = salted_join(rows, many.select(*keys), keys, F.col("_node"), "left_semi", FEW_SALTS)
@@ -404,10 +425,10 @@ def across(groups: DataFrame, nodes: DataFrame, on: list[str], order: int, order
 
 
 def with_prefixes(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, orders: int) -> DataFrame:
-    """The (stored) nodes with their prefixes, made from the texts of their rows only."""
+    """The (stored) nodes with their sketches and prefixes, made from the texts of their rows only."""
     rows, wanted = tagged(docs, id_col, text_col), bitmap(nodes)
     wide = prefixes(docs, id_col, text_col, frequencies(rows, "_text", wanted=wanted), orders, wanted)
-    names = [f"_p{k}" for k in range(orders)]
+    names = ["_sketch", *[f"_p{k}" for k in range(orders)]]
     found = nodes.join(wide.select("_tag", "_key", *names), ["_tag", "_key"])
     return found.groupBy("_node", "_tag", "_key", "_n").agg(*[F.first(p).alias(p) for p in names])  # repeated rows once
 

@@ -111,6 +111,39 @@ def test_family_of_one_template_tries_few_pairs(spark):
     assert got.where("doc_id <> component_id").count() == 0
 
 
+def test_no_more_bits_of_sketches_differ_than_tokens():
+    rng = np.random.default_rng(6)
+    sets = [np.empty(0, np.uint64), *(np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in (1, 5, 60, 700, 5000))]
+    for a in sets:
+        for gone, new in ((0, 0), (1, 0), (0, 1), (3, 4), (len(a) // 10, 5)):
+            b = np.unique(np.concatenate([a[gone:], rng.integers(0, 1 << 63, new).astype(np.uint64)]))
+            left, empty, right = ngram_join.sketches([a, sets[0], b])
+            differ = int(np.bitwise_count(left ^ right).sum())
+            tokens = len(np.setxor1d(a, b))
+            assert not empty.any() and differ <= tokens and (tokens > 20 or differ > tokens // 2 - 1)
+
+
+def test_family_that_is_alike_but_not_linked_makes_few_pairs(spark, monkeypatch):
+    """Edits of one text, each linked with it or nearly so: members that are not linked do not meet one by one."""
+    rng = random.Random(4)
+    base = [f"b{i}" for i in range(150)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 400):
+        words = list(base)
+        for place in rng.sample(range(2, 148), 2 if i % 4 == 0 else 4):
+            words[place] = f"e{i}x{place}"
+        rows.append((i, " ".join(words)))
+    compared, verified = [], ngram_join.verified
+
+    def counted(pairs, *args):
+        compared.append(pairs.count())
+        return verified(pairs, *args)
+
+    monkeypatch.setattr(ngram_join, "verified", counted)
+    check(spark, rows)
+    assert len(compared) == 2 and sum(compared) < 4 * len(rows)
+
+
 def test_linked_sets_have_an_equal_part():
     rng = np.random.default_rng(5)
     for n in [*range(1, 60), 100, 333, 2000]:
