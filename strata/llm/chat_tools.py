@@ -5,9 +5,10 @@ in the conversation, identifiers of the calls whose results they need) and
 results (identifier, position, content). All of it is joins and expressions:
 
 * an identifier names a call within its conversation: calls, needs and
-  results meet in hash joins by conversation and identifier. Results and
-  repeated identifiers are combined before they are joined, and joins on an
-  identifier that many rows name are salted;
+  results meet in joins by conversation and identifier, all of them sorted:
+  either side grows with the input, so none is broadcast. Results and
+  repeated identifiers are combined before they are joined, and an
+  identifier that many rows name is dealt to several tasks;
 * in a conversation whose calls only need earlier ones, the position is a
   topological number already. Only conversations in which some call needs a
   later one are peeled, level by level, until no call is left or only cycles;
@@ -35,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import n_words, salted_join
+from strata.llm.common import dealt_join, n_words, sorted_join
 from strata.sources.checkpoint import materialize
 
 KEY = ["conv_id", "call_id"]
@@ -86,31 +87,31 @@ def order(calls: DataFrame) -> DataFrame:
     a cycle) and ``n_missing`` (needs that are no call). ``calls``: conv_id, call_id, position, needs; stored."""
     named = calls.dropna("any", subset=KEY)
     own = materialize(named.groupBy(*KEY).agg(F.min("position").alias("position")))
-    needs = named.select(*KEY, F.explode(F.array_distinct("needs")).alias("need")).where("need is not null").distinct()
+    needs = materialize(named.select(*KEY, F.explode(F.array_distinct("needs")).alias("need")).where("need is not null").distinct())
     needed = own.select("conv_id", F.col("call_id").alias("need"), F.col("position").alias("need_position"), F.lit(True).alias("is_call"))
-    edges = materialize(salted_join(needs, needed, ["conv_id", "need"], F.col("call_id")).join(own, KEY))
+    edges = materialize(sorted_join(dealt_join(needs, needed, ["conv_id", "need"], F.col("call_id")), own, KEY))
     missing = edges.where("is_call is null").groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_missing"))
     edges = edges.where("is_call")
     ahead = materialize(edges.where("coalesce(need_position >= position, true)").select("conv_id").distinct())
     numbered = own.select(*KEY, F.col("position").cast("long").alias("topo"))
     if ahead.take(1):
-        peel = materialize(salted_join(own, ahead, ["conv_id"], F.col("call_id"), "left_semi").select(*KEY))
-        done = levels(peel, edges.join(peel, KEY, "left_semi").select(*KEY, "need"))
-        numbered = numbered.join(peel, KEY, "left_anti").select(*KEY, "topo").union(peel.join(done, KEY, "left").select(*KEY, "level"))
-    return numbered.join(missing, KEY, "left").withColumn("n_missing", F.coalesce("n_missing", F.lit(0)))
+        peel = materialize(dealt_join(own, ahead, ["conv_id"], F.col("call_id"), "left_semi").select(*KEY))
+        done = levels(peel, sorted_join(edges, peel, KEY, "left_semi").select(*KEY, "need"))
+        numbered = sorted_join(numbered, peel, KEY, "left_anti").select(*KEY, "topo").union(sorted_join(peel, done, KEY, "left").select(*KEY, "level"))
+    return sorted_join(numbered, missing, KEY, "left").withColumn("n_missing", F.coalesce("n_missing", F.lit(0)))
 
 
 def levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``conv_id``, ``call_id`` and ``level`` of the calls that can be put in order: a round takes those without open needs."""
     done, level = None, 0
     while True:
-        ready = materialize(nodes.join(edges.select(*KEY).distinct(), KEY, "left_anti"))
+        ready = materialize(sorted_join(nodes, edges.select(*KEY).distinct(), KEY, "left_anti"))
         if not ready.take(1):
             return done if done is not None else ready.withColumn("level", F.lit(0).cast("long"))
         placed = ready.withColumn("level", F.lit(level).cast("long"))
         done = placed if done is None else done.union(placed)
-        nodes = materialize(nodes.join(ready, KEY, "left_anti"))
-        edges = materialize(edges.join(ready.withColumnRenamed("call_id", "need"), ["conv_id", "need"], "left_anti"))
+        nodes = materialize(sorted_join(nodes, ready, KEY, "left_anti"))
+        edges = materialize(sorted_join(edges, ready.withColumnRenamed("call_id", "need"), ["conv_id", "need"], "left_anti"))
         level += 1
 
 
@@ -121,15 +122,15 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
     answers = results.dropna("any", subset=KEY).groupBy(*KEY).agg(F.min(F.struct("position", "content")).alias("_r"), F.count(F.lit(1)).cast("long").alias("n_results"))
     answers = materialize(answers.select(*KEY, F.col("_r.position").alias("_at"), F.col("_r.content").alias("result"), "n_results"))
     first = calls.dropna("any", subset=KEY).groupBy(*KEY).agg(F.min("position").alias("_first"))
-    known = materialize(order(calls).join(first, KEY).join(answers.drop("_at"), KEY, "left"))
-    linked = salted_join(checked(calls, schemas), known, KEY, F.xxhash64("arguments"))
+    known = sorted_join(sorted_join(order(calls), first, KEY), answers.drop("_at"), KEY, "left")
+    linked = dealt_join(checked(calls, schemas), known, KEY, F.xxhash64("arguments"))
     n_results = F.coalesce("n_results", F.lit(0).cast("long"))
     status = (F.when(F.col("call_id").isNull() | F.col("conv_id").isNull(), "no_id").when(F.col("position") > F.col("_first"), "duplicate_id").when(F.col("_json").isNull(), "bad_json")
               .when(F.col("problems").isNull(), "unknown_tool").when(F.size("problems") > 0, "invalid").when(F.col("n_missing") > 0, "missing_need")
               .when(F.col("topo").isNull(), "cycle").when(n_results == 0, "unanswered").otherwise("ok"))
     linked = linked.select("conv_id", "call_id", "position", "name", status.alias("status"), "topo", "problems", n_results.alias("n_results"),
                            "_json", "result", "needs")
-    lost = answers.join(first, KEY, "left_anti").select(
+    lost = sorted_join(answers, first, KEY, "left_anti").select(
         *KEY, F.col("_at").alias("position"), F.lit(None).cast("string").alias("name"), F.lit("orphan_result").alias("status"),
         F.lit(None).cast("long").alias("topo"), F.lit(None).cast("array<string>").alias("problems"), "n_results", F.try_parse_json(F.lit(None).cast("string")).alias("_json"),
         "result", F.array().cast("array<string>").alias("needs"))

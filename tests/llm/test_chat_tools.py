@@ -2,7 +2,8 @@ import json
 
 from pyspark.sql import functions as F
 
-from strata.llm import chat_tools
+from strata.llm import chat_tools, common
+from strata.sources.checkpoint import materialize
 
 SCHEMA = {"add": {"type": "object", "required": ["a", "b"], "additionalProperties": False, "properties": {
     "a": {"type": "integer", "minimum": 0}, "b": {"type": "number", "maximum": 10}, "how": {"type": "string", "enum": ["fast", "slow"], "pattern": "^[a-z]+$"}, "o": {"type": "object"}}}}
@@ -66,3 +67,35 @@ def test_conversations_with_the_same_identifiers(spark):
     assert got == {(1, "call_1"): ("ok", 1, 1, "one"), (1, "call_2"): ("unanswered", 2, 0, None), (2, "call_1"): ("ok", 1, 1, "two"), (2, "call_2"): ("ok", 2, 1, "three"),
                    (3, "call_1"): ("cycle", None, 0, None), (3, "call_2"): ("cycle", None, 0, None), (4, "call_1"): ("unanswered", 1, 0, None), (4, "call_2"): ("unanswered", 0, 0, None),
                    (5, "call_2"): ("missing_need", 1, 0, None), (5, "call_1"): ("orphan_result", None, 1, "lost")}
+
+
+def test_no_side_that_grows_is_broadcast(spark, monkeypatch):
+    """A stored table's compressed file may be far smaller than its rows: the driver is not to hold them."""
+    plans = []
+
+    def seen(df, name=None):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return materialize(df, name)
+
+    monkeypatch.setattr(chat_tools, "materialize", seen)
+    monkeypatch.setattr(common, "materialize", seen)
+    calls = [(c, i, "t", "{}", p, n, "old") for c in range(4) for i, p, n in (("a", 1, ["b"]), ("b", 2, []), ("c", 3, ["a", "nowhere"]))]
+    results = [(c, "b", 4, "r", "old") for c in range(5)]
+    rows = chat_tools.link(spark.createDataFrame(calls, CALLS), spark.createDataFrame(results, RESULTS), {"t": {}})
+    plans.append(rows._jdf.queryExecution().sparkPlan().toString())
+    assert len(rows.collect()) == 13
+    assert sum("SortMergeJoin" in p for p in plans) >= 8 and not [p for p in plans if "Broadcast" in p]
+
+
+def test_dealt_join(spark, monkeypatch):
+    """Keys with many rows are dealt out, others and null keys too, with the rows of a plain join."""
+    left = materialize(spark.createDataFrame([(k, f"x{i}") for k, n in ((1, 50), (2, 3), (3, 1), (None, 20)) for i in range(n)], "k long, v string"))
+    right = spark.createDataFrame([(1, "one"), (2, "two"), (4, "four"), (None, "none")], "k long, w string")
+    for share in (common.SHARE, 4):
+        monkeypatch.setattr(common, "SHARE", share)
+        for how in ("left", "inner", "left_semi", "left_anti"):
+            got = common.dealt_join(left, right, ["k"], F.col("v"), how)
+            want = left.join(right, ["k"], how)
+            assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect())), (share, how)
+    plan = common.dealt_join(left, right, ["k"], F.col("v"))._jdf.queryExecution().sparkPlan().toString()
+    assert "_salt" in plan and "SortMergeJoin" in plan
