@@ -12,6 +12,7 @@ from strata.sources.checkpoint import materialize
 WORD = r"[^\x20\x09-\x0D]+"  # a word: a run of anything but ASCII white space
 SALTS = 16
 SHARE = 4096  # rows of one key that go to one task
+FEW_ROWS = 100_000  # rows of a narrow table that the driver can hold for a broadcast
 
 
 def n_words(text: Column) -> Column:
@@ -20,14 +21,16 @@ def n_words(text: Column) -> Column:
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], spread: Column, how: str = "left",
-                salts: int = SALTS) -> DataFrame:
+                salts: int = SALTS, grows: bool = False) -> DataFrame:
     """``left`` joined with ``right``, which has one row for a key (or a bounded few), so that a key with a
     large share of ``left`` is dealt to ``salts`` tasks: ``right``'s rows are repeated once for each salt,
     ``left``'s rows take the salt that ``spread`` hashes to. Null keys match nothing; rows are kept or
-    dropped as ``how`` (left, inner, left_semi or left_anti) says."""
+    dropped as ``how`` (left, inner, left_semi or left_anti) says. ``grows``: ``right`` grows with the input and is not
+    broadcast (``sorted_join``)."""
     left = left.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     right = right.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    joined = sorted_join(left, right, [*on, "_salt"], how) if grows else left.join(right, [*on, "_salt"], how)
+    return joined.drop("_salt")
 
 
 def sorted_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:

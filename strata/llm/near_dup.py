@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm import bag_minhash
-from strata.llm.common import salted_join
+from strata.llm.common import FEW_ROWS, SALTS, salted_join, sorted_join
 from strata.sources.checkpoint import materialize
 
 THRESHOLD = 0.8
@@ -118,7 +118,7 @@ def label(labels: DataFrame | None, rows: DataFrame, node: str, out: str) -> Dat
     """``rows`` with the class label of ``node``, which is the node itself while it has no link."""
     if labels is None:
         return rows.withColumn(out, F.col(node))
-    named = rows.join(labels.select(F.col("_node").alias(node), F.col("_label").alias(out)), node, "left")
+    named = sorted_join(rows, labels.select(F.col("_node").alias(node), F.col("_label").alias(out)), node, "left")
     return named.withColumn(out, F.coalesce(out, node))
 
 
@@ -126,32 +126,35 @@ def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     """Labels (``_node``, ``_label``: the smallest node of its class) after links (``a``, ``b``) are added.
 
     A round lets every label take the smallest label that it is linked to, follows that label's own
-    choice, and contracts the links; each round at least halves what is left of a class."""
+    choice, and contracts the links; each round at least halves what is left of a class. What a round joins has a row for
+    each end of a link at most, once for each salt: it may be broadcast if that is few."""
     edges = label(labels, label(labels, links, "a", "_a"), "b", "_b").select(F.col("_a").alias("a"), F.col("_b").alias("b")).where("a <> b").distinct()
     found = None
     while True:
         edges = materialize(edges)
-        if not edges.take(1):
+        n = edges.count()
+        if not n:
             break
+        grows = 2 * n * SALTS > FEW_ROWS
         both = edges.union(edges.select("b", "a"))
         chosen = materialize(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("_to")))
         nxt = chosen.select(F.col("a").alias("_to"), F.col("_to").alias("_then"))
-        step = materialize(salted_join(chosen, nxt, ["_to"], F.col("a")).select("a", F.coalesce("_then", "_to").alias("_to")))
+        step = materialize(salted_join(chosen, nxt, ["_to"], F.col("a"), grows=grows).select("a", F.coalesce("_then", "_to").alias("_to")))
         if found is None:
             found = step.select(F.col("a").alias("_node"), F.col("_to").alias("_label"))
         else:
             moved = step.select(F.col("a").alias("_label"), F.col("_to").alias("_new"))
-            found = materialize(salted_join(found, moved, ["_label"], F.col("_node")).select("_node", F.coalesce("_new", "_label").alias("_label")))
+            found = materialize(salted_join(found, moved, ["_label"], F.col("_node"), grows=grows).select("_node", F.coalesce("_new", "_label").alias("_label")))
         to = lambda c: step.select(F.col("a").alias(c), F.col("_to").alias(f"_{c}"))
-        edges = salted_join(salted_join(edges, to("a"), ["a"], F.col("b")), to("b"), ["b"], F.col("a")).select(
+        edges = salted_join(salted_join(edges, to("a"), ["a"], F.col("b"), grows=grows), to("b"), ["b"], F.col("a"), grows=grows).select(
             F.col("_a").alias("a"), F.col("_b").alias("b")).where("a <> b").distinct()
     if found is None:
         return labels if labels is not None else links.select(F.col("a").alias("_node"), F.col("a").alias("_label")).limit(0)
     if labels is None:
         return found
     moved = found.select(F.col("_node").alias("_label"), F.col("_label").alias("_new"))
-    old = salted_join(labels, moved, ["_label"], F.col("_node")).select("_node", F.coalesce("_new", "_label").alias("_label"))
-    return materialize(old.union(found.join(labels.select("_node"), "_node", "left_anti")))
+    old = salted_join(labels, moved, ["_label"], F.col("_node"), grows=True).select("_node", F.coalesce("_new", "_label").alias("_label"))
+    return materialize(old.union(sorted_join(found, labels.select("_node"), "_node", "left_anti")))
 
 
 def linked(members: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

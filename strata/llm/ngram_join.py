@@ -25,6 +25,9 @@
    the sets of its nodes are made again from their texts and intersected.
 5. Links are contracted to components; copies join theirs by their digest.
 
+Tables that grow with the input are joined by sorting, none is broadcast: the
+driver holds the bitmaps and the bounded table only.
+
 Defined results: a null or empty text, or one without words, has no n-gram
 and is linked with nothing, its component its own id; one with fewer words
 than an n-gram has them as one; equal sets are linked; an id that stands for
@@ -50,7 +53,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm.bag_minhash import mixed
-from strata.llm.common import salted_join
+from strata.llm.common import dealt_join, salted_join, sorted_join
 from strata.llm.near_dup import blocks, label, merged
 from strata.sources.checkpoint import Scratch, materialize
 
@@ -304,7 +307,7 @@ def listed(tags: DataFrame) -> Column:
 def token_sets(docs: DataFrame, tags: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``_node`` and ``_set`` of the rows with these (stored) tags (``_tag``, ``_node``, ``_key``); each set once. The
     bitmap keeps other texts from being shuffled."""
-    rows = tagged(docs, id_col, text_col).where(listed(tags)).join(tags, "_tag")
+    rows = sorted_join(tagged(docs, id_col, text_col).where(listed(tags)), tags, "_tag")
     rows = rows.groupBy("_tag", "_node", "_key").agg(F.first("_text").alias("_text")).select("_node", "_key", "_text")  # repeated rows once
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,7 +344,7 @@ def beside(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
             rows = rows.join(many, on, "left").withColumn(keys[1], F.explode(F.sequence(F.lit(0), tasks - 1))).drop("_tasks")
         if on == "b":
             to_right, rows_right = keys, rows
-    return pairs.join(rows_right, to_right).join(rows, keys)
+    return sorted_join(sorted_join(pairs, rows_right, to_right), rows, keys)
 
 
 def meeting(pairs: DataFrame, nodes: DataFrame, orders: int = ORDERS) -> DataFrame:
@@ -359,7 +362,7 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, id_col: str, t
     """The pairs (stored) whose sets share PERCENT of their union, stored; sets are made for their nodes only."""
     scratch = Scratch(docs.sparkSession)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("_node")).distinct()
-    tags = scratch.store(nodes.select("_node", "_tag", "_key").join(wanted, "_node", "left_semi"))
+    tags = scratch.store(sorted_join(nodes.select("_node", "_tag", "_key"), wanted, "_node", "left_semi"))
     sets = scratch.store(token_sets(docs, tags, id_col, text_col))
     both = beside(pairs, sets.withColumnRenamed("_set", "_left"), sets.withColumnRenamed("_set", "_right"))
     common = F.size(F.array_intersect("_left", "_right"))
@@ -372,7 +375,7 @@ def by_token(nodes: DataFrame, prefix: str) -> DataFrame:
     """``_x`` (a prefix token or part of several nodes), ``_node``, ``_n`` and ``_at``, its place in the set's order."""
     each = nodes.select("_node", "_n", F.posexplode(prefix).alias("_at", "_x"))
     several = each.groupBy("_x").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1").select("_x")
-    return salted_join(each, several, ["_x"], F.col("_node"), "left_semi", FEW_SALTS)
+    return salted_join(each, several, ["_x"], F.col("_node"), "left_semi", FEW_SALTS, grows=True)
 
 
 def size_class(n: Column) -> Column:
@@ -408,17 +411,19 @@ def across(groups: DataFrame, nodes: DataFrame, on: list[str], order: int, order
         many, few = size.where(F.col("_pairs") > PAIRS_AT_ONCE), size.where(F.col("_pairs") <= PAIRS_AT_ONCE)
     else:
         many, few = size.limit(0), size
-    kept = salted_join(rows, few.select(*keys), keys, F.col("_node"), "left_semi", FEW_SALTS).join(nodes.select("_node", "_sketch"), "_node")
+    kept = salted_join(rows, few.select(*keys), keys, F.col("_node"), "left_semi", FEW_SALTS, grows=True)
+    kept = sorted_join(kept, nodes.select("_node", "_sketch"), "_node")
     one = kept.where(is_low).select(*keys, F.col("_node").alias("_one"), F.col("_n").alias("_n1"), F.col("_label").alias("_l1"), F.col("_sketch").alias("_s1"))
     two = kept.where(is_high).select(*keys, F.col("_node").alias("_two"), F.col("_n").alias("_n2"), F.col("_label").alias("_l2"), F.col("_sketch").alias("_s2"))
-    met = one.join(two, keys).where((F.col("_l1") != F.col("_l2")) & similar_sizes(F.col("_n1"), F.col("_n2"))
+    met = sorted_join(one, two, keys).where((F.col("_l1") != F.col("_l2")) & similar_sizes(F.col("_n1"), F.col("_n2"))
                                     & ((F.col("_low") < F.col("_high")) | (F.col("_one") < F.col("_two")))
                                     & may_link(F.col("_s1"), F.col("_s2"), F.col("_n1") + F.col("_n2")))
     pairs = met.select(F.least("_one", "_two").alias("a"), F.greatest("_one", "_two").alias("b"))
     if order + 1 < orders and many.take(1):
         hot = salted_join(rows, many.select(*keys), keys, F.col("_node"), "left_semi", FEW_SALTS)
-        tokens = nodes.select("_node", F.posexplode(f"_p{order + 1}").alias("_at", f"_x{order + 1}"))
-        finer = reach(hot.join(tokens, "_node")).withColumn("_other", F.when(F.col("_class") == F.col("_low"), F.col("_high")).otherwise(F.col("_low")))
+        tokens = sorted_join(hot, nodes.select("_node", f"_p{order + 1}"), "_node")
+        tokens = tokens.select(*hot.columns, F.posexplode(f"_p{order + 1}").alias("_at", f"_x{order + 1}"))
+        finer = reach(tokens).withColumn("_other", F.when(F.col("_class") == F.col("_low"), F.col("_high")).otherwise(F.col("_low")))
         finer = finer.where(F.col("_other").between(F.col("_from"), F.col("_to"))).drop("_low", "_high", "_from", "_to")
         pairs = pairs.union(across(finer, nodes, [*on, f"_x{order + 1}"], order + 1, orders))
     return pairs
@@ -429,7 +434,7 @@ def with_prefixes(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str,
     rows, wanted = tagged(docs, id_col, text_col), bitmap(nodes)
     wide = prefixes(docs, id_col, text_col, frequencies(rows, "_text", wanted=wanted), orders, wanted)
     names = ["_sketch", *[f"_p{k}" for k in range(orders)]]
-    found = nodes.join(wide.select("_tag", "_key", *names), ["_tag", "_key"])
+    found = sorted_join(nodes, wide.select("_tag", "_key", *names), ["_tag", "_key"])
     return found.groupBy("_node", "_tag", "_key", "_n").agg(*[F.first(p).alias(p) for p in names])  # repeated rows once
 
 
@@ -438,12 +443,12 @@ def linked(docs: DataFrame, nodes: DataFrame, same: DataFrame, id_col: str, text
     tokens = materialize(by_token(nodes, "_parts").withColumn("_at", F.lit(0)))
     if not tokens.take(1):
         return merged(None, same)
-    some = materialize(nodes.select("_node", "_tag", "_key", "_n").join(tokens.select("_node").distinct(), "_node", "left_semi"))
+    some = materialize(sorted_join(nodes.select("_node", "_tag", "_key", "_n"), tokens.select("_node").distinct(), "_node", "left_semi"))
     nodes = materialize(with_prefixes(docs, some, id_col, text_col, orders))
     company = tokens.groupBy("_node").agg(F.count(F.lit(1)).alias("_shared"))
-    ranked = tokens.join(company, "_node")
+    ranked = sorted_join(tokens, company, "_node")
     first = ranked.groupBy("_x").agg(F.max(F.struct("_shared", "_n", "_node")).alias("_first")).select("_x", "_first")
-    others = salted_join(tokens, first, ["_x"], F.col("_node"), "inner", FEW_SALTS).where("_node <> _first._node")
+    others = salted_join(tokens, first, ["_x"], F.col("_node"), "inner", FEW_SALTS, grows=True).where("_node <> _first._node")
     others = others.where(similar_sizes(F.col("_n"), F.col("_first._n")))
     pairs = materialize(others.select(F.col("_first._node").alias("a"), F.col("_node").alias("b")).distinct())
     links = verified(materialize(meeting(pairs, nodes, orders)), docs, nodes, id_col, text_col)
@@ -451,7 +456,7 @@ def linked(docs: DataFrame, nodes: DataFrame, same: DataFrame, id_col: str, text
     # groups that are of one class by now have no link to add
     rows = label(labels, tokens, "_node", "_label")
     mixed_groups = rows.groupBy("_x").agg(F.min("_label").alias("_low"), F.max("_label").alias("_high")).where("_low < _high").select("_x")
-    left = materialize(salted_join(rows, mixed_groups, ["_x"], F.col("_node"), "left_semi", FEW_SALTS))
+    left = materialize(salted_join(rows, mixed_groups, ["_x"], F.col("_node"), "left_semi", FEW_SALTS, grows=True))
     if not left.take(1):
         return labels
     pairs = materialize(across(can_meet(left), nodes, ["_x"], -1, orders).distinct())
@@ -476,13 +481,13 @@ def classified(docs: DataFrame, id_col: str, text_col: str, orders: int) -> Data
     full = rows.where(F.col("_key").isNotNull())
     # an id that stands for several sets joins them
     several = full.where(F.col("_id").isNotNull()).groupBy("_id").agg(F.min("_key").alias("_one"), F.max("_key").alias("_last")).where("_one < _last").select("_id", "_one")
-    same = salted_join(full.select("_id", "_key"), several, ["_id"], F.col("_key"), "inner", FEW_SALTS).where("_key <> _one").select("_one", "_key").distinct()
+    same = salted_join(full.select("_id", "_key"), several, ["_id"], F.col("_key"), "inner", FEW_SALTS, grows=True).where("_key <> _one").select("_one", "_key").distinct()
     number = lambda key, name: nodes.select(F.col("_key").alias(key), F.col("_node").alias(name))
-    same = materialize(same.join(number("_one", "a"), "_one").join(number("_key", "b"), "_key").select("a", "b"))
+    same = materialize(sorted_join(sorted_join(same, number("_one", "a"), "_one"), number("_key", "b"), "_key").select("a", "b"))
     labels = linked(docs, nodes, same, id_col, text_col, orders)
     named = materialize(label(labels, nodes.select("_node", "_key", "_first"), "_node", "_label"))
     smallest = named.groupBy("_label").agg(F.min("_first").alias("component_id"))
-    named = salted_join(named, smallest, ["_label"], F.col("_node"), salts=FEW_SALTS).select("_key", "component_id")
-    out = salted_join(rows, named, ["_key"], F.struct("_id", "_n"))
+    named = salted_join(named, smallest, ["_label"], F.col("_node"), salts=FEW_SALTS, grows=True).select("_key", "component_id")
+    out = dealt_join(rows, named, ["_key"], F.struct("_id", "_n"))
     return out.select(F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"),
                       F.when(F.col("_key").isNull(), F.col("_id")).otherwise(F.col("component_id")).alias("component_id"))

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from strata.llm import ngram_join
+from strata.llm import common, near_dup, ngram_join
 from strata.llm.queries import QUERIES
+from strata.sources import checkpoint
 from tests.llm.fixtures import ODD_DOCS, SENTENCE, empty_docs, odd_docs
 
 
@@ -184,6 +185,30 @@ def test_a_task_has_one_worker_and_small_batches(spark, monkeypatch):
     assert {x[1] for x in seen} == {ngram_join.BATCH} != {default} and spark.conf.get(ngram_join.BATCH_CONF) == default
 
 
+def test_no_table_that_grows_is_broadcast(spark, monkeypatch):
+    """A stored table's compressed file may be far smaller than its rows: the driver is not to hold them, whatever the file's size."""
+    plans, store = [], checkpoint.materialize
+
+    def seen(df, name=None):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return store(df, name)
+
+    for module in (checkpoint, common, ngram_join, near_dup):
+        monkeypatch.setattr(module, "materialize", seen, raising=False)
+    monkeypatch.setattr(near_dup, "FEW_ROWS", 0, raising=False)
+    rng, base = random.Random(4), [f"b{i}" for i in range(150)]
+    rows = [(0, " ".join(base)), (0, "another text"), (7, "another text")]
+    for i in range(1, 80):
+        words = list(base)
+        for place in rng.sample(range(2, 148), 2 if i % 4 == 0 else 4):
+            words[place] = f"e{i}x{place}"
+        rows.append((i, " ".join(words)))
+    got = ngram_join.components(spark.createDataFrame(rows, "doc_id long, text string"))
+    plans.append(got._jdf.queryExecution().sparkPlan().toString())
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()), key=str) == brute(rows)
+    assert sum("SortMergeJoin" in p for p in plans) >= 20 and not [p for p in plans if "Broadcast" in p]
+
+
 def test_frequent_tokens_are_counted_in_full(spark, monkeypatch):
     """Counts of tokens go on over several buffers, also within one text."""
     monkeypatch.setattr(ngram_join, "FROM", 1)
